@@ -171,11 +171,13 @@ def expand_vector(df: DataFrame, column: str = "cat_features", prefix: str = "ca
 
 
 def vector_slots(column: str) -> Column:
-    """The positions of a vector's non-zero entries, as comma-separated text."""
-    marked = F.transform(
-        vector_to_array(F.col(column)), lambda value, i: F.when(value != 0, i.cast("string"))
-    )
-    return F.array_join(marked, ",")
+    """The positions of a vector's non-zero entries, as comma-separated text.
+
+    A sparse vector's text form lists them; only a short vector, stored dense, is walked slot by slot.
+    """
+    text = F.col(column).cast("string")
+    marked = F.transform(vector_to_array(F.col(column)), lambda value, i: F.when(value != 0, i.cast("string")))
+    return F.when(text.startswith("("), F.regexp_extract(text, r"\[([^\]]*)\]", 1)).otherwise(F.array_join(marked, ","))
 
 
 def vectors_as_text(df: DataFrame) -> DataFrame:

@@ -19,114 +19,107 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shifted(date: str) -> Column:
-    return F.col(date) + F.make_dt_interval(days=F.lit(SHIFT_DAYS))
+def fact_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows keep every core busy.
 
+    A file too small to split would leave one task with all later work, so only then its rows are dealt out
+    by key; a table of at least as many splits as cores is read without a shuffle.
+    """
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
 
-def _epoch_ms(wall_clock: Column) -> Column:
-    return F.unix_timestamp(wall_clock) * 1000
 
+def _shifted(date: str) -> str:
+    return f"({date} + make_dt_interval({SHIFT_DAYS}))"
 
-def _built(df: DataFrame, *columns: Column) -> DataFrame:
+
+def _built(df: DataFrame, **columns: str) -> DataFrame:
     """The columns as if read from a file: built once per row, and opaque to filters placed on top."""
-    return df.select(F.inline(F.array(F.struct(*columns))))
+    fields = ", ".join(f"{text} AS {name}" for name, text in columns.items())
+    return df.selectExpr(f"inline(array(struct({fields})))")
 
 
 def inventory_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One snapshot per line item, each with two sections, none, or a null list."""
-    price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
-    tickets = quantity.cast("bigint")
-
-    def section(section_id: Column, average: Column, minimum: Column, listings: Column) -> Column:
-        return F.struct(
-            section_id.cast("bigint").alias("sectionId"), average.alias("averageTicketPrice"),
-            minimum.alias("minTicketPrice"), listings.cast("bigint").alias("totalListings"),
-            tickets.alias("totalTickets"),
+    instant = f"unix_timestamp({_shifted('l_shipdate')}) * 1000 + l_linenumber * 3600000L + l_partkey % 1000"
+    tickets = "CAST(l_quantity AS BIGINT)"
+    def section(section_id: str, average: str, minimum: str, listings: int) -> str:
+        return (
+            f"struct({section_id} AS sectionId, {average} AS averageTicketPrice, {minimum} AS minTicketPrice, "
+            f"{listings}L AS totalListings, {tickets} AS totalTickets)"
         )
 
-    sections = F.array(
-        section(F.col("l_linenumber"), price / quantity, price * (1 - F.col("l_discount")) / quantity, F.lit(1)),
-        section(10 + F.col("l_suppkey") % 10, price * (1 + F.col("l_tax")) / quantity, price / quantity, F.lit(2)),
-    )
-    instant = _epoch_ms(_shifted("l_shipdate")) + F.col("l_linenumber") * 3_600_000 + F.col("l_partkey") % 1000
+    price = "l_extendedprice / l_quantity"
+    first = section("CAST(l_linenumber AS BIGINT)", price, "l_extendedprice * (1 - l_discount) / l_quantity", 1)
+    second = section("10 + l_suppkey % 10", "l_extendedprice * (1 + l_tax) / l_quantity", price, 2)
     return _built(
-        table(spark, sf_dir, "lineitem"),
-        F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 50 != 0, instant).alias("current_timestamp"),
-        F.col("l_orderkey").alias("eventId"),
-        (F.col("l_linenumber") + 3).cast("bigint").alias("totalListings"),
-        (tickets * 2).alias("totalTickets"),
-        F.when(F.col("l_partkey") % 20 == 1, F.array().cast(SECTION_STATS))
-        .when(F.col("l_partkey") % 20 > 1, sections).alias("section_stats"),
+        fact_table(spark, sf_dir, "lineitem", "l_orderkey"),
+        current_timestamp=f"CASE WHEN (l_orderkey + l_linenumber) % 50 <> 0 THEN {instant} END",
+        eventId="l_orderkey",
+        totalListings="CAST(l_linenumber + 3 AS BIGINT)",
+        totalTickets=f"{tickets} * 2",
+        section_stats=f"""CASE WHEN l_partkey % 20 = 1 THEN CAST(array() AS {SECTION_STATS})
+            WHEN l_partkey % 20 > 1 THEN array({first}, {second}) END""",
     )
 
 
-def _nations(spark: SparkSession, sf_dir: str, key: str, name: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation")
-    return nation.select(
-        F.col("n_nationkey").cast("bigint").alias(key), F.replace("n_name", F.lit("_"), F.lit(" ")).alias(name)
+def _nations(spark: SparkSession, sf_dir: str, key: str, name: str, blank: str) -> DataFrame:
+    return table(spark, sf_dir, "nation").selectExpr(
+        f"CAST(n_nationkey AS BIGINT) AS {key}", f"replace(n_name, '_', '{blank}') AS {name}"
     )
 
 
 def meta_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two snapshots per order, a day apart; some events change home team between them."""
-    key, k = F.col("o_orderkey"), F.col("k")
-    home_id = (F.col("o_custkey") + F.when(key % 7 == 0, k).otherwise(0)) % TEAMS
     orders = (
-        table(spark, sf_dir, "orders").filter(key % 11 != 0)
-        .select("o_orderkey", "o_custkey", _shifted("o_orderdate").alias("day"), F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
-        .withColumn("home_id", home_id)
-        .withColumn("away_id", (F.col("home_id") + 1 + key % 24) % TEAMS)
-        .join(_nations(spark, sf_dir, "home_key", "home"), F.col("home_id") == F.col("home_key"))
-        .join(_nations(spark, sf_dir, "away_key", "away"), F.col("away_id") == F.col("away_key"))
+        fact_table(spark, sf_dir, "orders", "o_orderkey").filter("o_orderkey % 11 <> 0")
+        .selectExpr("o_orderkey AS ok", "o_custkey", f"{_shifted('o_orderdate')} AS day", "explode(array(0, 1)) AS k")
+        .withColumn("home_id", F.expr(f"(o_custkey + CASE WHEN ok % 7 = 0 THEN k ELSE 0 END) % {TEAMS}"))
+        .withColumn("away_id", F.expr(f"(home_id + 1 + ok % 24) % {TEAMS}"))
+        .join(_nations(spark, sf_dir, "home_key", "home", " "), F.expr("home_id = home_key"))
+        .join(_nations(spark, sf_dir, "away_key", "away", " "), F.expr("away_id = away_key"))
     )
 
-    local = F.col("day") + F.make_dt_interval(days=k, hours=(key % 24).cast("int"))
-
-    def text(wall_clock: Column, offset: str) -> Column:
-        iso = F.concat(F.replace(wall_clock.cast("string"), F.lit(" "), F.lit("T")), F.lit(offset))
-        return F.when(key % 47 == 0, "TBD").when(key % 43 != 0, iso)
-
-    def performer(team_id: Column, name: Column, role: str) -> Column:
-        return F.struct(
-            team_id.alias("id"), name.alias("name"), F.when(key % 5 != 0, role).alias("role")
-        )
-
-    home = performer(F.col("home_id"), F.col("home"), "HOME_TEAM")
-    away = performer(F.col("away_id"), F.col("away"), "AWAY_TEAM")
-    collection = (
-        F.when(key % 31 == 0, F.array().cast(PERFORMERS))
-        .when(key % 29 != 0, F.when(key % 3 == 0, F.array(away, home)).otherwise(F.array(home, away)))
-    )
-    slim_home = F.struct(F.col("home_id").alias("id"), F.col("home").alias("name"))
-    slim_away = F.struct(F.col("away_id").alias("id"), F.col("away").alias("name"))
-    event = F.struct(
-        key.alias("id"),
-        text(local + F.make_dt_interval(hours=F.lit(5)), "Z").alias("eventDateUTC"),
-        text(local, "-0500").alias("eventDateLocal"),
-        F.concat("away", F.lit(" Utd at "), "home").alias("originalName"),
-        collection.alias("performersCollection"),
-        F.when(key % 10 == 0, F.array(slim_home)).otherwise(F.array(slim_home, slim_away)).alias("performers"),
-        F.when(key % 13 != 0, F.array(F.struct(key.alias("id")))).alias("groupingsCollection"),
-    )
-    instant = _epoch_ms(F.col("day")) + k * 86_400_000
+    def text(extra_hours: int, offset: str) -> str:
+        wall_clock = f"day + make_dt_interval(k, CAST(ok % 24 AS INT) + {extra_hours})"
+        iso = f"concat(replace(CAST({wall_clock} AS STRING), ' ', 'T'), '{offset}')"
+        return f"CASE WHEN ok % 47 = 0 THEN 'TBD' WHEN ok % 43 <> 0 THEN {iso} END"
+
+    def performer(side: str) -> str:
+        role = f"CASE WHEN ok % 5 <> 0 THEN '{side.upper()}_TEAM' END"
+        return f"struct({side}_id AS id, {side} AS name, {role} AS role)"
+
+    home, away = performer("home"), performer("away")
+    event = f"""struct(
+        ok AS id, {text(5, "Z")} AS eventDateUTC, {text(0, "-0500")} AS eventDateLocal,
+        concat(away, ' Utd at ', home) AS originalName,
+        CASE WHEN ok % 31 = 0 THEN CAST(array() AS {PERFORMERS})
+             WHEN ok % 29 = 0 THEN NULL
+             WHEN ok % 3 = 0 THEN array({away}, {home})
+             ELSE array({home}, {away}) END AS performersCollection,
+        CASE WHEN ok % 10 = 0 THEN array(struct(home_id AS id, home AS name))
+             ELSE array(struct(home_id AS id, home AS name), struct(away_id AS id, away AS name)) END AS performers,
+        CASE WHEN ok % 13 <> 0 THEN array(struct(ok AS id)) END AS groupingsCollection)"""
     return _built(
         orders,
-        F.when((key % 53 != 0) | (k == 0), instant).alias("current_timestamp"),
-        F.substring(F.col("day").cast("string"), 1, 10).alias("current_date"),
-        F.when(key % 41 == 0, F.array().cast(EVENTS)).when(key % 37 != 0, F.array(event)).alias("events"),
+        current_timestamp="CASE WHEN ok % 53 <> 0 OR k = 0 THEN unix_timestamp(day) * 1000 + k * 86400000L END",
+        current_date="substring(CAST(day AS STRING), 1, 10)",
+        events=f"""CASE WHEN ok % 41 = 0 THEN CAST(array() AS {EVENTS})
+            WHEN ok % 37 <> 0 THEN array({event}) END""",
     )
 
 
 def performance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One performance record per line item, its team a nation; many per team and day."""
-    names = _nations(spark, sf_dir, "team_key", "team_name")
-    instant = _epoch_ms(_shifted("l_shipdate")) + F.col("l_linenumber") * 3_600_000
-    lines = table(spark, sf_dir, "lineitem")
-    return lines.join(names, F.col("l_suppkey") % TEAMS == F.col("team_key")).select(
-        F.when(F.col("l_suppkey") % 40 != 0, F.replace("team_name", F.lit(" "), F.lit("-"))).alias("team"),
-        F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 50 != 0, instant).alias("current_timestamp"),
-        F.col("l_linenumber").cast("bigint").alias("wins"),
-        F.col("l_extendedprice").alias("score"),
+    names = _nations(spark, sf_dir, "team_key", "team_name", "-")
+    instant = f"unix_timestamp({_shifted('l_shipdate')}) * 1000 + l_linenumber * 3600000L"
+    lines = fact_table(spark, sf_dir, "lineitem", "l_orderkey")
+    return lines.join(names, F.expr(f"l_suppkey % {TEAMS} = team_key")).selectExpr(
+        "CASE WHEN l_suppkey % 40 <> 0 THEN team_name END AS team",
+        f"CASE WHEN (l_orderkey + l_linenumber) % 50 <> 0 THEN {instant} END AS current_timestamp",
+        "CAST(l_linenumber AS BIGINT) AS wins",
+        "l_extendedprice AS score",
     )
 
 

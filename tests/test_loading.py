@@ -1,0 +1,195 @@
+"""Reading, cleaning, reports and writers on small files."""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime, timezone
+from pathlib import Path
+
+import pytest
+from pyspark.ml.linalg import Vectors
+
+from seatgrid.operators.encoding import encode_categoricals
+from seatgrid.operators.quality import join_coverage, load_loss_report, null_audit, require_all_columns
+from seatgrid.operators.sections import explode_sections
+from seatgrid.plans.jobs import reexport, run_structure_all
+from seatgrid.schemas import INVENTORY, META, performance_schema
+from seatgrid.session import scratch_path
+from seatgrid.sources.collections import clean_load, copy_json, read_json_collection
+from seatgrid.sources.sinks import event_slice, read_split, run_path, split_by_event, write_csv, write_parquet_run
+
+
+def section(number, price=10.0):
+    return {"sectionId": number, "averageTicketPrice": price, "minTicketPrice": 5.0,
+            "totalListings": 1, "totalTickets": 2}
+
+
+def snapshot(time, event, sections):
+    return {"current_timestamp": time, "eventId": event, "totalListings": 3, "totalTickets": 6,
+            "section_stats": sections}
+
+
+def write_lines(path: Path, lines) -> str:
+    path.mkdir(parents=True)
+    texts = [line if isinstance(line, str) else json.dumps(line) for line in lines]
+    (path / "part-0.json").write_text("\n".join(texts) + "\n")
+    return str(path)
+
+
+LINES = [
+    snapshot(1, 7, [section(1), section(2)]),
+    snapshot(2, 7, []),
+    snapshot(3, 7, None),
+    {"eventId": 8},
+    snapshot(None, 9, [section(1)]),
+    snapshot("x", 9, [section(1)]),
+    "{bad json",
+    json.dumps(snapshot(4, 9, [section(1)]))[:-1],
+    snapshot(5, 9, [section(3)]),
+]
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_clean_load(spark, tmp_path, staged):
+    path = write_lines(tmp_path / "inventory", LINES)
+    stage = str(tmp_path / "stage") if staged else None
+    cleaned, report = clean_load(spark, path, INVENTORY, "inventory", stage=stage)
+    assert "_corrupt_record" not in cleaned.columns
+    assert sorted(row.current_timestamp for row in cleaned.collect()) == [1, 2, 3, 5]
+    assert cleaned.count() == 4
+    [row] = report.collect()
+    assert (row.dataset, row.rows_before, row.rows_after) == ("inventory", 9, 4)
+    assert row.pct_dropped == pytest.approx(500 / 9)
+    sections = explode_sections(cleaned).collect()
+    assert sorted((row.timestamp, row.sectionId) for row in sections) == [(1, 1), (1, 2), (5, 3)]
+
+
+def test_staging_checks_every_field(spark, tmp_path):
+    bad = snapshot(1, 7, [section("one")])
+    path = write_lines(tmp_path / "inventory", [bad, snapshot(2, 7, [section(1)])])
+    cleaned, report = clean_load(spark, path, INVENTORY, "inventory", stage=str(tmp_path / "stage"))
+    assert cleaned.select("eventId").count() == 1
+    assert report.first().rows_after == 1
+
+
+def test_reports_on_nothing_are_null_not_errors(spark):
+    empty = spark.createDataFrame([], "current_timestamp bigint, Concatenated_perf string")
+    assert load_loss_report(empty, "none").first().pct_dropped is None
+    assert join_coverage(empty).first().asDict() == {"total": 0, "unmatched": 0, "pct_matched": None}
+    assert null_audit(empty, ["current_timestamp"]).first()[0] == 0
+
+
+def test_copy_json_drops_or_keeps_nulls(spark, tmp_path):
+    source = write_lines(tmp_path / "source", [{"current_timestamp": 1, "current_date": None, "events": []}])
+    schema = META.removesuffix(", _corrupt_record string")
+    copy_json(spark, source, str(tmp_path / "dropped"), schema)
+    copy_json(spark, source, str(tmp_path / "kept"), schema, ignore_null_fields=False)
+    copy_json(spark, source, str(tmp_path / "inferred"))
+
+    def line(name):
+        [part] = (tmp_path / name).glob("part-*.json")
+        return json.loads(part.read_text())
+
+    assert line("dropped") == {"current_timestamp": 1, "events": []}
+    assert line("kept") == {"current_timestamp": 1, "current_date": None, "events": []}
+    assert line("inferred")["current_timestamp"] == 1
+
+
+def test_run_path_uses_utc():
+    at = datetime(2017, 11, 9, 18, 36, 5, tzinfo=timezone.utc)
+    assert run_path("/base/", "sample", at) == "/base/sample_2017_11_09_18_36_05.parquet"
+
+
+def test_an_existing_run_is_not_replaced(spark, tmp_path):
+    at = datetime(2017, 11, 9, 18, 36, 5, tzinfo=timezone.utc)
+    df = spark.range(3)
+    path = write_parquet_run(df, str(tmp_path), "sample", at)
+    assert spark.read.parquet(path).count() == 3
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
+        write_parquet_run(df, str(tmp_path), "sample", at)
+
+
+def test_csv_has_vectors_as_text(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, Vectors.sparse(20, [3], [1.0])), (2, Vectors.dense([0.0, 1.0]))], ["id", "features"]
+    )
+    write_csv(df, str(tmp_path / "out"), header=True)
+    rows = spark.read.option("header", True).csv(str(tmp_path / "out")).orderBy("id").collect()
+    assert [row.features for row in rows] == ["(20,[3],[1.0])", "[0.0,1.0]"]
+
+
+@pytest.mark.parametrize("file_format", ["csv", "parquet"])
+def test_split_holds_every_row_once(spark, tmp_path, file_format):
+    """One event with most of the rows, one row for each of the others."""
+    df = spark.range(4000).selectExpr("if(id < 3900, 1, id) AS eventId", "id AS sectionId")
+    path = str(tmp_path / "split")
+    split_by_event(df, path, file_format, order_by=["sectionId"], max_records_per_file=1000)
+    read = read_split(spark, path, "sectionId bigint, eventId bigint", file_format)
+    assert sorted(map(tuple, read.select("eventId", "sectionId").collect())) == sorted(map(tuple, df.collect()))
+    folders = list((tmp_path / "split").glob("eventId=*"))
+    assert len(folders) == 101
+    assert len(list((tmp_path / "split" / "eventId=1").glob("part-*"))) >= 4
+    one = event_slice(read, 1)
+    assert one.count() == 3900
+    assert "PartitionFilters: [isnotnull(eventId" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reexport(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2.5), (2, None), (None, 1.0)], "a int, b float")
+    df.write.parquet(str(tmp_path / "run.parquet"))
+    [report] = reexport(spark, str(tmp_path / "run.parquet"), str(tmp_path / "csv")).collect()
+    assert (report.dataset, report.rows_before, report.rows_after) == ("run.parquet", 3, 1)
+    assert [tuple(row) for row in spark.read.schema("a int, b float").csv(str(tmp_path / "csv")).collect()] == [(1, 2.5)]
+    assert require_all_columns(df).count() == 1
+
+
+def test_full_job_from_files(spark, tmp_path):
+    """Two events, one of them with a performance row on its snapshot's day."""
+    def meta(event_id, home, away):
+        return {"current_timestamp": 1510250000000, "current_date": "2017-11-09", "events": [{
+            "id": event_id, "eventDateUTC": "2017-11-10T00:30:00Z", "eventDateLocal": "2017-11-09T19:30:00-0500",
+            "originalName": f"{away} at {home}",
+            "performersCollection": [{"id": 1, "name": home, "role": "HOME_TEAM"},
+                                     {"id": 2, "name": away, "role": "AWAY_TEAM"}]}]}
+
+    inventory = write_lines(tmp_path / "inventory", LINES[:3] + ["{cut", snapshot(1510250000000, 7, [section(4), section(5)]),
+                                                           snapshot(1510250000000, 9, [section(5)]),
+                                                           snapshot(1510250000000, 99, [section(5)])])
+    metas = write_lines(tmp_path / "meta", [meta(7, "New York", "Boston"), meta(9, "Boston", "New York")])
+    performance = write_lines(tmp_path / "performance", [
+        {"team": "New-York", "current_timestamp": 1510240000000, "wins": 1},
+        {"team": "New-York", "current_timestamp": 1510260000000, "wins": 2},
+    ])
+    run = run_structure_all(
+        spark, inventory, metas, performance, performance_schema("wins bigint"), str(tmp_path / "runs"), "all",
+        split_path=str(tmp_path / "events"), split_format="parquet",
+    )
+    rows = spark.read.parquet(run.path).collect()
+    listing = {(row.timestamp, row.eventId, row.sectionId): row for row in rows}
+    now = 1510250000000
+    assert sorted(listing) == [(1, 7, 1), (1, 7, 2), (now, 7, 4), (now, 7, 5), (now, 9, 5)]
+    assert listing[now, 7, 4].wins == 2 and listing[now, 9, 5].wins is None
+    assert listing[now, 7, 4].Concatenated_joined == "New-York#2017#11#9"
+    assert listing[now, 7, 4].Time_to_event == 23800000 / 1000 / 60 / 60 / 24
+    assert all(sum(row.cat_features.toArray()) == 5 for row in rows)
+    assert [row.rows_after for row in run.loss_report.collect()] == [6, 2, 2]
+    split = spark.read.parquet(run.split_path)
+    assert split.count() == 5 and {row.eventId for row in split.select("eventId").distinct().collect()} == {7, 9}
+    assert split.schema["cat_features"].metadata["ml_attr"]["num_attrs"] == len(rows[0].cat_features)
+
+
+def test_scratch_needs_a_shared_folder_only_on_a_cluster(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(f"{base}/seatgrid/x-")
+
+
+def test_declared_schema_keeps_the_corrupt_column(spark, tmp_path):
+    path = write_lines(tmp_path / "fine", [snapshot(1, 2, [])])
+    assert "_corrupt_record" in read_json_collection(spark, path, INVENTORY).columns
+
+
+def test_encoding_survives_parquet(spark, tmp_path):
+    df = encode_categoricals(spark.createDataFrame([("a",), ("b",)], "c string"), ["c"])
+    df.write.parquet(str(tmp_path / "v"))
+    read = spark.read.parquet(str(tmp_path / "v"))
+    assert read.schema["cat_features"].metadata["ml_attr"]["num_attrs"] == 2
