@@ -20,7 +20,7 @@ from seatgrid.operators.quality import load_loss_report, require_all_columns
 from seatgrid.operators.sections import SECTION_COLUMNS, flatten_sections, snapshot_rows
 from seatgrid.schemas import INVENTORY, META
 from seatgrid.session import scratch_path
-from seatgrid.sources.collections import clean_load, read_parquet_collection
+from seatgrid.sources.collections import clean_load, read_json_collection, read_parquet_collection
 from seatgrid.sources.sinks import split_by_event, write_csv, write_parquet_run
 
 
@@ -153,6 +153,28 @@ def run_structure_all(
     return StructuredRun(path, split_path, reduce(DataFrame.unionByName, reports))
 
 
+def run_price_through_time(
+    spark: SparkSession,
+    inventory_path: str,
+    meta_path: str,
+    base: str,
+    label: str,
+    ts: datetime | None = None,
+    by_grouping: bool = False,
+    salt: int = 1,
+) -> str:
+    """JSON collections to a Parquet run of the price curve; the earlier form takes its rows uncleaned."""
+    if by_grouping:
+        inventory = read_json_collection(spark, inventory_path, INVENTORY)
+        meta = read_json_collection(spark, meta_path, META)
+        curve = price_through_time_by_grouping(inventory, meta, salt)
+    else:
+        inventory, _ = clean_load(spark, inventory_path, INVENTORY, "inventory")
+        meta, _ = clean_load(spark, meta_path, META, "meta")
+        curve = price_through_time(inventory, meta, salt)
+    return write_parquet_run(curve, base, label, ts)
+
+
 def _staged(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

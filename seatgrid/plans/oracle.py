@@ -315,17 +315,20 @@ BODIES: dict[str, str] = {
         event_id AS listing, event_id % 100 AS "eventId" FROM sections WHERE event_id % 100 = 42""",
     "price_through_time": CURVE,
     "price_through_time_v1": f"SELECT {CURVE_COLUMNS} FROM grouped",
+    "price_through_time_files": CURVE,
     "structure_all": STRUCTURED,
     "structure_all_files": STRUCTURED,
 }
 BODIES["split_by_event_parquet"] = BODIES["split_by_event"]
 
-# Clauses that only some queries need, or need in another form.
+# Clauses that only some queries need.
 EXTRA = {
     "label_index_by_join": _event_ranks("game_time", "CAST(id AS VARCHAR)", "home_id"),
     "one_hot_slots": _event_ranks("home_id", "weekday", "game_time"),
     "dense_features": _event_ranks("weekday", "game_time"),
 }
+# The shared clauses over the lines that survive cleaning.
+FROM_FILES = {"structure_all_files", "price_through_time_files"}
 FILES_SHARED = (
     SHARED.replace("WHERE kind > 1 AND ts IS NOT NULL", f"WHERE kind > 1 AND {INVENTORY_KEPT}")
     .replace("SELECT * FROM flat WHERE ts IS NOT NULL", f"SELECT * FROM flat WHERE {META_KEPT}")
@@ -334,7 +337,7 @@ FILES_SHARED = (
 
 
 def _statement(name: str) -> str:
-    shared = FILES_SHARED if name == "structure_all_files" else SHARED
+    shared = FILES_SHARED if name in FROM_FILES else SHARED
     clauses = f"{shared}, {EXTRA[name]}" if name in EXTRA else shared
     return f"WITH {clauses}\n{BODIES[name]}"
 

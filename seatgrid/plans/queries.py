@@ -43,6 +43,7 @@ from seatgrid.plans.jobs import (
     price_through_time,
     price_through_time_by_grouping,
     reexport,
+    run_price_through_time,
     run_structure_all,
     structure_all,
 )
@@ -429,6 +430,13 @@ def q_structure_all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(read_parquet_collection(spark, run.path))
 
 
+def q_price_through_time_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_price_through_time(
+        spark, _json_inventory(spark, sf_dir), _json_meta(spark, sf_dir), scratch_path(spark, "runs"), "curve"
+    )
+    return read_parquet_collection(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     name.removeprefix("q_"): function for name, function in list(globals().items()) if name.startswith("q_")
 }

@@ -38,7 +38,8 @@ def test_salted_joins_equal_plain_ones(spark):
     assert join_event_meta(left, right, "left_outer").count() == 6000
 
 
-def test_a_hot_event_is_split_over_tasks(spark):
+@pytest.mark.parametrize("how", ["inner", "left_outer"])
+def test_a_hot_event_is_split_over_tasks(spark, how):
     """With thresholds fit for small data, adaptive execution cuts the hot partition and keeps every row."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -54,8 +55,7 @@ def test_a_hot_event_is_split_over_tasks(spark):
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
-        joined = join_event_meta(left, right)
-        assert joined.count() == 90_000
+        joined = join_event_meta(left, right, how)
         collected = joined.select("timestamp", "event_date")
         assert len(set(collected.collect())) == 90_000
         assert "skew=true" in collected._jdf.queryExecution().executedPlan().toString()

@@ -193,3 +193,34 @@ def test_encoding_survives_parquet(spark, tmp_path):
     df.write.parquet(str(tmp_path / "v"))
     read = spark.read.parquet(str(tmp_path / "v"))
     assert read.schema["cat_features"].metadata["ml_attr"]["num_attrs"] == 2
+
+
+def test_command_line_jobs(spark, tmp_path, capsys):
+    from seatgrid.__main__ import main
+
+    inventory = write_lines(tmp_path / "inventory", ["{cut", snapshot(1510250000000, 7, [section(4, 2.5)]),
+                                                     snapshot(None, 7, [section(5)]),
+                                                     snapshot(1510250000000, 8, [section(6)])])
+    meta = write_lines(tmp_path / "meta", ["{cut", {"current_timestamp": 1, "events": [
+        {"id": 7, "eventDateUTC": "2017-11-10T00:30:00Z", "groupingsCollection": [{"id": 8}]}]}])
+    common = ["--inventory", inventory, "--meta", meta, "--base", str(tmp_path / "runs")]
+
+    main(["price-through-time", *common, "--label", "new"])
+    path = capsys.readouterr().out.strip()
+    [row] = spark.read.parquet(path).collect()
+    assert (row.sectionId, row.averageTicketPrice, row.eventId) == (4, 2.5, 7)
+    assert row.days_difference == pytest.approx(23800 / 86400)
+
+    main(["price-through-time", *common, "--label", "old", "--by-grouping"])
+    old = capsys.readouterr().out.strip()
+    got = {row.sectionId: row.days_difference for row in spark.read.parquet(old).collect()}
+    assert got[4] is None and got[5] is None and got[6] == pytest.approx(23800 / 86400)
+
+    main(["reexport", old, str(tmp_path / "csv")])
+    assert spark.read.csv(str(tmp_path / "csv")).count() == 1
+
+    main(["copy-json", meta, str(tmp_path / "copy"), "--schema", META])
+    assert spark.read.json(str(tmp_path / "copy")).count() == 2
+
+    main(["structure", *common, "--performance", write_lines(tmp_path / "perf", []), "--label", "all", "--strict"])
+    assert spark.read.parquet(capsys.readouterr().out.split()[-1]).count() == 0
