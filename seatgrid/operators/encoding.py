@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seatgrid.operators.joins import keyed_join
 from seatgrid.session import scratch_path
 
 DEFAULT_COLUMNS = ["Home_Team_Id", "Away_Team_Id", "sectionId", "DayofWeek", "GameTime"]
@@ -68,8 +69,9 @@ def rank_labels(frequencies: DataFrame) -> DataFrame:
     )
     in_part = F.col("_row") - F.shiftleft(F.col("_part"), 33)
     return (
-        stored.join(starts, F.col("_part") == F.col("_start_part"))
-        .join(firsts, F.col("position") == F.col("_position"))
+        # At most one row per shuffle partition, and one per column.
+        stored.join(F.broadcast(starts), F.col("_part") == F.col("_start_part"))
+        .join(F.broadcast(firsts), F.col("position") == F.col("_position"))
         .select(
             "position", "label", "n",
             (F.col("_start") + in_part - F.col("_first")).cast("double").alias("label_index"),
@@ -102,7 +104,9 @@ def _index_with_model(df: DataFrame, columns: Sequence[str], rows: list) -> Data
     return df
 
 
-def _index_with_join(df: DataFrame, columns: Sequence[str], ranked: DataFrame, model_limit: int) -> DataFrame:
+def _index_with_join(
+    df: DataFrame, columns: Sequence[str], ranked: DataFrame, model_limit: int, salt: int
+) -> DataFrame:
     """Columns with up to ``model_limit`` labels still use the model, only the larger ones are joined."""
     sizes = {row["position"]: row["count"] for row in ranked.groupBy("position").count().collect()}
     small = [position for position in range(len(columns)) if sizes.get(position, 0) <= model_limit]
@@ -115,7 +119,11 @@ def _index_with_join(df: DataFrame, columns: Sequence[str], ranked: DataFrame, m
         lookup = ranked.filter(F.col("position") == position).select(
             F.col("label").alias("_label"), F.col("label_index").alias(_indexed(name))
         )
-        result = result.join(lookup, F.col(name).cast("string") == F.col("_label"), "inner").drop("_label")
+        valued = result.withColumn("_value", F.col(name).cast("string"))
+        result = keyed_join(valued, lookup, "_value", "_label", "inner", salt).drop("_value", "_label")
+        # The label count, which the one-hot step would otherwise run an aggregate for.
+        nominal = {"type": "nominal", "name": _indexed(name), "num_vals": sizes[position]}
+        result = result.withMetadata(_indexed(name), {"ml_attr": nominal})
     return result.select(*df.columns, *[_indexed(name) for name in columns])
 
 
@@ -125,6 +133,7 @@ def index_labels(
     fit_on: DataFrame | None = None,
     weight: Column | None = None,
     max_driver_labels: int = MAX_DRIVER_LABELS,
+    salt: int = 1,
 ) -> DataFrame:
     """Adds ``<column>_indexed``; rows with a null in any of ``columns`` are dropped.
 
@@ -137,7 +146,7 @@ def index_labels(
     rows = frequencies.limit(max_driver_labels + 1).collect()
     if len(rows) <= max_driver_labels:
         return _index_with_model(df, columns, rows)
-    return _index_with_join(df, columns, rank_labels(frequencies), max_driver_labels // len(columns))
+    return _index_with_join(df, columns, rank_labels(frequencies), max_driver_labels // len(columns), salt)
 
 
 def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -198,8 +207,9 @@ def encode_categoricals(
     fit_on: DataFrame | None = None,
     weight: Column | None = None,
     max_driver_labels: int = MAX_DRIVER_LABELS,
+    salt: int = 1,
 ) -> DataFrame:
     """Index, one-hot encode and assemble ``columns``; ``include_dense`` also expands the result."""
-    indexed = index_labels(df, columns, fit_on, weight, max_driver_labels)
+    indexed = index_labels(df, columns, fit_on, weight, max_driver_labels, salt)
     assembled = assemble(one_hot(indexed, columns), columns)
     return expand_vector(assembled) if include_dense else assembled

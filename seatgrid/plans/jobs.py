@@ -93,7 +93,7 @@ def structure_prepared(
     if ordered:
         listings = order_listings(listings)
     # Encoding adds columns row by row, so it keeps the order and comes after the sort moved narrower rows.
-    return encode_categoricals(listings, columns, include_dense, fit_on=basis, weight=weight)
+    return encode_categoricals(listings, columns, include_dense, fit_on=basis, weight=weight, salt=salt)
 
 
 def structure_all(inventory: DataFrame, meta: DataFrame, performance: DataFrame, **options) -> DataFrame:

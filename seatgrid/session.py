@@ -27,15 +27,20 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
     return builder.getOrCreate()
 
 
+_local_scratch: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the folder the cluster shares through ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it then gets a temporary folder.
+    Only a local session may go without that setting; it then gets one temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="seatgrid-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if context.applicationId not in _local_scratch:
+            _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="seatgrid-")
+        base = _local_scratch[context.applicationId]
     return f"{base.rstrip('/')}/seatgrid/{name}-{uuid.uuid4().hex}"

@@ -47,11 +47,11 @@ def by_pipeline(df, columns):
     return Pipeline(stages=[*indexers, encoder, assembler]).fit(df).transform(df)
 
 
-@pytest.mark.parametrize("limit", [100_000, 20, 2])
-def test_equals_a_pipeline_of_indexers(spark, limit):
+@pytest.mark.parametrize(("limit", "salt"), [(100_000, 1), (20, 1), (2, 1), (2, 3)])
+def test_equals_a_pipeline_of_indexers(spark, limit, salt):
     """Limits of 20 and 2 send some, then all, columns through the join."""
     df, columns = random_frame(spark), ["a", "b", "c"]
-    got = encode_categoricals(df, columns, max_driver_labels=limit)
+    got = encode_categoricals(df, columns, max_driver_labels=limit, salt=salt)
     want = by_pipeline(df, columns)
     assert got.columns == want.columns
 
@@ -64,6 +64,14 @@ def test_equals_a_pipeline_of_indexers(spark, limit):
     assert values(got) == values(want)
 
 
+def test_joined_indexes_carry_their_label_count(spark):
+    df = random_frame(spark)
+    for limit in (100_000, 2):
+        encoded = encode_categoricals(df, ["a", "b"], max_driver_labels=limit)
+        assert encoded.schema["a_indexed_encoded"].metadata["ml_attr"]["num_attrs"] == 3
+        assert encoded.schema["cat_features"].metadata["ml_attr"]["num_attrs"] == 33
+
+
 def test_weighted_fit_equals_fit_on_the_rows(spark):
     df = random_frame(spark).select("a", "b", "c")
     doubled = df.union(df.filter("a = 'z'")).union(df.filter("b < 4"))

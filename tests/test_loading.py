@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from datetime import datetime, timezone
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -182,6 +183,15 @@ def test_scratch_needs_a_shared_folder_only_on_a_cluster(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(f"{base}/seatgrid/x-")
 
+    def unset(master):
+        conf = SimpleNamespace(get=lambda key, default: default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="app"))
+
+    first, second = scratch_path(unset("local[2]"), "x"), scratch_path(unset("local[2]"), "x")
+    assert first != second and Path(first).parent == Path(second).parent
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(unset("yarn"), "x")
+
 
 def test_declared_schema_keeps_the_corrupt_column(spark, tmp_path):
     path = write_lines(tmp_path / "fine", [snapshot(1, 2, [])])
