@@ -3,13 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seatgrid.schemas import CORRUPT
 
 
+def _present(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Per column, that it holds a value; like ``na.drop``, a NaN counts as missing.
+
+    Single conditions, unlike ``na.drop``, reach the file scan and either side of a join.
+    """
+    conditions = []
+    for name in columns:
+        conditions.append(F.col(name).isNotNull())
+        if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+            conditions.append(~F.isnan(name))
+    return conditions
+
+
 def drop_corrupt(df: DataFrame) -> DataFrame:
     """Keep the lines that parsed, without the corrupt-line column."""
     if CORRUPT not in df.columns:
@@ -19,12 +34,12 @@ def drop_corrupt(df: DataFrame) -> DataFrame:
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Drop rows with a null in any of ``columns``."""
-    return df.na.drop(how="any", subset=list(columns))
+    return reduce(DataFrame.filter, _present(df, columns), df)
 
 
 def require_all_columns(df: DataFrame) -> DataFrame:
     """Drop rows with a null anywhere."""
-    return df.na.drop(how="any")
+    return require_columns(df, df.columns)
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -37,8 +52,8 @@ def load_loss_report(df: DataFrame, dataset: str, required: Sequence[str] = ("cu
     kept = F.lit(True)
     if CORRUPT in df.columns:
         kept = F.col(CORRUPT).isNull()
-    for name in required:
-        kept = kept & F.col(name).isNotNull()
+    for condition in _present(df, required):
+        kept = kept & condition
     counts = df.agg(F.count(F.lit(1)).alias("rows_before"), F.count_if(kept).alias("rows_after"))
     lost = F.col("rows_before") - F.col("rows_after")
     return counts.select(

@@ -31,7 +31,15 @@ def snapshot_rows(inventory: DataFrame) -> DataFrame:
     )
 
 
-def flatten_sections(snapshots: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def keep_section_fields(snapshots: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Only some fields of the nested sections, so that neither the scan nor a shuffle carries the others."""
+    kept = F.arrays_zip(*[F.col(f"section_stats.{field}") for field in fields])
+    return snapshots.withColumn("section_stats", kept)
+
+
+def flatten_sections(
+    snapshots: DataFrame, carry: Sequence[str] = (), fields: Sequence[str] = tuple(SECTION_COLUMNS)
+) -> DataFrame:
     """One row per section, with the stadium totals and any ``carry`` columns repeated.
 
     A null or empty section list gives no row.
@@ -42,7 +50,7 @@ def flatten_sections(snapshots: DataFrame, carry: Sequence[str] = ()) -> DataFra
     )
     return exploded.select(
         "timestamp", "eventId",
-        *[F.col(f"section.{field}").alias(name) for field, name in SECTION_COLUMNS.items()],
+        *[F.col(f"section.{field}").alias(SECTION_COLUMNS[field]) for field in fields],
         "totalStadiumListings", "totalStadiumTickets", *carry,
     )
 

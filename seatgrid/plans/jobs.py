@@ -17,7 +17,7 @@ from seatgrid.operators.joins import join_all, join_event_meta
 from seatgrid.operators.ordering import order_listings, order_price_curve, with_time_to_event
 from seatgrid.operators.performance import prepare_performance
 from seatgrid.operators.quality import load_loss_report, require_all_columns
-from seatgrid.operators.sections import SECTION_COLUMNS, flatten_sections, snapshot_rows
+from seatgrid.operators.sections import SECTION_COLUMNS, flatten_sections, keep_section_fields, snapshot_rows
 from seatgrid.schemas import INVENTORY, META
 from seatgrid.session import scratch_path
 from seatgrid.sources.collections import clean_load, read_json_collection, read_parquet_collection
@@ -26,7 +26,7 @@ from seatgrid.sources.sinks import split_by_event, write_csv, write_parquet_run
 
 def price_through_time(inventory: DataFrame, meta: DataFrame, salt: int = 1, ordered: bool = True) -> DataFrame:
     """Section prices by days to the event, for events with metadata, latest-dated first."""
-    joined = join_event_meta(snapshot_rows(inventory), latest_event_date(meta), salt=salt)
+    joined = join_event_meta(_priced_snapshots(inventory), latest_event_date(meta), salt=salt)
     curve = _price_curve(joined).withColumn("eventId", F.col("eventId").cast("int"))
     return order_price_curve(curve) if ordered else curve
 
@@ -34,13 +34,20 @@ def price_through_time(inventory: DataFrame, meta: DataFrame, salt: int = 1, ord
 def price_through_time_by_grouping(inventory: DataFrame, meta: DataFrame, salt: int = 1) -> DataFrame:
     """The earlier form: events keyed by their first grouping, inventory without an event kept, no order."""
     dates = latest_event_date(meta, event_key="grouping")
-    joined = join_event_meta(snapshot_rows(inventory), dates, how="left_outer", salt=salt)
+    joined = join_event_meta(_priced_snapshots(inventory), dates, how="left_outer", salt=salt)
     return _price_curve(joined).drop("eventId")
 
 
+PRICE_FIELDS = ["sectionId", "averageTicketPrice"]
+
+
+def _priced_snapshots(inventory: DataFrame) -> DataFrame:
+    return keep_section_fields(snapshot_rows(inventory), PRICE_FIELDS)
+
+
 def _price_curve(joined: DataFrame) -> DataFrame:
     timed = joined.withColumn("days_difference", days_difference("timestamp", "event_date"))
-    return flatten_sections(timed, carry=["days_difference"]).select(
+    return flatten_sections(timed, carry=["days_difference"], fields=PRICE_FIELDS).select(
         "days_difference",
         F.col("sectionId").cast("int").alias("sectionId"),
         F.col("averageTicketPrice").cast("float").alias("averageTicketPrice"),

@@ -9,9 +9,11 @@ from seatgrid.operators.joins import join_all, join_event_meta, join_team_day, p
 from seatgrid.operators.ordering import order_listings, top_listings
 from seatgrid.operators.performance import dedup_team_day, prepare_performance
 from seatgrid.operators.sections import explode_sections
+from seatgrid.operators.quality import require_columns
 from seatgrid.plans import jobs
 from seatgrid.plans.jobs import join_listings, price_through_time, structure_all
 from seatgrid.plans.queries import QUERIES, inventory, meta, performance
+from seatgrid.sources.tables import inventory_rows, meta_rows
 
 SF_DIR = "/root/testdata/sf0.001"
 DAY = 86_400_000
@@ -165,3 +167,19 @@ def test_plans_stay_in_the_jvm(spark, name):
 def test_scans_read_only_what_a_query_needs(spark):
     plan = QUERIES["latest_event_date"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "o_totalprice" not in plan and "o_orderpriority" not in plan
+
+
+def test_filters_and_nested_fields_reach_the_scan(spark, tmp_path):
+    stored = {}
+    for name, rows_of in (("inventory", inventory_rows), ("meta", meta_rows)):
+        rows_of(spark, SF_DIR).write.parquet(str(tmp_path / name))
+        stored[name] = require_columns(spark.read.parquet(str(tmp_path / name)), ["current_timestamp"])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        plan = price_through_time(stored["inventory"], stored["meta"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    [scan] = [line for line in plan.splitlines() if "FileScan" in line and "eventId" in line]
+    assert "IsNotNull(current_timestamp)" in scan
+    read = scan.split("ReadSchema")[1]
+    assert "averageTicketPrice" in read and "minTicketPrice" not in read and "totalListings" not in read
