@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatgrid.llm import packing, sharding
+from seatgrid.llm import packing, quality, sharding, simhash
 from seatgrid.llm.common import stored, table
 
 
@@ -16,14 +16,24 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(stored(digests, "op1-pieces"), 2048)
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
     return placed.withColumn("shard", F.col("shard").cast("int")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_minimax_sharding": op9_minimax_sharding,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 SQL: dict[str, str] = {}
