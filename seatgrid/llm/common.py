@@ -74,7 +74,7 @@ class Encoder:
     sure, go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, memo: int = 900_000):
+    def __init__(self, path: str, memo: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -119,7 +119,7 @@ class Encoder:
         split: list[tuple[int, list[str]]] = []
         whole: list[int] = []
         heads: list[str] = []
-        holes: list[tuple[int, list[str], list[bytes | None]]] = []
+        holes: list[tuple[list[int], list[str], list[bytes | None]]] = []
         new: set[str] = set()
         for i, text in enumerate(texts):
             if not text:
@@ -132,11 +132,13 @@ class Encoder:
             split.append((i, found))
             heads.append(head)
             if None in found:
-                holes.append((i, parts, found))
-                new.update(w for w, ids in zip(parts, found) if ids is None)
+                at = [k for k, ids in enumerate(found) if ids is None]
+                holes.append((at, parts, found))
+                new.update([parts[k] for k in at])
         self._learn(new)
-        for _, parts, found in holes:
-            found[:] = [words[w] if ids is None else ids for w, ids in zip(parts, found)]
+        for at, parts, found in holes:
+            for k in at:
+                found[k] = words[parts[k]]
         for (i, found), head in zip(split, self._ids(heads)):
             out[i] = head + b"".join(found)
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
