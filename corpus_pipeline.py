@@ -1,10 +1,53 @@
-"""The text operators as one corpus pipeline."""
+"""The text operators as one corpus pipeline: quality rules, near-duplicates, personal data, mixing, packing."""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from seatgrid.llm import mixing, packing, privacy, quality, simhash
+from seatgrid.llm.common import stored
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.keep_good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id."""
+    return simhash.keep_first(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data in their texts replaced by labels."""
+    return privacy.sanitise(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, sorted into the mix of their sources."""
+    return mixing.mixed(docs, temperature=0.7)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their token ids and their places in sequences of 2048 ids."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near-duplicates", near_duplicates),
+    ("personal data", personal_data),
+    ("source mix", source_mix),
+    ("best-fit packing", sequences),
+]
+
+#: Fingerprints, components and tokenizers are beyond SQL; the tests hold ``run`` against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)

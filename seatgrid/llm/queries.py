@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatgrid.llm import packing, quality, sharding, simhash
+from seatgrid.llm import mixing, packing, privacy, quality, sharding, simhash
 from seatgrid.llm.common import stored, table
 
 
@@ -16,10 +16,27 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(stored(digests, "op1-pieces"), 2048)
 
 
+def op2_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), temperature=0.7)
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def _of_kind(kind: str):
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op8_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = privacy.find_private(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *map(_of_kind, privacy.KINDS),
+        F.sha2(privacy.span_list("base"), 256).alias("base_sha256"), privacy.span_list("spans").alias("spans"),
+    )
+
+
 def op9_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
     return placed.withColumn("shard", F.col("shard").cast("int")).withColumn("grown_shard", F.lit(None).cast("int"))
@@ -31,7 +48,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_pfair_mixing": op2_pfair_mixing,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_private_data": op8_private_data,
     "op9_minimax_sharding": op9_minimax_sharding,
     "op10_quality_rules": op10_quality_rules,
 }
