@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatgrid.llm import mixing, packing, privacy, quality, sharding, simhash
+from seatgrid.llm import mixing, packing, privacy, quality, sharding, simhash, tokenids
 from seatgrid.llm.common import stored, table
+from seatgrid.session import scratch_path
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,12 @@ def op2_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), temperature=0.7)
 
 
+def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-ids")
+    manifest = tokenids.write_token_ids(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), 2)
+    return tokenids.read_token_ids(spark, folder, manifest).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,6 +56,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pfair_mixing": op2_pfair_mixing,
+    "op5_token_ids": op5_token_ids,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_private_data": op8_private_data,
     "op9_minimax_sharding": op9_minimax_sharding,
