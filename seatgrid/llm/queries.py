@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatgrid.llm import mixing, packing, privacy, quality, sharding, simhash, tokenids
+from seatgrid.llm import mixing, packing, privacy, quality, sharding, simhash, tokenids, topk
 from seatgrid.llm.common import stored, table
 from seatgrid.session import scratch_path
 
@@ -27,6 +27,12 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.read_token_ids(spark, folder, manifest).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stored(topk.whole_vectors(table(spark, sf_dir, "embeddings")), "topk-vectors")
+    queries = rows.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "v")
+    return topk.Search(rows).top(queries, 5)
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,10 +63,27 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pfair_mixing": op2_pfair_mixing,
     "op5_token_ids": op5_token_ids,
+    "op6_exact_top_k": op6_exact_top_k,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_private_data": op8_private_data,
     "op9_minimax_sharding": op9_minimax_sharding,
     "op10_quality_rules": op10_quality_rules,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_exact_top_k": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM pairs
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+    """,
+}
