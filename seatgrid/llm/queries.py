@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatgrid.llm import mixing, packing, privacy, quality, sharding, simhash, tokenids, topk
-from seatgrid.llm.common import stored, table
+from seatgrid.llm import languages, mixing, packing, privacy, quality, sharding, simhash, tokenids, topk, toxicity
+from seatgrid.llm.common import doc_hash, stored, table
 from seatgrid.session import scratch_path
 
 
@@ -21,6 +21,21 @@ def op2_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), temperature=0.7)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = doc_hash() % 5 == 0
+    model = languages.fit_languages(docs.filter(~held_out))
+    found = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), languages.predict_language(F.col("text"), model).alias("x"))
+    return found.select("doc_id", "held_out", "x.*")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.toxicity(docs, labels, doc_hash() % 3 != 1)
+    held_out = F.coalesce(doc_hash() % 3 == 1, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-ids")
     manifest = tokenids.write_token_ids(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), 2)
@@ -62,6 +77,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pfair_mixing": op2_pfair_mixing,
+    "op3_language_id": op3_language_id,
+    "op4_toxicity": op4_toxicity,
     "op5_token_ids": op5_token_ids,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
