@@ -155,12 +155,13 @@ def fit_quality(stats: DataFrame, least_rows: int = 200, steps: int = 4) -> Data
     cells = rows.groupBy("cell_lang", "cell_source").agg(F.count(F.lit(1)).alias("n"))
     cells = stored(cells, "quality-cells")
     langs = cells.groupBy("cell_lang").agg(F.sum("n").alias("n_lang"))
+    enough = (cells.agg(F.sum("n")).first()[0] or 0) >= least_rows
     sized = stored(
-        cells.join(langs, "cell_lang").crossJoin(cells.agg(F.sum("n").alias("n_all"))).select(
+        cells.join(langs, "cell_lang").select(
             "cell_lang", "cell_source",
             F.when(F.col("n") >= least_rows, F.struct("cell_lang", "cell_source"))
             .when(F.col("n_lang") >= least_rows, F.struct("cell_lang", F.lit("*").alias("cell_source")))
-            .when(F.col("n_all") >= least_rows, F.struct(F.lit("*").alias("cell_lang"), F.lit("*").alias("cell_source")))
+            .when(F.lit(enough), F.struct(F.lit("*").alias("cell_lang"), F.lit("*").alias("cell_source")))
             .alias("uses"),
         ).filter("uses is not null"),
         "quality-sized",
