@@ -63,7 +63,8 @@ def links(prints: DataFrame, segments: int = 2) -> DataFrame:
     bit = [F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(BITS)]
     own = F.col("fingerprint")
     keys = F.array(own, *[own.bitwiseXOR(bit[s * width + i]) for s in range(segments) for i in range(width)])
-    entries = prints.select("fingerprint", F.explode(keys).alias("key"))
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes each, but 65 entries
+    entries = prints.repartition(tasks, "fingerprint").select("fingerprint", F.explode(keys).alias("key"))
     members = entries.groupBy("key").agg(
         F.bit_or(own.bitwiseXOR(F.col("key"))).alias("flips"), F.max((own == F.col("key")).cast("int")).alias("centre")
     ).filter(F.bit_count("flips") + F.col("centre") > 1)
