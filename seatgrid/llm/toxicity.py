@@ -1,7 +1,7 @@
 """Toxicity by weak supervision: many voters, a generative label model over them, a linear classifier on its labels.
 
 Lexicons of words and word fronts are mined from a bounded sample of labelled texts. Lexicons and patterns vote
-toxic, clean or nothing on every text. From the counts of vote patterns alone (no labels) the label model estimates how often
+toxic or nothing on every text. From the counts of vote patterns alone (no labels) the label model estimates how often
 each voter votes what in either class, and how voters go together within a class, by expectation-maximisation; voters that
 say the same thing share their weight. Its posteriors are the labels on which a logistic regression is fitted.
 """
@@ -26,7 +26,7 @@ BUCKETS = 256
 _WORDS = re.compile(r"[^\W\d_]+")
 TOXIC, CLEAN, NONE = 1, 0, -1
 VOTERS = (
-    "words a", "words b", "words c", "weak words", "fronts of 4", "fronts of 5", "fronts of 6", "several terms", "shouting", "nothing found",
+    "words a", "words b", "words c", "weak words", "fronts of 4", "fronts of 5", "fronts of 6", "several terms", "shouting",
 )
 
 
@@ -56,12 +56,10 @@ class Lexicons:
             "several terms": sum(k == 0 and s for k, t, s in found) > 1,
             "shouting": text.count("!") * 20 > len(text) > 0,
         }
-        votes = [TOXIC if hit.get(v) else NONE for v in VOTERS]
-        votes[-1] = NONE if found else CLEAN
-        return votes
+        return [TOXIC if hit[v] else NONE for v in VOTERS]
 
     def features(self, found: list[tuple[int, str, bool]], votes: list[int]) -> list[float]:
-        out = [float(v == TOXIC) for v in votes] + [float(v == CLEAN) for v in votes]
+        out = [float(v == TOXIC) for v in votes]
         buckets = [0.0] * BUCKETS
         for k, t, s in found:
             if s:
@@ -104,7 +102,8 @@ def mine(sample: DataFrame, most_terms: int = 4000, least_texts: int = 5, lift:
 def label_model(patterns: dict[tuple[int, ...], int], rounds: int = 40) -> dict[tuple[int, ...], float]:
     """Posterior of toxic for each vote pattern, from the patterns' counts.
 
-    Given the class, a voter's votes have a distribution of their own. Voters that go together within the classes
+    Given the class, a voter's votes (toxic, clean or none) have a distribution of their own. A voter that is a function
+    of all the others (one that votes clean where none of them votes, say) tells nothing and must not be among them. Voters that go together within the classes
     (by their correlation, averaged over the classes) are each weighted 1 / (1 + sum of squared correlations).
     """
     keys = sorted(patterns)
@@ -165,7 +164,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int =
     known = rows.filter("learned")
     counts = {tuple(r["votes"]): r["count"] for r in known.groupBy("votes").count().collect()}  # 3 ^ voters patterns at most
     post = label_model(counts) if counts else {}
-    weights, bias = np.zeros(2 * len(VOTERS) + BUCKETS), -4.0
+    weights, bias = np.zeros(len(VOTERS) + BUCKETS), -4.0
     if post and max(post.values()) > 0.5 > min(post.values()):
         # Equal rows are one row with a weight; of these as many are drawn as may be fitted, by their hash.
         same = known.groupBy("votes", "features").agg(F.count(F.lit(1)).cast("double").alias("n"))

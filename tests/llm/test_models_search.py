@@ -62,16 +62,15 @@ def test_op4_on_held_out_texts(spark):
 def test_label_model_finds_accuracies_without_labels():
     rng = np.random.default_rng(4)
     truth = rng.random(6000) < 0.2
-    votes = np.full((6000, 5), toxicity.NONE)
+    votes = np.full((6000, 4), toxicity.NONE)
     for j, (hit, wrong) in enumerate([(0.9, 0.02), (0.8, 0.05), (0.7, 0.02)]):
         votes[rng.random(6000) < np.where(truth, hit, wrong), j] = toxicity.TOXIC
     votes[:, 3] = votes[:, 2]  # says what another voter says
-    votes[(votes == toxicity.TOXIC).sum(1) == 0, 4] = toxicity.CLEAN
     patterns, counts = np.unique(votes, axis=0, return_counts=True)
     post = toxicity.label_model({tuple(map(int, p)): int(n) for p, n in zip(patterns, counts)})
     right = np.mean([(post[tuple(map(int, v))] > 0.5) == t for v, t in zip(votes, truth)])
     best = sum(max(t, n - t) for p, n in zip(patterns, counts) for t in [truth[(votes == p).all(1)].sum()]) / len(truth)
-    assert right > best - 0.02
+    assert right > best - 0.005
 
 
 def test_toxicity_of_edge_rows(spark, edge_docs, edge_rows, no_docs):
