@@ -82,8 +82,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataF
     return texts.groupBy("text").agg(F.max("toxic").alias("toxic"))
 
 
-def mine(sample: DataFrame, most_terms: int = 4000, least_texts: int = 5, lift: float = 8.0, strong: float = 40.0) -> Lexicons:
-    """Words and word fronts that are ``lift`` times as frequent in toxic texts of ``sample`` as in others."""
+def mine(sample: DataFrame, most_terms: int = 4000, least_share: float = 0.006, lift: float = 8.0, strong: float = 40.0) -> Lexicons:
+    """Words and word fronts that are ``lift`` times as frequent in toxic texts of ``sample`` as in others.
+
+    A term needs ``least_share`` of the toxic texts, and four at least, so that what near-copies of one text share is no term.
+    """
     word = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
     kinds = [F.transform("words", lambda w: F.struct(F.lit(0).alias("kind"), w.alias("term")))]
 
@@ -93,7 +96,9 @@ def mine(sample: DataFrame, most_terms: int = 4000, least_texts: int = 5, lift:
 
     rows = sample.withColumn("words", word).select("toxic", F.explode(F.concat(*kinds, *map(fronts, FRONTS))).alias("t"))
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    counted = rows.groupBy("t").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).filter(F.col("bad") >= least_texts)
+    counted = rows.groupBy("t").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).filter(
+        F.col("bad") >= max(4.0, least_share * n.get(1, 0))
+    )
     times = ((F.col("bad") + 0.5) / (n.get(1, 0) + 1)) / ((F.col("good") + 0.5) / (n.get(0, 0) + 1))
     best = counted.withColumn("times", times).filter(F.col("times") >= lift).orderBy(F.desc("times"), "t").limit(most_terms)
     return Lexicons([(r["t"]["kind"], r["t"]["term"], r["times"] >= strong) for r in best.collect()])
