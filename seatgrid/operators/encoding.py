@@ -1,25 +1,26 @@
 """One-hot encoding of categorical columns ranked by label frequency.
 
-All columns are fitted in one aggregate. Label lists up to ``max_driver_labels`` go into a
-``StringIndexerModel``; beyond that the labels are ranked by a distributed sort and joined, which gives the
-same indexes without bringing the labels to the driver.
+All columns are counted in one aggregate; the labels are ranked by a distributed sort and joined back by
+equality, at every size. Spark broadcasts a column's labels when their measured size allows.
+
+The encoded vectors come in two forms, chosen by the caller: ``pyspark.ml`` vectors, whose metadata holds one number
+for their length, and slot numbers (``array<int>``), which need nothing on the driver but one count per column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seatgrid.operators.joins import keyed_join
+from seatgrid.operators.joins import SALT, keyed_join
 from seatgrid.session import scratch_path
 
 DEFAULT_COLUMNS = ["Home_Team_Id", "Away_Team_Id", "sectionId", "DayofWeek", "GameTime"]
-MAX_DRIVER_LABELS = 100_000
 
 
 def label_frequencies(df: DataFrame, columns: Sequence[str], weight: Column | None = None) -> DataFrame:
@@ -43,16 +44,17 @@ def label_frequencies(df: DataFrame, columns: Sequence[str], weight: Column | No
     )
 
 
-def rank_labels(frequencies: DataFrame) -> DataFrame:
+def rank_labels(frequencies: DataFrame, stage: str | None = None) -> DataFrame:
     """Adds ``label_index``: 0 for the most frequent label of its column, ties in label order.
 
     A total sort numbers the rows inside each sorted partition; the numbers of rows before each partition
-    and each column are then added from two tiny tables, one row per partition and one per column.
+    and each column are then added from two tiny tables, one row per partition and one per column. The numbered
+    rows are stored under ``stage``, a shared folder, by default in the session's.
     """
     spark = frequencies.sparkSession
     ordered = frequencies.orderBy("position", F.col("n").desc(), "label")
     numbered = ordered.withColumn("_row", F.monotonically_increasing_id())
-    path = scratch_path(spark, "labels")
+    path = f"{stage.rstrip('/')}/labels" if stage else scratch_path(spark, "labels")
     numbered.write.parquet(path)
     # Stored once: a second run of the sort may cut its partitions elsewhere and number the rows differently.
     stored = spark.read.schema(numbered.schema).parquet(path).withColumn("_part", F.shiftright("_row", 33))
@@ -87,66 +89,57 @@ def _encoded(name: str) -> str:
     return f"{name}_indexed_encoded"
 
 
-def _index_with_model(df: DataFrame, columns: Sequence[str], rows: list) -> DataFrame:
-    """``rows`` are the ``position, label, n`` rows of ``columns``, in any order."""
-    labels: dict[int, list[str]] = {}
-    for row in sorted(rows, key=lambda row: (row["position"], -row["n"], row["label"])):
-        labels.setdefault(row["position"], []).append(row["label"])
-    if len(labels) < len(columns):
-        # A column without any label leaves no row.
-        return df.filter(F.lit(False)).withColumns({_indexed(name): F.lit(0.0) for name in columns})
-    # One model per column: a single model would need label lists of one length.
-    for name, position in zip(columns, sorted(labels)):
-        model = StringIndexerModel.from_labels(
-            labels[position], inputCol=name, outputCol=_indexed(name), handleInvalid="error"
-        )
-        df = model.transform(df)
-    return df
+def label_counts(df: DataFrame, columns: Sequence[str]) -> list[int]:
+    """How many labels each indexed column has, from its metadata."""
+    return [df.schema[_indexed(name)].metadata["ml_attr"]["num_vals"] for name in columns]
 
 
-def _index_with_join(
-    df: DataFrame, columns: Sequence[str], ranked: DataFrame, model_limit: int, salt: int
+def index_labels(
+    df: DataFrame,
+    columns: Sequence[str],
+    fit_on: DataFrame | None = None,
+    weight: Column | None = None,
+    salt: int = SALT,
+    stage: str | None = None,
 ) -> DataFrame:
-    """Columns with up to ``model_limit`` labels still use the model, only the larger ones are joined."""
+    """Adds ``<column>_indexed``; rows with a null in any of ``columns`` are dropped.
+
+    ``fit_on`` (with ``weight``) is a smaller frame with the same label frequencies, when the caller has one.
+    The metadata of an index holds the number of labels, in the form ``pyspark.ml`` reads.
+    """
+    ranked = rank_labels(label_frequencies(df if fit_on is None else fit_on, columns, weight), stage)
+    ranked = _kept(ranked, f"{stage.rstrip('/')}/ranks" if stage else scratch_path(df.sparkSession, "ranks"))
     sizes = {row["position"]: row["count"] for row in ranked.groupBy("position").count().collect()}
-    small = [position for position in range(len(columns)) if sizes.get(position, 0) <= model_limit]
+    # One condition per column, so that each moves to the side of a join that has it.
     result = df
-    if small:
-        rows = ranked.filter(F.col("position").isin(small)).select("position", "label", "n").collect()
-        result = _index_with_model(df, [columns[position] for position in small], rows)
-    for position in sorted(set(range(len(columns))) - set(small)):
-        name = columns[position]
+    for name in columns:
+        result = result.filter(F.col(name).isNotNull())
+    for position, name in enumerate(columns):
         lookup = ranked.filter(F.col("position") == position).select(
             F.col("label").alias("_label"), F.col("label_index").alias(_indexed(name))
         )
         valued = result.withColumn("_value", F.col(name).cast("string"))
         result = keyed_join(valued, lookup, "_value", "_label", "inner", salt).drop("_value", "_label")
-        # The label count, which the one-hot step would otherwise run an aggregate for.
-        nominal = {"type": "nominal", "name": _indexed(name), "num_vals": sizes[position]}
+        nominal = {"type": "nominal", "name": _indexed(name), "num_vals": sizes.get(position, 0)}
         result = result.withMetadata(_indexed(name), {"ml_attr": nominal})
     return result.select(*df.columns, *[_indexed(name) for name in columns])
 
 
-def index_labels(
-    df: DataFrame,
-    columns: Sequence[str],
-    fit_on: DataFrame | None = None,
-    weight: Column | None = None,
-    max_driver_labels: int = MAX_DRIVER_LABELS,
-    salt: int = 1,
-) -> DataFrame:
-    """Adds ``<column>_indexed``; rows with a null in any of ``columns`` are dropped.
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    ``fit_on`` (with ``weight``) is a smaller frame with the same label frequencies, when the caller has one.
+
+def feature_slots(df: DataFrame, columns: Sequence[str], output: str = "feature_slots") -> DataFrame:
+    """Adds the slots of the ones in the assembled vector, as ``array<int>``, without building any vector.
+
+    A column's slots come after those of the columns before it. The width of the whole is in the metadata of
+    ``output`` (``num_attrs``). For columns with very many labels.
     """
-    frequencies = label_frequencies(df if fit_on is None else fit_on, columns, weight)
-    # One condition per column, so that each moves to the side of a join that has it.
-    for name in columns:
-        df = df.filter(F.col(name).isNotNull())
-    rows = frequencies.limit(max_driver_labels + 1).collect()
-    if len(rows) <= max_driver_labels:
-        return _index_with_model(df, columns, rows)
-    return _index_with_join(df, columns, rank_labels(frequencies), max_driver_labels // len(columns), salt)
+    sizes = label_counts(df, columns)
+    starts = [sum(sizes[:position]) for position in range(len(columns))]
+    slots = F.array(*[(F.col(_indexed(name)) + start).cast("int") for name, start in zip(columns, starts)])
+    return df.withColumn(output, slots).withMetadata(output, {"num_attrs": sum(sizes)})
 
 
 def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -179,16 +172,6 @@ def expand_vector(df: DataFrame, column: str = "cat_features", prefix: str = "ca
     )
 
 
-def vector_slots(column: str) -> Column:
-    """The positions of a vector's non-zero entries, as comma-separated text.
-
-    A sparse vector's text form lists them; only a short vector, stored dense, is walked slot by slot.
-    """
-    text = F.col(column).cast("string")
-    marked = F.transform(vector_to_array(F.col(column)), lambda value, i: F.when(value != 0, i.cast("string")))
-    return F.when(text.startswith("("), F.regexp_extract(text, r"\[([^\]]*)\]", 1)).otherwise(F.array_join(marked, ","))
-
-
 def vectors_as_text(df: DataFrame) -> DataFrame:
     """Every vector column as its text form, which names only the non-zero slots of a sparse vector."""
     return df.withColumns(
@@ -200,16 +183,28 @@ def vectors_as_text(df: DataFrame) -> DataFrame:
     )
 
 
+def encode_indexed(df: DataFrame, columns: Sequence[str], include_dense: bool = False, vectors: bool = True) -> DataFrame:
+    """Encodes and assembles indexed columns, row by row, so that an order of ``df`` stays.
+
+    Without ``vectors`` there is one column of slot numbers instead of the vectors.
+    """
+    if not vectors:
+        return feature_slots(df, columns)
+    if 0 in label_counts(df, columns):
+        raise ValueError("a column without labels cannot be encoded")
+    assembled = assemble(one_hot(df, columns), columns)
+    return expand_vector(assembled) if include_dense else assembled
+
+
 def encode_categoricals(
     df: DataFrame,
     columns: Sequence[str] = tuple(DEFAULT_COLUMNS),
     include_dense: bool = False,
     fit_on: DataFrame | None = None,
     weight: Column | None = None,
-    max_driver_labels: int = MAX_DRIVER_LABELS,
-    salt: int = 1,
+    salt: int = SALT,
+    vectors: bool = True,
+    stage: str | None = None,
 ) -> DataFrame:
     """Index, one-hot encode and assemble ``columns``; ``include_dense`` also expands the result."""
-    indexed = index_labels(df, columns, fit_on, weight, max_driver_labels, salt)
-    assembled = assemble(one_hot(indexed, columns), columns)
-    return expand_vector(assembled) if include_dense else assembled
+    return encode_indexed(index_labels(df, columns, fit_on, weight, salt, stage), columns, include_dense, vectors)

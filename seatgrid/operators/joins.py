@@ -1,9 +1,11 @@
 """Joins of inventory with events and with team days.
 
 The right side of each has one row per key, so a join never multiplies rows and one hot key can only be hot
-on the left. Adaptive execution broadcasts the right side when its measured size allows, and otherwise splits
-a hot key's partition over many tasks. ``salt`` does the split up front for sessions where adaptive
-execution is off: left rows spread over ``salt`` sub-keys by a hash of their content, right rows go to all.
+on the left. Left rows are spread over ``salt`` sub-keys by a hash of their content, right rows go to all of them:
+a hot key is cut up front, and, because the join key then differs from the key the right side was grouped by,
+adaptive execution can cut it further. (With ``salt=1`` it cannot, where the right side is a live aggregate or
+window on the join key: that side then has no shuffle of its own.) A right side that is small by its measured
+size is broadcast all the same.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from seatgrid.functions.times import team_day_key
 from seatgrid.operators.performance import KEY as PERFORMANCE_KEY
 
 JOINED_KEY = "Concatenated_joined"
+SALT = 4
 
 
 def _content_hash(df: DataFrame) -> Column:
@@ -25,7 +28,7 @@ def _content_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[field.name for field in df.schema if not isinstance(field.dataType, T.MapType)])
 
 
-def keyed_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str, salt: int = 1) -> DataFrame:
+def keyed_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str, salt: int = SALT) -> DataFrame:
     """Equi-join of ``left`` with one-row-per-key ``right``; ``how`` is ``inner`` or ``left_outer``."""
     if how not in ("inner", "left_outer"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -40,7 +43,7 @@ def keyed_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     return spread.join(copies, same, how).drop("_left_salt", "_right_salt")
 
 
-def join_event_meta(inventory: DataFrame, events: DataFrame, how: str = "inner", salt: int = 1) -> DataFrame:
+def join_event_meta(inventory: DataFrame, events: DataFrame, how: str = "inner", salt: int = SALT) -> DataFrame:
     """Snapshots or section rows with their event's columns; ``left_outer`` keeps those without an event."""
     return keyed_join(inventory, events, "eventId", "id", how, salt).drop("id")
 
@@ -57,11 +60,11 @@ def prefixed(performance: DataFrame, prefix: str, keep: Sequence[str] = (PERFORM
     )
 
 
-def join_team_day(keyed: DataFrame, performance: DataFrame, salt: int = 1) -> DataFrame:
+def join_team_day(keyed: DataFrame, performance: DataFrame, salt: int = SALT) -> DataFrame:
     """Left join with the performance of the home team that day; a null key has no partner."""
     return keyed_join(keyed, performance, JOINED_KEY, PERFORMANCE_KEY, "left_outer", salt)
 
 
-def join_all(inventory: DataFrame, events: DataFrame, performance: DataFrame, salt: int = 1) -> DataFrame:
+def join_all(inventory: DataFrame, events: DataFrame, performance: DataFrame, salt: int = SALT) -> DataFrame:
     """Event join, team-day key, performance join."""
     return join_team_day(add_joined_key(join_event_meta(inventory, events, salt=salt)), performance, salt)

@@ -67,8 +67,13 @@ def null_audit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in columns])
 
 
-def join_coverage(df: DataFrame, key: str = "Concatenated_perf") -> DataFrame:
-    """Rows of a left join, rows without a partner, and the percentage with one."""
-    counts = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col(key).isNull()).alias("unmatched"))
+def join_coverage(df: DataFrame, key: str = "Concatenated_perf", weight: Column | None = None) -> DataFrame:
+    """Rows of a left join, rows without a partner, and the percentage with one.
+
+    ``weight`` is the number of rows that one row of ``df`` stands for.
+    """
+    rows = (F.lit(1) if weight is None else weight).cast("bigint")
+    sums = df.agg(F.sum(rows).alias("total"), F.sum(F.when(F.col(key).isNull(), rows)).alias("unmatched"))
+    counts = sums.select(F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("unmatched", F.lit(0)).alias("unmatched"))
     matched = F.col("total") - F.col("unmatched")
     return counts.select("total", "unmatched", _percent(matched, F.col("total")).alias("pct_matched"))

@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatgrid.functions.times import days_difference
-from seatgrid.operators.encoding import DEFAULT_COLUMNS, encode_categoricals
+from seatgrid.operators.encoding import DEFAULT_COLUMNS, encode_indexed, index_labels
 from seatgrid.operators.events import latest_event_date, resolve_events
-from seatgrid.operators.joins import join_all, join_event_meta
+from seatgrid.operators.joins import JOINED_KEY, SALT, add_joined_key, join_all, join_event_meta, keyed_join
 from seatgrid.operators.ordering import order_listings, order_price_curve, with_time_to_event
+from seatgrid.operators.performance import KEY as PERFORMANCE_KEY
 from seatgrid.operators.performance import prepare_performance
-from seatgrid.operators.quality import load_loss_report, require_all_columns
+from seatgrid.operators.quality import join_coverage, load_loss_report, require_all_columns
 from seatgrid.operators.sections import SECTION_COLUMNS, flatten_sections, keep_section_fields, snapshot_rows
 from seatgrid.schemas import INVENTORY, META
 from seatgrid.session import scratch_path
@@ -24,14 +25,14 @@ from seatgrid.sources.collections import clean_load, read_json_collection, read_
 from seatgrid.sources.sinks import split_by_event, write_csv, write_parquet_run
 
 
-def price_through_time(inventory: DataFrame, meta: DataFrame, salt: int = 1, ordered: bool = True) -> DataFrame:
+def price_through_time(inventory: DataFrame, meta: DataFrame, salt: int = SALT, ordered: bool = True) -> DataFrame:
     """Section prices by days to the event, for events with metadata, latest-dated first."""
     joined = join_event_meta(_priced_snapshots(inventory), latest_event_date(meta), salt=salt)
     curve = _price_curve(joined).withColumn("eventId", F.col("eventId").cast("int"))
     return order_price_curve(curve) if ordered else curve
 
 
-def price_through_time_by_grouping(inventory: DataFrame, meta: DataFrame, salt: int = 1) -> DataFrame:
+def price_through_time_by_grouping(inventory: DataFrame, meta: DataFrame, salt: int = SALT) -> DataFrame:
     """The earlier form: events keyed by their first grouping, inventory without an event kept, no order."""
     dates = latest_event_date(meta, event_key="grouping")
     joined = join_event_meta(_priced_snapshots(inventory), dates, how="left_outer", salt=salt)
@@ -56,7 +57,7 @@ def _price_curve(joined: DataFrame) -> DataFrame:
 
 
 def join_listings(inventory: DataFrame, events: DataFrame, performance: DataFrame, strict: bool = False,
-                  salt: int = 1) -> DataFrame:
+                  salt: int = SALT) -> DataFrame:
     """Section rows with event, performance and time features, from one-row-per-key events and performance.
 
     Both joins and all features work on snapshots; the sections are flattened out at the end.
@@ -69,16 +70,32 @@ def join_listings(inventory: DataFrame, events: DataFrame, performance: DataFram
     return flatten_sections(joined, carry=[name for name in joined.columns if name not in snapshots.columns])
 
 
-def label_basis(inventory: DataFrame, events: DataFrame, salt: int = 1) -> DataFrame:
-    """Event columns and ``sectionId`` of the listings, one row per event and section with its ``weight``.
+def listing_coverage(inventory: DataFrame, events: DataFrame, performance: DataFrame, salt: int = SALT) -> DataFrame:
+    """:func:`join_coverage` of the listings, counted on snapshots by their number of sections."""
+    joined = join_all(snapshot_rows(inventory), events, performance, salt)
+    return join_coverage(joined, weight=F.coalesce(F.array_size("section_stats"), F.lit(0)))
 
-    The counts are combined before the join, so fitting labels never moves single listings.
+
+def label_basis(
+    inventory: DataFrame, events: DataFrame, performance: DataFrame | None = None, salt: int = SALT
+) -> DataFrame:
+    """Columns of the listings other than their times and prices, in fewer rows, each with its ``weight``.
+
+    One row per event and section; with ``performance``, per event, section and team day, with its columns too. The
+    counts are combined before the joins, so fitting labels never moves single listings.
     """
-    counts = (
-        flatten_sections(snapshot_rows(inventory))
-        .groupBy("eventId", "sectionId").agg(F.count(F.lit(1)).alias("weight"))
+    if performance is None:
+        counts = flatten_sections(snapshot_rows(inventory)).groupBy("eventId", "sectionId").agg(
+            F.count(F.lit(1)).alias("weight")
+        )
+        return join_event_meta(counts, events, salt=salt)
+    # The team-day key needs the home team; any instant of a day gives the same key, so the first stands for all.
+    day = F.floor(F.substring(F.col("timestamp").cast("string"), 1, 10).cast("bigint") / 86400)
+    counts = flatten_sections(snapshot_rows(inventory)).groupBy("eventId", "sectionId", day.alias("_day")).agg(
+        F.count(F.lit(1)).alias("weight"), F.min("timestamp").alias("timestamp")
     )
-    return join_event_meta(counts, events, salt=salt)
+    keyed = add_joined_key(join_event_meta(counts.drop("_day"), events, salt=salt))
+    return keyed_join(keyed, performance, JOINED_KEY, PERFORMANCE_KEY, "left_outer", salt)
 
 
 def structure_prepared(
@@ -89,28 +106,34 @@ def structure_prepared(
     include_dense: bool = False,
     ordered: bool = True,
     strict: bool = False,
-    salt: int = 1,
+    salt: int = SALT,
+    vectors: bool = True,
+    stage: str | None = None,
 ) -> DataFrame:
-    """:func:`structure_all` from resolved events and prepared performance."""
+    """:func:`structure_all` from resolved events and prepared performance, best from stored ones."""
     listings = join_listings(inventory, events, performance, strict, salt)
-    basis = label_basis(inventory, events, salt)
-    weight = F.col("weight")
+    basis, weight = label_basis(inventory, events, salt=salt), F.col("weight")
     if not set(columns) <= set(basis.columns):
-        basis, weight = listings, None
-    if ordered:
-        listings = order_listings(listings)
-    # Encoding adds columns row by row, so it keeps the order and comes after the sort moved narrower rows.
-    return encode_categoricals(listings, columns, include_dense, fit_on=basis, weight=weight, salt=salt)
+        basis = label_basis(inventory, events, performance, salt)
+    if not set(columns) <= set(basis.columns):
+        basis, weight = listings, None  # a column of single listings: their times or prices
+    indexed = index_labels(listings, columns, basis, weight, salt, stage)
+    # The sort comes after the last join; encoding then adds columns row by row and keeps the order.
+    return encode_indexed(order_listings(indexed) if ordered else indexed, columns, include_dense, vectors)
 
 
-def structure_all(inventory: DataFrame, meta: DataFrame, performance: DataFrame, **options) -> DataFrame:
+def structure_all(
+    inventory: DataFrame, meta: DataFrame, performance: DataFrame, stage: str | None = None, **options
+) -> DataFrame:
     """The full table: listings with team, calendar, performance and time features, one-hot encoded.
 
-    Fitting the labels runs a job; the rest is one lazy plan.
+    Events and team days are computed once and kept under ``stage``, a shared folder, by default in the session's: both
+    the fit of the labels and the listings read them. Fitting the labels runs jobs; the rest is one lazy plan.
     """
-    return structure_prepared(
-        inventory, resolve_events(meta, options.get("strict", False)), prepare_performance(performance), **options
-    )
+    stage = stage or scratch_path(inventory.sparkSession, "structure")
+    events = _staged(resolve_events(meta, options.get("strict", False)), f"{stage}/events")
+    team_days = _staged(prepare_performance(performance), f"{stage}/team_days")
+    return structure_prepared(inventory, events, team_days, stage=stage, **options)
 
 
 @dataclass
@@ -131,10 +154,11 @@ def run_structure_all(
     ts: datetime | None = None,
     split_path: str | None = None,
     split_format: str = "csv",
+    split_buckets: int | None = None,
     stage: str | None = None,
     **options,
 ) -> StructuredRun:
-    """JSON collections to a Parquet run, then to one sub-folder per event.
+    """JSON collections to a Parquet run, then to one sub-folder per event, or ``split_buckets`` folders of events.
 
     The parsed collections, the events and the performance rows are kept as Parquet under ``stage``, so the
     JSON is parsed once, the fit and the write read columns, and the joins are planned by true file sizes.
@@ -152,11 +176,11 @@ def run_structure_all(
     events = _staged(resolve_events(loaded["meta"], options.get("strict", False)), f"{stage}/events")
     performance = _staged(prepare_performance(loaded["performance"]), f"{stage}/team_days")
 
-    structured = structure_prepared(loaded["inventory"], events, performance, **options)
+    structured = structure_prepared(loaded["inventory"], events, performance, stage=stage, **options)
     path = write_parquet_run(structured, base, label, ts)
     if split_path is not None:
         written = read_parquet_collection(spark, path)
-        split_by_event(written, split_path, split_format, order_by=["sectionId", "Time_to_event"])
+        split_by_event(written, split_path, split_format, order_by=["sectionId", "Time_to_event"], buckets=split_buckets)
     return StructuredRun(path, split_path, reduce(DataFrame.unionByName, reports))
 
 
@@ -168,7 +192,8 @@ def run_price_through_time(
     label: str,
     ts: datetime | None = None,
     by_grouping: bool = False,
-    salt: int = 1,
+    salt: int = SALT,
+    stage: str | None = None,
 ) -> str:
     """JSON collections to a Parquet run of the price curve; the earlier form takes its rows uncleaned."""
     if by_grouping:
@@ -176,8 +201,9 @@ def run_price_through_time(
         meta = read_json_collection(spark, meta_path, META)
         curve = price_through_time_by_grouping(inventory, meta, salt)
     else:
-        inventory, _ = clean_load(spark, inventory_path, INVENTORY, "inventory")
-        meta, _ = clean_load(spark, meta_path, META, "meta")
+        stage = stage or scratch_path(spark, "curve")
+        inventory, _ = clean_load(spark, inventory_path, INVENTORY, "inventory", f"{stage}/inventory")
+        meta, _ = clean_load(spark, meta_path, META, "meta", f"{stage}/meta")
         curve = price_through_time(inventory, meta, salt)
     return write_parquet_run(curve, base, label, ts)
 

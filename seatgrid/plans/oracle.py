@@ -19,14 +19,15 @@ inv AS (
          CAST(l_quantity AS BIGINT) AS section_tickets
   FROM lineitem
 ),
-sections AS (
+all_sections AS (
   SELECT ts, event_id, section_a AS section_id, price_a AS price, min_a AS min_price,
          CAST(1 AS BIGINT) AS section_listings, section_tickets, listings, tickets
-  FROM inv WHERE kind > 1 AND ts IS NOT NULL
+  FROM inv WHERE kind > 1
   UNION ALL
   SELECT ts, event_id, section_b, price_b, price_a, CAST(2 AS BIGINT), section_tickets, listings, tickets
-  FROM inv WHERE kind > 1 AND ts IS NOT NULL
-)"""
+  FROM inv WHERE kind > 1
+),
+sections AS (SELECT * FROM all_sections WHERE ts IS NOT NULL)"""
 
 META_SQL = """
 order_days AS (
@@ -35,24 +36,21 @@ order_days AS (
          ((o_custkey + CASE WHEN o_orderkey % 7 = 0 THEN k ELSE 0 END) % 25 + 1 + o_orderkey % 24) % 25 AS a,
          o_orderkey % 41 <> 0 AND o_orderkey % 37 <> 0 AS has_event
   FROM orders CROSS JOIN (VALUES (0), (1)) AS snapshot(k)
-  WHERE o_orderkey % 11 <> 0
 ),
 flat AS (
   SELECT ok, has_event,
          CASE WHEN ok % 53 <> 0 OR k = 0 THEN epoch_ms(day) + k * 86400000 END AS ts,
          strftime(day, '%Y-%m-%d') AS snapshot_date,
-         CASE WHEN has_event THEN ok END AS id,
-         CASE WHEN has_event AND ok % 13 <> 0 THEN ok END AS grouping_id,
+         CASE WHEN has_event THEN CASE WHEN ok % 11 = 0 THEN -ok ELSE ok END END AS id,
+         CASE WHEN has_event AND ok % 13 <> 0 THEN CASE WHEN ok % 11 = 0 THEN -ok ELSE ok END END AS grouping_id,
+         h, a, replace(hn.n_name, '_', ' ') AS h_name, replace(an.n_name, '_', ' ') AS a_name,
+         has_event AND ok % 31 <> 0 AND ok % 29 <> 0 AS has_roles,
          CASE WHEN NOT has_event THEN NULL WHEN ok % 47 = 0 THEN 'TBD' WHEN ok % 43 <> 0
               THEN strftime(day + to_days(k) + to_hours(ok % 24 + 5), '%Y-%m-%dT%H:%M:%S') || 'Z' END AS utc,
          CASE WHEN NOT has_event THEN NULL WHEN ok % 47 = 0 THEN 'TBD' WHEN ok % 43 <> 0
               THEN strftime(day + to_days(k) + to_hours(ok % 24), '%Y-%m-%dT%H:%M:%S') || '-0500' END AS local,
          CASE WHEN has_event THEN replace(an.n_name, '_', ' ') || ' Utd at ' || replace(hn.n_name, '_', ' ') END
            AS original_name,
-         CASE WHEN NOT has_event OR ok % 31 = 0 OR ok % 29 = 0 THEN NULL
-              WHEN ok % 3 = 0 THEN replace(hn.n_name, '_', ' ') ELSE replace(an.n_name, '_', ' ') END AS second_name,
-         CASE WHEN NOT has_event OR ok % 31 = 0 OR ok % 29 = 0 OR ok % 5 = 0 THEN NULL
-              WHEN ok % 3 = 0 THEN 'HOME_TEAM' ELSE 'AWAY_TEAM' END AS second_role,
          CASE WHEN NOT has_event THEN NULL
               WHEN ok % 31 = 0 OR (ok % 29 <> 0 AND ok % 5 = 0)
                 THEN CASE WHEN ok % 10 = 0 THEN CAST(h AS VARCHAR) END
@@ -83,7 +81,7 @@ featured AS (
   FROM (SELECT *, try_cast(substr(local, 1, 19) AS TIMESTAMP) AS starts FROM merged)
 ),
 dates AS (SELECT id, max(utc) AS event_date FROM timed GROUP BY id),
-grouping_dates AS (SELECT grouping_id AS id, max(utc) AS event_date FROM timed GROUP BY grouping_id)"""
+grouping_dates AS (SELECT grouping_id AS id, max(utc) AS event_date FROM flat GROUP BY grouping_id)"""
 
 PERFORMANCE_SQL = """
 perf AS (
@@ -122,8 +120,8 @@ dated AS (
   FROM sections JOIN dates ON event_id = id
 ),
 grouped AS (
-  SELECT sections.*, event_date, {_days("event_date", "ts")} AS days
-  FROM sections LEFT JOIN grouping_dates ON event_id = id
+  SELECT all_sections.*, event_date, {_days("event_date", "ts")} AS days
+  FROM all_sections LEFT JOIN grouping_dates ON event_id = id
 ),
 matched AS (
   SELECT sections.*, featured.* EXCLUDE (id, starts),
@@ -155,7 +153,7 @@ labels AS (
 ),
 widths AS (
   SELECT count(*) FILTER (position < 1) AS from_1, count(*) FILTER (position < 2) AS from_2,
-         count(*) FILTER (position < 3) AS from_3, count(*) FILTER (position < 4) AS from_4
+         count(*) FILTER (position < 3) AS from_3, count(*) FILTER (position < 4) AS from_4, count(*) AS all_labels
   FROM labels
 )"""
 
@@ -239,17 +237,33 @@ PERFORMANCE_KEPT = "score >= 1000 AND wins <> 7 AND ts IS NOT NULL"
 HOME_WIDTH = "(SELECT count(*) FROM event_labels WHERE position = 0)"
 WEEKDAY_WIDTH = "(SELECT count(*) FROM event_labels WHERE position = 1)"
 
+SPLIT = """SELECT ts AS "timestamp", section_id AS "sectionId", price AS "averageTicketPrice",
+    event_id AS "eventId" FROM sections"""
+
 BODIES: dict[str, str] = {
     "clean_load": f"""SELECT ts AS "timestamp", event_id AS "eventId", listings AS "totalListings",
         tickets AS "totalTickets", CASE WHEN kind = 1 THEN 0 WHEN kind > 1 THEN 2 END AS sections,
         CASE WHEN kind > 1 THEN price_b END AS second_price FROM inv WHERE {INVENTORY_KEPT}""",
+    "clean_load_narrow": f'SELECT event_id AS "eventId" FROM inv WHERE {INVENTORY_KEPT}',
     "load_loss_report": " UNION ALL ".join([
         _loss("inventory", "inv", INVENTORY_KEPT),
         _loss("meta", "flat", META_KEPT),
         _loss("performance", "perf", PERFORMANCE_KEPT),
     ]),
-    "json_round_trip": """SELECT ts AS "timestamp", snapshot_date, id, utc AS event_date_utc, original_name,
-        second_name, second_role FROM flat""",
+    "json_round_trip": """SELECT ts AS "timestamp", snapshot_date, id, utc AS event_date_utc, local AS event_date_local,
+        original_name,
+        CASE WHEN has_roles THEN CASE WHEN ok % 3 = 0 THEN a ELSE h END END AS first_id,
+        CASE WHEN has_roles THEN CASE WHEN ok % 3 = 0 THEN a_name ELSE h_name END END AS first_name,
+        CASE WHEN has_roles AND ok % 5 <> 0 THEN CASE WHEN ok % 3 = 0 THEN 'AWAY_TEAM' ELSE 'HOME_TEAM' END END AS first_role,
+        CASE WHEN has_roles THEN CASE WHEN ok % 3 = 0 THEN h ELSE a END END AS second_id,
+        CASE WHEN has_roles THEN CASE WHEN ok % 3 = 0 THEN h_name ELSE a_name END END AS second_name,
+        CASE WHEN has_roles AND ok % 5 <> 0 THEN CASE WHEN ok % 3 = 0 THEN 'HOME_TEAM' ELSE 'AWAY_TEAM' END END AS second_role,
+        CAST(CASE WHEN has_roles THEN 2 WHEN has_event AND ok % 31 = 0 THEN 0 END AS INTEGER) AS roles,
+        CASE WHEN has_event THEN h END AS first_performer_id, CASE WHEN has_event THEN h_name END AS first_performer_name,
+        CASE WHEN has_event AND ok % 10 <> 0 THEN a END AS second_performer_id,
+        CASE WHEN has_event AND ok % 10 <> 0 THEN a_name END AS second_performer_name,
+        CAST(CASE WHEN has_event THEN CASE WHEN ok % 10 = 0 THEN 1 ELSE 2 END END AS INTEGER) AS performers,
+        grouping_id, CAST(CASE WHEN has_event AND ok % 13 <> 0 THEN 1 END AS INTEGER) AS groupings FROM flat""",
     "parquet_round_trip": CURVE,
     "csv_round_trip": CURVE,
     "reexport": f"SELECT {CURVE_COLUMNS} FROM grouped WHERE days IS NOT NULL",
@@ -262,7 +276,7 @@ BODIES: dict[str, str] = {
         count(*) - count(away_id) AS "Away_Team_Id", count(*) - count(away_name) AS "Away_Team_Name" FROM timed""",
     "explode_sections": f"SELECT {SECTION_COLUMNS} FROM sections",
     "first_event": 'SELECT ts AS "timestamp", id, utc AS event_date FROM timed',
-    "first_grouping_id": 'SELECT ts AS "timestamp", grouping_id AS id, utc AS event_date FROM timed',
+    "first_grouping_id": 'SELECT ts AS "timestamp", grouping_id AS id, utc AS event_date FROM flat',
     "home_away_teams": f"SELECT {TEAM_COLUMNS} FROM timed",
     "consolidate_events": f"SELECT id, {EVENT_COLUMNS} FROM merged",
     "latest_event_date": "SELECT id, event_date FROM dates",
@@ -302,35 +316,44 @@ BODIES: dict[str, str] = {
         CAST(e2.place AS DOUBLE) AS "Home_Team_Id_indexed"
         FROM featured {_event_label_joins("game_time", "CAST(id AS VARCHAR)", "home_id")}""",
     "one_hot_slots": f"""SELECT id, CAST(e0.place AS VARCHAR) AS home_slot, CAST(e1.place AS VARCHAR) AS weekday_slot,
+        CAST(e2.place AS VARCHAR) AS game_time_slot,
         concat_ws(',', e0.place, e1.place + {HOME_WIDTH}, e2.place + {HOME_WIDTH} + {WEEKDAY_WIDTH}) AS feature_slots
         FROM featured {_event_label_joins("home_id", "weekday", "game_time")}""",
+    "feature_slots": f"""SELECT id, weekday AS "DayofWeek", concat_ws(',', e0.place, e1.place + {HOME_WIDTH}) AS feature_slots
+        FROM featured {_event_label_joins("CAST(id AS VARCHAR)", "weekday")}""",
     "dense_features": "SELECT id, weekday AS \"DayofWeek\", game_time AS \"GameTime\", " + ", ".join(
         [f'CAST(e0.place = {i} AS DOUBLE) AS "cat_feature[{i}]"' for i in range(7)]
         + [f'CAST(e1.place = {i} AS DOUBLE) AS "cat_feature[{i + 7}]"' for i in range(3)]
     ) + f" FROM featured {_event_label_joins('weekday', 'game_time')}",
     "distinct_events": 'SELECT DISTINCT event_id AS "eventId" FROM sections',
-    "split_by_event": """SELECT ts AS "timestamp", section_id AS "sectionId", price AS "averageTicketPrice",
-        event_id AS listing, event_id % 100 AS "eventId" FROM sections""",
-    "event_slice": """SELECT ts AS "timestamp", section_id AS "sectionId", price AS "averageTicketPrice",
-        event_id AS listing, event_id % 100 AS "eventId" FROM sections WHERE event_id % 100 = 42""",
+    "split_by_event": SPLIT,
+    "split_by_event_parquet": SPLIT,
+    "event_slice": f"{SPLIT} WHERE event_id = 42",
     "price_through_time": CURVE,
     "price_through_time_v1": f"SELECT {CURVE_COLUMNS} FROM grouped",
     "price_through_time_files": CURVE,
     "structure_all": STRUCTURED,
     "structure_all_files": STRUCTURED,
+    "structure_all_split": STRUCTURED,
+    "structured_csv": f"""SELECT ts AS "timestamp", event_id AS "eventId", section_id AS "sectionId", home_name AS "Home_Team_Name",
+        team_day AS "Concatenated_perf", days AS "Time_to_event",
+        '(' || (all_labels - from_4) || ',[' || CAST(l4.label_index AS BIGINT) || '],[1.0])' AS "GameTime_indexed_encoded",
+        '(' || all_labels || ',[' || {SLOTS.removesuffix(" AS feature_slots")} || '],[1.0,1.0,1.0,1.0,1.0])' AS cat_features
+        FROM listings {LABEL_JOINS} CROSS JOIN widths""",
+    "price_through_time_v1_files": f"SELECT {CURVE_COLUMNS} FROM grouped",
 }
-BODIES["split_by_event_parquet"] = BODIES["split_by_event"]
 
 # Clauses that only some queries need.
 EXTRA = {
     "label_index_by_join": _event_ranks("game_time", "CAST(id AS VARCHAR)", "home_id"),
+    "feature_slots": _event_ranks("CAST(id AS VARCHAR)", "weekday"),
     "one_hot_slots": _event_ranks("home_id", "weekday", "game_time"),
     "dense_features": _event_ranks("weekday", "game_time"),
 }
 # The shared clauses over the lines that survive cleaning.
-FROM_FILES = {"structure_all_files", "price_through_time_files"}
+FROM_FILES = {"structure_all_files", "structure_all_split", "price_through_time_files"}
 FILES_SHARED = (
-    SHARED.replace("WHERE kind > 1 AND ts IS NOT NULL", f"WHERE kind > 1 AND {INVENTORY_KEPT}")
+    SHARED.replace("FROM inv WHERE kind > 1", f"FROM inv WHERE kind > 1 AND {INVENTORY_KEPT}")
     .replace("SELECT * FROM flat WHERE ts IS NOT NULL", f"SELECT * FROM flat WHERE {META_KEPT}")
     .replace("AS team_day FROM perf\n", f"AS team_day FROM perf WHERE {PERFORMANCE_KEPT}\n")
 )

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import reduce, wraps
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +13,10 @@ from seatgrid.functions.times import days_difference, game_time, iso_weekday, ti
 from seatgrid.operators.encoding import (
     DEFAULT_COLUMNS,
     encode_categoricals,
+    feature_slots,
     index_labels,
     label_frequencies,
     rank_labels,
-    vector_slots,
 )
 from seatgrid.operators.events import (
     TEAM_COLUMNS,
@@ -30,7 +31,6 @@ from seatgrid.operators.joins import add_joined_key, join_event_meta, join_team_
 from seatgrid.operators.ordering import add_time_to_event, distinct_events, order_price_curve, top_listings
 from seatgrid.operators.performance import add_team_day, dedup_team_day, prepare_performance
 from seatgrid.operators.quality import (
-    join_coverage,
     load_loss_report,
     null_audit,
     require_all_columns,
@@ -38,8 +38,10 @@ from seatgrid.operators.quality import (
 )
 from seatgrid.operators.sections import explode_sections
 from seatgrid.plans.jobs import (
+    StructuredRun,
     join_listings,
     label_basis,
+    listing_coverage,
     price_through_time,
     price_through_time_by_grouping,
     reexport,
@@ -48,9 +50,9 @@ from seatgrid.plans.jobs import (
     structure_all,
 )
 from seatgrid.schemas import INVENTORY, META, performance_schema
-from seatgrid.session import scratch_path
+from seatgrid.session import ensure_scratch, scratch_path
 from seatgrid.sources.collections import clean_load, copy_json, read_json_collection, read_parquet_collection
-from seatgrid.sources.sinks import event_slice, read_split, split_by_event, write_csv, write_parquet_run
+from seatgrid.sources.sinks import BUCKET, event_slice, read_split, split_by_event, write_csv, write_parquet_run
 from seatgrid.sources.tables import inventory_rows, meta_rows, performance_rows, write_json_lines
 
 PERFORMANCE_EXTRA = "wins bigint, score double"
@@ -114,29 +116,52 @@ def q_clean_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_clean_load_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One column of rows that are dropped for another column's type."""
+    path = scratch_path(spark, "inventory-json")
+    write_json_lines(
+        inventory_rows(spark, sf_dir), path,
+        broken=F.col("eventId") % 97 == 3, mistyped=F.col("eventId") % 89 == 4, field="totalListings",
+    )
+    return clean_load(spark, path, INVENTORY, "inventory")[0].select("eventId")
+
+
 def q_load_loss_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     loads = [
         ("inventory", _json_inventory(spark, sf_dir), INVENTORY),
         ("meta", _json_meta(spark, sf_dir), META),
         ("performance", _json_performance(spark, sf_dir), performance_schema(PERFORMANCE_EXTRA)),
     ]
-    reports = [
-        clean_load(spark, path, schema, name, stage=scratch_path(spark, f"{name}-stage"))[1]
-        for name, path, schema in loads
-    ]
+    reports = [clean_load(spark, path, schema, name)[1] for name, path, schema in loads]
     return reduce(DataFrame.unionByName, reports)
 
 
 def q_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = scratch_path(spark, "meta-json"), scratch_path(spark, "meta-copy")
     meta_rows(spark, sf_dir).write.json(source)
-    copy_json(spark, source, target, META)
+    copy_json(spark, source, target)
     copied = first_event(read_json_collection(spark, target, META))
-    second = F.get("event.performersCollection", F.lit(1))
+    event = F.col("event")
+
+    def entry(array: str, place: int) -> Column:
+        return F.get(event[array], F.lit(place))
+
     return copied.select(
-        "timestamp", F.col("current_date").alias("snapshot_date"), F.col("event.id").alias("id"),
-        F.col("event.eventDateUTC").alias("event_date_utc"), F.col("event.originalName").alias("original_name"),
-        second["name"].alias("second_name"), second["role"].alias("second_role"),
+        "timestamp", F.col("current_date").alias("snapshot_date"), event["id"].alias("id"),
+        event["eventDateUTC"].alias("event_date_utc"), event["eventDateLocal"].alias("event_date_local"),
+        event["originalName"].alias("original_name"),
+        *[
+            entry("performersCollection", place)[field].alias(f"{name}_{field}")
+            for place, name in enumerate(("first", "second")) for field in ("id", "name", "role")
+        ],
+        F.array_size(event["performersCollection"]).alias("roles"),
+        *[
+            entry("performers", place)[field].alias(f"{name}_performer_{field}")
+            for place, name in enumerate(("first", "second")) for field in ("id", "name")
+        ],
+        F.array_size(event["performers"]).alias("performers"),
+        entry("groupingsCollection", 0)["id"].alias("grouping_id"),
+        F.array_size(event["groupingsCollection"]).alias("groupings"),
     )
 
 
@@ -154,7 +179,7 @@ def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _curve_by_grouping(spark: SparkSession, sf_dir: str) -> str:
-    curve = price_through_time_by_grouping(inventory(spark, sf_dir), meta(spark, sf_dir))
+    curve = price_through_time_by_grouping(inventory_rows(spark, sf_dir), meta_rows(spark, sf_dir))
     return write_parquet_run(curve, scratch_path(spark, "runs"), "grouping")
 
 
@@ -191,7 +216,7 @@ def q_first_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_first_grouping_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_dates(meta(spark, sf_dir), event_key="grouping")
+    return event_dates(meta_rows(spark, sf_dir), event_key="grouping")
 
 
 def q_home_away_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +232,7 @@ def q_latest_event_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_latest_event_date_by_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_event_date(meta(spark, sf_dir), event_key="grouping")
+    return latest_event_date(meta_rows(spark, sf_dir), event_key="grouping")
 
 
 def q_weekday_game_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,8 +268,8 @@ def q_join_event_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_join_event_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dates = latest_event_date(meta(spark, sf_dir), event_key="grouping")
-    return join_event_meta(explode_sections(inventory(spark, sf_dir)), dates, how="left_outer")
+    dates = latest_event_date(meta_rows(spark, sf_dir), event_key="grouping")
+    return join_event_meta(explode_sections(inventory_rows(spark, sf_dir)), dates, how="left_outer")
 
 
 def _listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,7 +294,9 @@ def q_join_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_join_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_coverage(_listings(spark, sf_dir))
+    return listing_coverage(
+        inventory(spark, sf_dir), resolve_events(meta(spark, sf_dir)), prepare_performance(performance(spark, sf_dir))
+    )
 
 
 # --- time features and orders ----------------------------------------------------------------------------
@@ -342,22 +369,35 @@ def q_label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_label_index_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event ids are too many for the driver's limit set here, team ids are not."""
+    """Columns with few labels and one with as many labels as rows."""
     events = _featured_events(spark, sf_dir)
     columns = ["GameTime", "id", "Home_Team_Id"]
-    return index_labels(events, columns, max_driver_labels=150).select(*columns, *_indexed_names(columns))
+    return index_labels(events, columns).select(*columns, *_indexed_names(columns))
+
+
+def _slots(column: str) -> Column:
+    """The places of a vector's ones, as comma-separated text, read off the vector."""
+    places = F.transform(vector_to_array(F.col(column)), lambda value, i: F.when(value == 1, i.cast("string")))
+    return F.array_join(places, ",")
 
 
 def q_one_hot_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_categoricals(_featured_events(spark, sf_dir), ["Home_Team_Id", "DayofWeek", "GameTime"])
     return encoded.select(
         "id",
-        vector_slots("Home_Team_Id_indexed_encoded").alias("home_slot"),
-        vector_slots("DayofWeek_indexed_encoded").alias("weekday_slot"),
-        vector_slots("cat_features").alias("feature_slots"),
+        _slots("Home_Team_Id_indexed_encoded").alias("home_slot"),
+        _slots("DayofWeek_indexed_encoded").alias("weekday_slot"),
+        _slots("GameTime_indexed_encoded").alias("game_time_slot"),
+        _slots("cat_features").alias("feature_slots"),
     )
 
 
+def q_feature_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot numbers for columns of which one has as many labels as there are events."""
+    encoded = encode_categoricals(_featured_events(spark, sf_dir), ["id", "DayofWeek"], vectors=False)
+    return encoded.select("id", "DayofWeek", F.array_join(F.col("feature_slots").cast("array<string>"), ",").alias("feature_slots"))
+
+
 def q_dense_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_categoricals(_featured_events(spark, sf_dir), ["DayofWeek", "GameTime"], include_dense=True)
     dense = [name for name in encoded.columns if name.startswith("cat_feature[")]
@@ -371,30 +411,30 @@ def q_distinct_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_events(explode_sections(inventory(spark, sf_dir)))
 
 
-SPLIT_SCHEMA = "timestamp bigint, sectionId bigint, averageTicketPrice double, listing bigint, eventId bigint"
+SPLIT_SCHEMA = "timestamp bigint, sectionId bigint, averageTicketPrice double, eventId bigint"
+BUCKETS = 64
 
 
-def _split(spark: SparkSession, sf_dir: str, file_format: str) -> DataFrame:
-    """Section rows with the events folded onto 100 ids, since each id becomes a folder."""
-    rows = explode_sections(inventory(spark, sf_dir)).select(
-        "timestamp", "sectionId", "averageTicketPrice",
-        F.col("eventId").alias("listing"), (F.col("eventId") % 100).alias("eventId"),
-    )
+def _split(spark: SparkSession, sf_dir: str, file_format: str, buckets: int | None = None) -> DataFrame:
+    rows = explode_sections(inventory(spark, sf_dir)).select("timestamp", "sectionId", "averageTicketPrice", "eventId")
     path = scratch_path(spark, f"events-{file_format}")
-    split_by_event(rows, path, file_format, order_by=["sectionId"])
-    return read_split(spark, path, SPLIT_SCHEMA, file_format)
+    split_by_event(rows, path, file_format, order_by=["sectionId"], buckets=buckets)
+    schema = SPLIT_SCHEMA if buckets is None else f"{SPLIT_SCHEMA}, {BUCKET} int"
+    return read_split(spark, path, schema, file_format)
 
 
 def q_split_by_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder for every event."""
     return _split(spark, sf_dir, "csv")
 
 
 def q_split_by_event_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split(spark, sf_dir, "parquet")
+    """Every event, in a fixed number of folders."""
+    return _split(spark, sf_dir, "parquet", BUCKETS).drop(BUCKET)
 
 
 def q_event_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_slice(_split(spark, sf_dir, "parquet"), 42)
+    return event_slice(_split(spark, sf_dir, "parquet", BUCKETS), 42, buckets=BUCKETS).drop(BUCKET)
 
 
 # --- whole jobs ------------------------------------------------------------------------------------------
@@ -405,14 +445,15 @@ def q_price_through_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_price_through_time_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return price_through_time_by_grouping(inventory(spark, sf_dir), meta(spark, sf_dir))
+    return price_through_time_by_grouping(inventory_rows(spark, sf_dir), meta_rows(spark, sf_dir))
 
 
 def _flat(structured: DataFrame) -> DataFrame:
     """The table without its vectors, the assembled one given by its slots."""
-    slots: Column = vector_slots("cat_features").alias("feature_slots")
+    slots = feature_slots(structured, DEFAULT_COLUMNS)
     plain = [name for name, kind in structured.dtypes if kind != "vector"]
-    return structured.select(*plain, slots).withColumnRenamed("current_timestamp", "perf_timestamp")
+    joined = F.array_join(F.col("feature_slots").cast("array<string>"), ",").alias("feature_slots")
+    return slots.select(*plain, joined).withColumnRenamed("current_timestamp", "perf_timestamp")
 
 
 def q_structure_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,13 +462,34 @@ def q_structure_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _structured_run(spark: SparkSession, sf_dir: str, **options) -> StructuredRun:
+    return run_structure_all(
+        spark, _json_inventory(spark, sf_dir), _json_meta(spark, sf_dir), _json_performance(spark, sf_dir),
+        performance_schema(PERFORMANCE_EXTRA), base=scratch_path(spark, "runs"), label="structured", **options,
+    )
+
+
 def q_structure_all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job from JSON files with bad lines to its Parquet run."""
-    run = run_structure_all(
-        spark, _json_inventory(spark, sf_dir), _json_meta(spark, sf_dir), _json_performance(spark, sf_dir),
-        performance_schema(PERFORMANCE_EXTRA), base=scratch_path(spark, "runs"), label="structured",
+    return _flat(read_parquet_collection(spark, _structured_run(spark, sf_dir).path))
+
+
+def q_structure_all_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same job on to its split by event."""
+    path = scratch_path(spark, "structured-split")
+    run = _structured_run(spark, sf_dir, split_path=path, split_format="parquet", split_buckets=BUCKETS)
+    return _flat(read_parquet_collection(spark, run.split_path).drop(BUCKET))
+
+
+def q_structured_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The structured table as CSV with a header, vectors as text."""
+    table = structure_all(inventory(spark, sf_dir), meta(spark, sf_dir), performance(spark, sf_dir), ordered=False)
+    path = scratch_path(spark, "structured-csv")
+    write_csv(table, path, header=True)
+    return spark.read.option("header", True).csv(path).select(
+        F.col("timestamp").cast("bigint"), F.col("eventId").cast("bigint"), F.col("sectionId").cast("bigint"),
+        "Home_Team_Name", "Concatenated_perf", F.col("Time_to_event").cast("double"), "GameTime_indexed_encoded", "cat_features",
     )
-    return _flat(read_parquet_collection(spark, run.path))
 
 
 def q_price_through_time_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,6 +499,29 @@ def q_price_through_time_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet_collection(spark, path)
 
 
+def q_price_through_time_v1_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earlier form from JSON files, with the rows that have no time."""
+    sources = {"inventory": inventory_rows(spark, sf_dir), "meta": meta_rows(spark, sf_dir)}
+    paths = {name: scratch_path(spark, f"{name}-json") for name in sources}
+    for name, rows in sources.items():
+        rows.write.json(paths[name])
+    path = run_price_through_time(
+        spark, paths["inventory"], paths["meta"], scratch_path(spark, "runs"), "curve", by_grouping=True
+    )
+    return read_parquet_collection(spark, path)
+
+
+def _with_scratch(query: Query) -> Query:
+    """The catalog cannot choose its caller's session, so a local one without a shared folder is given one."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_scratch(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    name.removeprefix("q_"): function for name, function in list(globals().items()) if name.startswith("q_")
+    name.removeprefix("q_"): _with_scratch(function) for name, function in list(globals().items()) if name.startswith("q_")
 }

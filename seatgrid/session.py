@@ -30,17 +30,17 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
 _local_scratch: dict[str, str] = {}
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the folder the cluster shares through ``spark.checkpoint.dir``.
+def ensure_scratch(spark: SparkSession) -> None:
+    """Gives a local session without ``spark.checkpoint.dir`` one temporary folder; for tests and the catalog only."""
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and context.master.startswith("local"):
+        if not context.master.startswith("local-cluster") and context.applicationId not in _local_scratch:
+            _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="seatgrid-")
+
 
-    Only a local session may go without that setting; it then gets one temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the folder the cluster shares through ``spark.checkpoint.dir``; an error without that."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch.get(spark.sparkContext.applicationId)
     if not base:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        if context.applicationId not in _local_scratch:
-            _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="seatgrid-")
-        base = _local_scratch[context.applicationId]
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{base.rstrip('/')}/seatgrid/{name}-{uuid.uuid4().hex}"

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatgrid.operators.encoding import vectors_as_text
 
+BUCKET = "bucket"
 STAMP = "%Y_%m_%d_%H_%M_%S"
 
 
@@ -33,26 +34,37 @@ def write_csv(df: DataFrame, path: str, header: bool = False) -> None:
     vectors_as_text(df).write.mode("errorifexists").option("header", header).csv(path)
 
 
+def _bucket(column: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(column.cast("string")), F.lit(buckets)).cast("int")
+
+
 def split_by_event(df: DataFrame, path: str, file_format: str = "csv", column: str = "eventId",
-                   order_by: Sequence[str] = (), max_records_per_file: int = 5_000_000) -> None:
+                   order_by: Sequence[str] = (), max_records_per_file: int = 5_000_000, buckets: int | None = None) -> None:
     """One sub-folder per event, written in a single pass, descending by ``order_by`` within each file.
 
+    With ``buckets`` there are that many folders (``bucket=N``) in place of one per event, for data with more events
+    than a file system should have folders; each holds whole events, sorted by event, and ``column`` stays in the files.
     The rebalance gathers an event's rows so that few files result, and lets adaptive execution cut a hot
     event into several tasks; with it off every task writes the events it holds.
     """
     if file_format not in ("csv", "parquet"):
         raise ValueError(f"unsupported format {file_format!r}")
-    rows = (vectors_as_text(df) if file_format == "csv" else df).hint("rebalance", F.col(column))
-    if order_by:
-        rows = rows.sortWithinPartitions(column, *[F.col(name).desc_nulls_last() for name in order_by])
+    rows, folder = vectors_as_text(df) if file_format == "csv" else df, column
+    if buckets is not None:
+        rows, folder = rows.withColumn(BUCKET, _bucket(F.col(column), buckets)), BUCKET
+    rows = rows.hint("rebalance", F.col(folder))
+    own = [folder] if folder == column else [folder, column]
+    rows = rows.sortWithinPartitions(*own, *[F.col(name).desc_nulls_last() for name in order_by])
     writer = (
-        rows.write.mode("errorifexists").partitionBy(column).option("maxRecordsPerFile", max_records_per_file)
+        rows.write.mode("errorifexists").partitionBy(folder).option("maxRecordsPerFile", max_records_per_file)
     )
     writer.option("header", True).csv(path) if file_format == "csv" else writer.parquet(path)
 
 
-def event_slice(df: DataFrame, event_id: int, column: str = "eventId") -> DataFrame:
-    """One event's rows; on a :func:`split_by_event` result only that folder is read."""
+def event_slice(df: DataFrame, event_id: int, column: str = "eventId", buckets: int | None = None) -> DataFrame:
+    """One event's rows; on a :func:`split_by_event` result only its folder is read (give the same ``buckets``)."""
+    if buckets is not None:
+        df = df.filter(F.col(BUCKET) == _bucket(F.lit(event_id).cast("bigint"), buckets))
     return df.filter(F.col(column) == F.lit(event_id))
 
 
