@@ -82,25 +82,30 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataF
     return texts.groupBy("text").agg(F.max("toxic").alias("toxic"))
 
 
-def mine(sample: DataFrame, most_terms: int = 4000, least_share: float = 0.006, lift: float = 8.0, strong: float = 40.0) -> Lexicons:
+def _fronts(words: Column, n: int) -> Column:
+    long_ = F.filter(words, lambda w: F.char_length(w) > n)
+    return F.transform(F.array_distinct(F.transform(long_, lambda w: F.substring(w, 1, n))), lambda t: F.struct(F.lit(n).alias("kind"), t.alias("term")))
+
+
+def mine(sample: DataFrame, most_terms: int = 4000, least_share: float = 0.015, lift: float = 8.0, strong: float = 40.0) -> Lexicons:
     """Words and word fronts that are ``lift`` times as frequent in toxic texts of ``sample`` as in others.
 
     A term needs ``least_share`` of the toxic texts, and four at least, so that what near-copies of one text share is no term.
+    A front of which four fifths or more come from one word says no more than the word, and is no term either.
     """
-    word = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
-    kinds = [F.transform("words", lambda w: F.struct(F.lit(0).alias("kind"), w.alias("term")))]
-
-    def fronts(n: int) -> Column:
-        long_ = F.filter("words", lambda w: F.char_length(w) > n)
-        return F.transform(F.array_distinct(F.transform(long_, lambda w: F.substring(w, 1, n))), lambda t: F.struct(F.lit(n).alias("kind"), t.alias("term")))
-
-    rows = sample.withColumn("words", word).select("toxic", F.explode(F.concat(*kinds, *map(fronts, FRONTS))).alias("t"))
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
+    whole = F.transform("words", lambda w: F.struct(F.lit(0).alias("kind"), w.alias("term")))
+    terms = F.concat(whole, *[_fronts(F.col("words"), n) for n in FRONTS])
+    rows = sample.withColumn("words", words).select("toxic", F.explode(terms).alias("t"))
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    counted = rows.groupBy("t").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).filter(
-        F.col("bad") >= max(4.0, least_share * n.get(1, 0))
-    )
+    counted = rows.groupBy("t").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+    counted = stored(counted.filter("bad > 0"), "toxic-terms")
+    fronts = F.explode(F.concat(*[_fronts(F.array("t.term"), n) for n in FRONTS]))
+    first = counted.filter("t.kind = 0").select(fronts.alias("t"), "bad").groupBy("t").agg(F.max("bad").alias("most"))
     times = ((F.col("bad") + 0.5) / (n.get(1, 0) + 1)) / ((F.col("good") + 0.5) / (n.get(0, 0) + 1))
-    best = counted.withColumn("times", times).filter(F.col("times") >= lift).orderBy(F.desc("times"), "t").limit(most_terms)
+    often = counted.filter(F.col("bad") >= max(4.0, least_share * n.get(1, 0))).withColumn("times", times).filter(F.col("times") >= lift)
+    own = often.join(first, "t", "left").filter("t.kind = 0 OR 5 * most < 4 * bad")
+    best = own.orderBy(F.desc("times"), "t").limit(most_terms)
     return Lexicons([(r["t"]["kind"], r["t"]["term"], r["times"] >= strong) for r in best.collect()])
 
 
