@@ -36,10 +36,10 @@ def ranked(df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str
     ).withColumn("_part", F.shiftright("_at", 33))
     runs = rows.groupBy(*groups, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select(
+    runs = stored(runs.select(
         *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col("_part").alias("_p"),
         (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
-    )
+    ), f"{name}-runs")  # stored, so that the join is planned by its true size and the rows stay where they are
     same = F.col("_part") == F.col("_p")
     for i, g in enumerate(groups):
         same &= F.col(g).eqNullSafe(F.col(f"_g{i}"))
@@ -74,7 +74,7 @@ class Encoder:
     sure, go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, memo: int = 1_500_000):
+    def __init__(self, path: str, memo: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
