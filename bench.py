@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -40,6 +41,7 @@ HEADLINE = [
 def main(names: list[str]) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    scratch = tempfile.mkdtemp(prefix="bench-")
     spark = build_session(
         "bench", f"local[{cpus}]",
         {
@@ -48,6 +50,7 @@ def main(names: list[str]) -> None:
             "spark.driver.memory": "16g",
             "spark.sql.shuffle.partitions": cpus,
             "spark.sql.session.timeZone": "UTC",
+            "spark.checkpoint.dir": scratch,
             "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )

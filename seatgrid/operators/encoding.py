@@ -105,7 +105,8 @@ def index_labels(
     """Adds ``<column>_indexed``; rows with a null in any of ``columns`` are dropped.
 
     ``fit_on`` (with ``weight``) is a smaller frame with the same label frequencies, when the caller has one.
-    The metadata of an index holds the number of labels, in the form ``pyspark.ml`` reads.
+    The metadata of an index holds the number of labels, in the form ``pyspark.ml`` reads, and 1 for a column without
+    any label, which leaves no row.
     """
     ranked = rank_labels(label_frequencies(df if fit_on is None else fit_on, columns, weight), stage)
     ranked = _kept(ranked, f"{stage.rstrip('/')}/ranks" if stage else scratch_path(df.sparkSession, "ranks"))
@@ -120,7 +121,7 @@ def index_labels(
         )
         valued = result.withColumn("_value", F.col(name).cast("string"))
         result = keyed_join(valued, lookup, "_value", "_label", "inner", salt).drop("_value", "_label")
-        nominal = {"type": "nominal", "name": _indexed(name), "num_vals": sizes.get(position, 0)}
+        nominal = {"type": "nominal", "name": _indexed(name), "num_vals": max(1, sizes.get(position, 0))}
         result = result.withMetadata(_indexed(name), {"ml_attr": nominal})
     return result.select(*df.columns, *[_indexed(name) for name in columns])
 
@@ -190,8 +191,6 @@ def encode_indexed(df: DataFrame, columns: Sequence[str], include_dense: bool =
     """
     if not vectors:
         return feature_slots(df, columns)
-    if 0 in label_counts(df, columns):
-        raise ValueError("a column without labels cannot be encoded")
     assembled = assemble(one_hot(df, columns), columns)
     return expand_vector(assembled) if include_dense else assembled
 

@@ -24,8 +24,14 @@ SALT = 4
 
 
 def _content_hash(df: DataFrame) -> Column:
-    """Depends on the row alone, so a task that runs again sends each row to the same sub-key."""
-    return F.xxhash64(*[field.name for field in df.schema if not isinstance(field.dataType, T.MapType)])
+    """Depends on the row alone, so a task that runs again sends each row to the same sub-key.
+
+    A snapshot's time and a listing's section tell the rows of a key apart, and nothing else need be read for it; a frame
+    without either is hashed by its plain columns.
+    """
+    telling = [name for name in ("timestamp", "sectionId") if name in df.columns]
+    nested = (T.MapType, T.ArrayType, T.StructType, T.UserDefinedType)
+    return F.xxhash64(*(telling or [field.name for field in df.schema if not isinstance(field.dataType, nested)]))
 
 
 def keyed_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str, salt: int = SALT) -> DataFrame:

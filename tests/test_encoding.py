@@ -7,25 +7,35 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
-from seatgrid.operators import encoding
-from seatgrid.operators.encoding import encode_categoricals, expand_vector, index_labels, label_frequencies, rank_labels
+from seatgrid.operators.encoding import (
+    encode_categoricals,
+    encode_indexed,
+    expand_vector,
+    index_labels,
+    label_frequencies,
+    rank_labels,
+)
+from seatgrid.operators.ordering import order_listings
 
 ROWS = [("b", 5), ("a", 5), ("a", None), ("b", 7), ("c", 7), (None, 7)]
 
 
-def labels(df, column):
-    return [attr for attr in df.schema[column].metadata["ml_attr"]["vals"]]
+def labels(df, column, indexed):
+    """Labels in the order of their indexes, which the metadata counts."""
+    pairs = sorted({(row[1], str(row[0])) for row in df.select(column, indexed).collect()})
+    assert df.schema[indexed].metadata["ml_attr"] == {"type": "nominal", "name": indexed, "num_vals": len(pairs)}
+    return [label for _, label in pairs]
 
 
 def test_later_columns_are_ranked_on_the_rows_earlier_ones_keep(spark):
     df = spark.createDataFrame(ROWS, "c string, n int")
     encoded = encode_categoricals(df, ["c", "n"])
-    assert labels(encoded, "c_indexed") == ["a", "b", "c"]
-    assert labels(encoded, "n_indexed") == ["5", "7"]
+    assert labels(encoded, "c", "c_indexed") == ["a", "b", "c"]
+    assert labels(encoded, "n", "n_indexed") == ["5", "7"]
     assert encoded.count() == 4
     [row] = encoded.filter("c = 'b' AND n = 5").collect()
     assert row.cat_features.toArray().tolist() == [0, 1, 0, 1, 0]
-    assert labels(index_labels(df, ["n"]), "n_indexed") == ["7", "5"]
+    assert labels(index_labels(df, ["n"]), "n", "n_indexed") == ["7", "5"]
 
 
 def random_frame(spark, seed=3):
@@ -47,11 +57,10 @@ def by_pipeline(df, columns):
     return Pipeline(stages=[*indexers, encoder, assembler]).fit(df).transform(df)
 
 
-@pytest.mark.parametrize(("limit", "salt"), [(100_000, 1), (20, 1), (2, 1), (2, 3)])
-def test_equals_a_pipeline_of_indexers(spark, limit, salt):
-    """Limits of 20 and 2 send some, then all, columns through the join."""
+@pytest.mark.parametrize("salt", [1, 3])
+def test_equals_a_pipeline_of_indexers(spark, salt):
     df, columns = random_frame(spark), ["a", "b", "c"]
-    got = encode_categoricals(df, columns, max_driver_labels=limit, salt=salt)
+    got = encode_categoricals(df, columns, salt=salt)
     want = by_pipeline(df, columns)
     assert got.columns == want.columns
 
@@ -64,12 +73,39 @@ def test_equals_a_pipeline_of_indexers(spark, limit, salt):
     assert values(got) == values(want)
 
 
-def test_joined_indexes_carry_their_label_count(spark):
+def test_indexes_carry_their_label_count(spark):
+    encoded = encode_categoricals(random_frame(spark), ["a", "b"])
+    assert encoded.schema["a_indexed_encoded"].metadata["ml_attr"]["num_attrs"] == 3
+    assert encoded.schema["cat_features"].metadata["ml_attr"]["num_attrs"] == 33
+
+
+def test_slot_numbers_equal_the_vectors(spark):
     df = random_frame(spark)
-    for limit in (100_000, 2):
-        encoded = encode_categoricals(df, ["a", "b"], max_driver_labels=limit)
-        assert encoded.schema["a_indexed_encoded"].metadata["ml_attr"]["num_attrs"] == 3
-        assert encoded.schema["cat_features"].metadata["ml_attr"]["num_attrs"] == 33
+    slots = encode_categoricals(df, ["a", "b", "c"], vectors=False)
+    assert slots.schema["feature_slots"].metadata == {"num_attrs": 35}
+    got = {row.i: row.feature_slots for row in slots.collect()}
+    vectors = encode_categoricals(df, ["a", "b", "c"]).collect()
+    assert got == {row.i: [int(i) for i in row.cat_features.toArray().nonzero()[0]] for row in vectors}
+
+
+def test_order_outlives_the_encoding_of_many_labels(spark):
+    """Labels are joined without broadcasts; the sort comes after the joins, and the encoding adds no shuffle."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    df = spark.range(20_000).selectExpr(
+        "id % 501 AS eventId", "(id * 7919) % 15013 AS sectionId", "cast(id % 97 AS double) AS Time_to_event"
+    )
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        for vectors in (True, False):
+            ordered = order_listings(index_labels(df, ["sectionId", "eventId"]))
+            rows = encode_indexed(ordered, ["sectionId", "eventId"], vectors=vectors).select("eventId", "sectionId", "Time_to_event").collect()
+            keys = [tuple(-value for value in row) for row in rows]
+            assert len(rows) == 20_000 and keys == sorted(keys)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def test_weighted_fit_equals_fit_on_the_rows(spark):
@@ -108,13 +144,3 @@ def test_expand_vector(spark):
         assert [row[name] for name in names] == row.cat_features.toArray().tolist()
     with pytest.raises(ValueError, match="no vector length"):
         expand_vector(df, "c")
-
-
-def test_slots_of_sparse_and_dense_vectors(spark):
-    from pyspark.ml.linalg import Vectors
-    df = spark.createDataFrame(
-        [(0, Vectors.sparse(40, [3, 17], [1.0, 1.0])), (1, Vectors.dense([0, 1, 1])), (2, Vectors.sparse(9, [], []))],
-        ["i", "v"],
-    )
-    slots = [row[0] for row in df.orderBy("i").select(encoding.vector_slots("v")).collect()]
-    assert slots == ["3,17", "1,2", ""]

@@ -5,11 +5,13 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from seatgrid.operators.joins import join_all, join_event_meta, join_team_day, prefixed
+from seatgrid.operators.events import latest_event_date
+from seatgrid.operators.joins import add_joined_key, join_all, join_event_meta, join_team_day, prefixed
 from seatgrid.operators.ordering import order_listings, top_listings
 from seatgrid.operators.performance import dedup_team_day, prepare_performance
 from seatgrid.operators.sections import explode_sections
-from seatgrid.operators.quality import require_columns
+from seatgrid.operators.encoding import label_frequencies
+from seatgrid.operators.quality import join_coverage, require_columns
 from seatgrid.plans import jobs
 from seatgrid.plans.jobs import join_listings, price_through_time, structure_all
 from seatgrid.plans.queries import QUERIES, inventory, meta, performance
@@ -40,30 +42,56 @@ def test_salted_joins_equal_plain_ones(spark):
     assert join_event_meta(left, right, "left_outer").count() == 6000
 
 
+SKEW_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "40",
+}
+
+
+@pytest.fixture
+def skew_settings(spark):
+    """Thresholds fit for small data, no broadcasts."""
+    before = {key: spark.conf.get(key, None) for key in SKEW_SETTINGS}
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def split_plan(df):
+    return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("how", ["inner", "left_outer"])
-def test_a_hot_event_is_split_over_tasks(spark, how):
-    """With thresholds fit for small data, adaptive execution cuts the hot partition and keeps every row."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {key: spark.conf.get(key, None) for key in settings}
+def test_a_hot_event_is_split_over_tasks(spark, skew_settings, how):
+    """The right side is the aggregate that the jobs pass, live."""
     left = hot_inventory(spark, 90_000).repartition(16)
-    right = spark.range(90_000).selectExpr("id", "concat('d', id) AS event_date")
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        joined = join_event_meta(left, right, how)
-        collected = joined.select("timestamp", "event_date")
-        assert len(set(collected.collect())) == 90_000
-        assert "skew=true" in collected._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    meta_like = spark.range(90_000).selectExpr(
+        "id AS current_timestamp", "array(named_struct('id', id, 'eventDateUTC', concat('d', id))) AS events"
+    )
+    joined = join_event_meta(left, latest_event_date(meta_like), how).select("timestamp", "event_date")
+    assert len(set(joined.collect())) == 90_000
+    assert split_plan(joined)
+
+
+def test_a_hot_team_day_is_split_over_tasks(spark, skew_settings):
+    """The right side is the window that the jobs pass, live."""
+    left = spark.range(90_000).selectExpr(
+        "id AS eventId", "if(id % 3 = 0, 'Home', concat('T', id)) AS Home_Team_Name", "1510250000000L + id AS timestamp"
+    ).repartition(16)
+    team_days = prepare_performance(
+        spark.range(90_000).selectExpr("if(id = 0, 'Home', concat('T', id)) AS team", "1510250000000L AS current_timestamp", "id AS wins")
+    )
+    joined = join_team_day(add_joined_key(left), team_days).select("eventId", "wins")
+    got = {row.eventId: row.wins for row in joined.collect()}
+    assert got == {i: 0 if i % 3 == 0 else i for i in range(90_000)}
+    assert split_plan(joined)
 
 
 def test_only_one_row_per_task_and_key_is_shuffled(spark):
@@ -142,8 +170,24 @@ def test_structured_table_order_and_invariants(spark):
     got = table.select("eventId", "sectionId", "Time_to_event", "cat_features").collect()
     assert in_order([tuple(row)[:3] for row in got])
     assert all(sum(row.cat_features.toArray()) == 5 for row in got)
-    widths = [table.schema[f"{name}_indexed"].metadata["ml_attr"]["vals"] for name in jobs.DEFAULT_COLUMNS]
-    assert len(got[0].cat_features) == sum(map(len, widths))
+    widths = [table.schema[f"{name}_indexed"].metadata["ml_attr"]["num_vals"] for name in jobs.DEFAULT_COLUMNS]
+    assert len(got[0].cat_features) == sum(widths)
+
+
+def test_events_and_team_days_are_counted_before_the_joins(spark):
+    """Ranks of a performance column from the combined counts equal those from the listings."""
+    snapshots, events = inventory(spark, SF_DIR), QUERIES["resolve_events"](spark, SF_DIR)
+    team_days = prepare_performance(performance(spark, SF_DIR))
+    columns = ["GameTime", "team", "sectionId"]
+    basis = jobs.label_basis(snapshots, events, team_days)
+    combined = label_frequencies(basis, columns, F.col("weight"))
+    assert rows(combined) == rows(label_frequencies(join_listings(snapshots, events, team_days), columns))
+
+
+def test_coverage_on_snapshots_equals_coverage_of_the_rows(spark):
+    snapshots, events = inventory(spark, SF_DIR), QUERIES["resolve_events"](spark, SF_DIR)
+    team_days = prepare_performance(performance(spark, SF_DIR))
+    assert rows(jobs.listing_coverage(snapshots, events, team_days)) == rows(join_coverage(join_listings(snapshots, events, team_days)))
 
 
 def test_encoding_other_columns_fits_on_the_joined_rows(spark):
@@ -167,6 +211,8 @@ def test_plans_stay_in_the_jvm(spark, name):
 def test_scans_read_only_what_a_query_needs(spark):
     plan = QUERIES["latest_event_date"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "o_totalprice" not in plan and "o_orderpriority" not in plan
+    plan = QUERIES["distinct_events"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "l_receiptdate" not in plan and plan.count("Exchange") == 1  # the one of distinct
 
 
 def test_filters_and_nested_fields_reach_the_scan(spark, tmp_path):

@@ -15,7 +15,7 @@ from seatgrid.operators.quality import join_coverage, load_loss_report, null_aud
 from seatgrid.operators.sections import explode_sections
 from seatgrid.plans.jobs import reexport, run_structure_all
 from seatgrid.schemas import INVENTORY, META, performance_schema
-from seatgrid.session import scratch_path
+from seatgrid.session import ensure_scratch, scratch_path
 from seatgrid.sources.collections import clean_load, copy_json, read_json_collection
 from seatgrid.sources.sinks import event_slice, read_split, run_path, split_by_event, write_csv, write_parquet_run
 
@@ -71,6 +71,7 @@ def test_staging_checks_every_field(spark, tmp_path):
     cleaned, report = clean_load(spark, path, INVENTORY, "inventory", stage=str(tmp_path / "stage"))
     assert cleaned.select("eventId").count() == 1
     assert report.first().rows_after == 1
+    assert clean_load(spark, path, INVENTORY, "inventory")[0].select("eventId").count() == 1
 
 
 def test_reports_on_nothing_are_null_not_errors(spark):
@@ -80,20 +81,23 @@ def test_reports_on_nothing_are_null_not_errors(spark):
     assert null_audit(empty, ["current_timestamp"]).first()[0] == 0
 
 
-def test_copy_json_drops_or_keeps_nulls(spark, tmp_path):
-    source = write_lines(tmp_path / "source", [{"current_timestamp": 1, "current_date": None, "events": []}])
-    schema = META.removesuffix(", _corrupt_record string")
-    copy_json(spark, source, str(tmp_path / "dropped"), schema)
-    copy_json(spark, source, str(tmp_path / "kept"), schema, ignore_null_fields=False)
-    copy_json(spark, source, str(tmp_path / "inferred"))
+def test_copy_json_keeps_every_field_and_bad_lines(spark, tmp_path):
+    lines = [
+        {"current_timestamp": 1, "current_date": None, "events": [], "undeclared": {"x": [1, None, "é"]}, "n": 0.25},
+        '{"cut": 1', "[1, 2]", '"text"', {"big": 12345678901234567890123, "yes": True},
+    ]
+    source = write_lines(tmp_path / "source", lines)
+    copy_json(spark, source, str(tmp_path / "dropped"))
+    copy_json(spark, source, str(tmp_path / "kept"), ignore_null_fields=False)
 
-    def line(name):
-        [part] = (tmp_path / name).glob("part-*.json")
-        return json.loads(part.read_text())
+    def read(name):
+        [part] = (tmp_path / name).glob("part-*.txt")
+        return part.read_text().splitlines()
 
-    assert line("dropped") == {"current_timestamp": 1, "events": []}
-    assert line("kept") == {"current_timestamp": 1, "current_date": None, "events": []}
-    assert line("inferred")["current_timestamp"] == 1
+    assert read("kept") == [line if isinstance(line, str) else json.dumps(line) for line in lines]
+    first, *bad, last = read("dropped")
+    assert json.loads(first) == {k: v for k, v in lines[0].items() if v is not None}
+    assert bad == lines[1:4] and json.loads(last) == lines[4]
 
 
 def test_run_path_uses_utc():
@@ -119,6 +123,19 @@ def test_csv_has_vectors_as_text(spark, tmp_path):
     assert [row.features for row in rows] == ["(20,[3],[1.0])", "[0.0,1.0]"]
 
 
+@pytest.mark.parametrize("file_format", ["csv", "parquet"])
+def test_split_into_buckets_keeps_ids_and_prunes(spark, tmp_path, file_format):
+    df = spark.range(3000).selectExpr("id % 300 AS eventId", "id AS sectionId")
+    path = str(tmp_path / "split")
+    split_by_event(df, path, file_format, order_by=["sectionId"], buckets=8)
+    assert len(list((tmp_path / "split").glob("bucket=*"))) <= 8
+    read = read_split(spark, path, "eventId bigint, sectionId bigint, bucket int", file_format)
+    assert sorted(map(tuple, read.select("eventId", "sectionId").collect())) == sorted(map(tuple, df.collect()))
+    one = event_slice(read, 42, buckets=8)
+    assert sorted(row.sectionId for row in one.collect()) == list(range(42, 3000, 300))
+    assert len({row[0] for row in one.selectExpr("input_file_name()").collect()}) == 1
+
+
 @pytest.mark.parametrize("file_format", ["csv", "parquet"])
 def test_split_holds_every_row_once(spark, tmp_path, file_format):
     """One event with most of the rows, one row for each of the others."""
@@ -179,18 +196,23 @@ def test_full_job_from_files(spark, tmp_path):
     assert split.schema["cat_features"].metadata["ml_attr"]["num_attrs"] == len(rows[0].cat_features)
 
 
-def test_scratch_needs_a_shared_folder_only_on_a_cluster(spark):
+def test_scratch_needs_a_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(f"{base}/seatgrid/x-")
 
     def unset(master):
         conf = SimpleNamespace(get=lambda key, default: default)
-        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="app"))
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId=f"app {master}"))
 
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(unset("local[2]"), "x")
+    ensure_scratch(unset("local[2]"))
     first, second = scratch_path(unset("local[2]"), "x"), scratch_path(unset("local[2]"), "x")
     assert first != second and Path(first).parent == Path(second).parent
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(unset("yarn"), "x")
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        ensure_scratch(unset(master))
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(unset(master), "x")
 
 
 def test_declared_schema_keeps_the_corrupt_column(spark, tmp_path):
@@ -229,7 +251,7 @@ def test_command_line_jobs(spark, tmp_path, capsys):
     main(["reexport", old, str(tmp_path / "csv")])
     assert spark.read.csv(str(tmp_path / "csv")).count() == 1
 
-    main(["copy-json", meta, str(tmp_path / "copy"), "--schema", META])
+    main(["copy-json", meta, str(tmp_path / "copy")])
     assert spark.read.json(str(tmp_path / "copy")).count() == 2
 
     main(["structure", *common, "--performance", write_lines(tmp_path / "perf", []), "--label", "all", "--strict"])

@@ -60,36 +60,42 @@ def test_collection_without_role_field(spark):
     ]
 
 
-def first_with_role(collection, role):
-    """(seen a match, entry); a null entry before the match is an error."""
-    for entry in collection:
-        if entry is None:
-            raise ValueError
-        if entry[2] == role:
-            return True, entry
-    return False, None
+def kind(collection, role):
+    """What a collection shows of a role: ``no list``, ``broken`` (a gap before any match), ``none`` or the match itself."""
+    if collection is None:
+        return "no list", None
+    places = [i for i, entry in enumerate(collection) if entry is not None and entry[2] == role]
+    gaps = [i for i, entry in enumerate(collection) if entry is None]
+    place = min(places, default=len(collection))
+    if min(gaps, default=len(collection)) < place:
+        return "broken", None
+    return ("match", collection[place]) if places else ("none", None)
+
+
+def named(name, team_id):
+    """A team as it comes out; without a name there is no team."""
+    return (None, None) if name is None else (name.replace(" ", "-"), None if team_id is None else str(team_id))
+
+
+NOTHING = named(None, None)
+# (what the collection shows of the role) -> the pair, where it does not depend on anything else.
+SETTLED = {"no list": NOTHING, "broken": NOTHING}
 
 
 def model(collection, performers, name):
-    try:
-        matched, entry = first_with_role(collection, H)
-        if not matched:
-            entry = performers[0] if len(performers) == 1 else (None, "")
-        home = (entry[1].replace(" ", "-"), entry[0])
-        if not matched and len(performers) != 1:
-            home = (None, None)
-    except (ValueError, TypeError, AttributeError):
-        home = (None, None)
-    try:
-        matched, entry = first_with_role(collection, A)
-        if matched:
-            away = (entry[1].replace(" ", "-"), entry[0])
-        else:
-            away = (name.split(" at")[0].replace(" ", "-"), collection[1][0] if len(collection) > 1 else None)
-    except (ValueError, TypeError, AttributeError):
-        away = (None, None)
-    as_text = [None if team_id is None else str(team_id) for team_id in (home[1], away[1])]
-    return home[0], as_text[0], away[0], as_text[1]
+    shows, entry = kind(collection, H)
+    only = performers[0] if performers is not None and len(performers) == 1 else None
+    home = SETTLED.get(shows) or {
+        "match": lambda: named(entry[1], entry[0]),
+        "none": lambda: NOTHING if only is None else named(only[1], only[0]),
+    }[shows]()
+    shows, entry = kind(collection, A)
+    second = collection[1] if collection is not None and len(collection) > 1 else (None,)
+    away = SETTLED.get(shows) or {
+        "match": lambda: named(entry[1], entry[0]),
+        "none": lambda: NOTHING if name is None or second is None else named(name.partition(" at")[0], second[0]),
+    }[shows]()
+    return *home, *away
 
 
 def test_random_rows_follow_the_rules(spark):
