@@ -8,16 +8,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seatgrid.session import scratch_path
+from seatgrid.session import ensure_scratch, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder of ``spark.checkpoint.dir``; a local session without one is given its own."""
+    ensure_scratch(spark)
+    return scratch_path(spark, name)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back: cuts the lineage and survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatgrid.llm import languages, mixing, packing, privacy, quality, sharding, simhash, tokenids, topk, toxicity
-from seatgrid.llm.common import doc_hash, stored, table
-from seatgrid.session import scratch_path
+from seatgrid.llm.common import doc_hash, scratch, stored, table
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +36,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_path(spark, "token-ids")
+    folder = scratch(spark, "token-ids")
     manifest = tokenids.write_token_ids(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), 2)
     return tokenids.read_token_ids(spark, folder, manifest).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
