@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Sequence
+from string import punctuation
+from unicodedata import is_normalized
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -57,13 +59,18 @@ def doc_hash(column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
-# White space and other characters at which words may not be cut safely; fixed values.
+# White space next to white space, or of a kind at which words may not be cut safely; fixed values.
 _ODD = (
-    "  ", " \n", " \t", " \r", " \x0b", " \x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0", "\u1680", "\u180e",
-    "\u2000", "\u2001", "\u2002", "\u2003", "\u2004", "\u2005", "\u2006", "\u2007", "\u2008", "\u2009", "\u200a",
-    "\u200b", "\u2028", "\u2029", "\u202f", "\u205f", "\u3000", "\ufeff",
+    "  ", " \n", " \t", " \r", " \x0b", " \x0c", "\n\n", "\n ", "\n\t", "\n\r", "\n\x0b", "\n\x0c", "\t\n", "\r\n", "\x0b\n",
+    "\x0c\n", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0", "\u1680", "\u180e", "\u2000", "\u2001", "\u2002", "\u2003",
+    "\u2004", "\u2005", "\u2006", "\u2007", "\u2008", "\u2009", "\u200a", "\u200b", "\u2028", "\u2029", "\u202f", "\u205f",
+    "\u3000", "\ufeff",
 )
-_PROBES = "the there Well ABC wOrd thinking zzzq international eR xylophone".split()
+_PROBES = "the there Well ABC wOrd thinking zzzq eR xylophone für Éa mañana ßÜ œuvre".split()
+# Byte-level vocabularies write a visible Latin-1 byte as that character and the others as characters from 256 on.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_HIDDEN = [b for b in range(256) if b not in _VISIBLE]
+_BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
 
 
 def _odd_space(text: str) -> bool:
@@ -73,48 +80,61 @@ def _odd_space(text: str) -> bool:
 class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes, with a memo of words.
 
-    A space before a visible character always starts a new pre-token in the supported byte-level and word
-    vocabularies, so the ids of a text are those of its space-led words in order; each new word is encoded once
-    while the memo (``memo`` words at most) holds it. A full stop or comma after letters is a pre-token of its
-    own, so "word." takes the ids of "word". Texts with other kinds of white space, where that does not hold for
-    sure, go to the tokenizer whole.
+    A space or line break before a visible character always starts a new pre-token in the supported byte-level and
+    word vocabularies, so the ids of a text are those of its led words in order; each new word is encoded once while the
+    memo (``memo`` words at most) holds it. Of a new word, punctuation after letters is a pre-token of its own, and letters
+    alone may go to the model behind the tokenizer at once, if that is seen to give the same. Texts with other kinds of
+    white space, where all this does not hold for sure, go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, memo: int = 800_000):
+    def __init__(self, path: str, memo: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memo, self.words = memo, {}
-        # How the model itself sees a space-led word of ASCII letters, if that gives what the whole tokenizer gives.
-        self.seen = next((
-            see for see in (lambda w: f"\u0120{w}", str.lower)
-            if [self._model(see(w)) for w in _PROBES] == self._ids([f" {w}" for w in _PROBES])
-        ), None)
-        self.marks = {mark: self._ids([mark])[0] for mark in ".,"}
+        self.memo, self.words, self.tails = memo, {}, {}
+        self.line = self._ids(["\n"])[0]
+        self.lead, self.fold = None, False
+        for lead, fold in (("\u0120", False), ("", True)):  # as the model sees a space-led word
+            self.lead, self.fold = lead, fold
+            led, bare = self._ids([f" {w}" for w in _PROBES]), self._ids(_PROBES)
+            if [self._model(w, True) for w in _PROBES] == led and [self._model(w, False) for w in _PROBES] == bare:
+                break
+        else:
+            self.lead = None
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
-    def _model(self, word: str) -> bytes:
+    def _model(self, word: str, led: bool) -> bytes:
+        word = word.lower() if self.fold else word
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
+        word = f"{self.lead}{word}" if led else word
         return array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
 
     def _learn(self, new: set[str]) -> None:
-        words, marks = self.words, self.marks
-        ended = [w for w in new if w[-1:] in marks and w[:-1].isalpha()]
-        bare = {w[:-1] for w in ended}
-        plain = (new | {w for w in bare if w not in words}).difference(ended)
-        if self.seen:
-            tokenize, see = self.tokenizer.model.tokenize, self.seen
-            letters = [w for w in plain if w.isascii() and w.isalpha()]
-            for w in letters:
-                words[w] = array("I", [t.id for t in tokenize(see(w))]).tobytes()
-            plain.difference_update(letters)
-        rest = list(plain)
-        words.update(zip(rest, self._ids([f" {w}" for w in rest])))
-        for w in ended:
-            words[w] = words[w[:-1]] + marks[w[-1]]
+        words, tails, rest = self.words, self.tails, []
+        for word in new:
+            led = word[0] != "\n"
+            body = word if led else word[1:]
+            core = body.rstrip(punctuation)
+            plain = core.isalpha() and (core.isascii() or (max(core) < "\u0250" and is_normalized("NFC", core)))
+            if self.lead is None or not plain:
+                rest.append(word)
+                continue
+            key, tail = core if led else f"\n{core}", body[len(core) :]
+            ids = words.get(key)
+            if ids is None:
+                words[key] = ids = self._model(core, led) if led else self.line + self._model(core, led)
+            if tail:
+                if tail not in tails:
+                    if len(tails) > 10_000:
+                        tails.clear()
+                    tails[tail] = self._ids([tail])[0]
+                words[word] = ids + tails[tail]
+        words.update(zip(rest, self._ids([w if w[0] == "\n" else f" {w}" for w in rest])))
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text; a null text counts as empty."""
@@ -122,7 +142,7 @@ class Encoder:
         if len(words) > self.memo:
             words.clear()
         get = words.get
-        split: list[tuple[int, list[str]]] = []
+        split: list[tuple[int, list[bytes | None]]] = []
         whole: list[int] = []
         heads: list[str] = []
         holes: list[tuple[list[int], list[str], list[bytes | None]]] = []
@@ -133,7 +153,7 @@ class Encoder:
             if _odd_space(text):
                 whole.append(i)
                 continue
-            head, *parts = text.split(" ")
+            head, *parts = text.replace("\n", " \n").split(" ")
             found = list(map(get, parts))
             split.append((i, found))
             heads.append(head)
@@ -152,17 +172,17 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One per worker process and vocabulary."""
+def encoder(path: str, memo: int = 1_500_000) -> Encoder:
+    """One per worker process, vocabulary and size of the memo (about 250 bytes a word)."""
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, memo) not in _encoders:
+        _encoders[path, memo] = Encoder(path, memo)
+    return _encoders[path, memo]
 
 
 def slices(values: list, most: int = 256):

@@ -25,6 +25,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 def cut_documents(
     docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
+    memo: int = 1_500_000,
 ) -> DataFrame:
     """One row per piece of a document: ``doc_id, piece, start, length, ids``.
 
@@ -37,7 +38,7 @@ def cut_documents(
     def cut(batches):
         import pyarrow as pa
 
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, memo).encode
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
             for at, part in slices(range(len(keys))):
@@ -129,6 +130,9 @@ def best_fit(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = (
     return pieces.mapInArrow(place, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, **columns: str) -> DataFrame:
-    """Packed pieces of whole documents with their ids: ``doc_id, piece, start, length, ids, sequence_id, offset``."""
-    return best_fit(stored(cut_documents(docs, tokenizer, capacity, end_id, **columns), "pack-pieces"), capacity)
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, **options) -> DataFrame:
+    """Packed pieces of whole documents with their ids: ``doc_id, piece, start, length, ids, sequence_id, offset``.
+
+    ``options`` go to :func:`cut_documents`.
+    """
+    return best_fit(stored(cut_documents(docs, tokenizer, capacity, end_id, **options), "pack-pieces"), capacity)

@@ -3,9 +3,10 @@
 Documents are range-sorted by id; each sorted partition becomes one shard of two files, written by the task that
 holds it:
 
-``shard-NNNNN.ids``  ids of its documents, one after the other, little-endian unsigned 32-bit.
-``shard-NNNNN.idx``  eight-byte ``TOKIDX01``, then little-endian: counts (5 x u64: rows, null keys, distinct keys, levels, words of
-    all levels), keys (i64 each row), offsets (u64, rows + 1, in ids), level sizes in 64-bit words (u64 each), level bits (u64),
+``shard-NNNNN.ids``  ids of its documents, one after the other, little-endian, unsigned 16-bit if the vocabulary
+    and the end id have no more than 65,536 ids, else 32-bit.
+``shard-NNNNN.idx``  eight-byte ``TOKIDX01``, then little-endian: counts (6 x u64: bytes of an id, rows, null keys, distinct keys,
+    levels, words of all levels), keys (i64 each row), offsets (u64, rows + 1, in ids), level sizes in 64-bit words (u64 each), level bits (u64),
     ones before each word (u64), then for each slot of the hash its first row (u64), its rows (u64) and a fingerprint (u32).
 
 A key's slot: at the first level whose bit at hash(key, level) mod bits is set, the number of ones before it. A level
@@ -80,19 +81,19 @@ class PerfectHash:
 class Index:
     """A shard's index: keys in order, offsets, and the hash from key to rows."""
 
-    def __init__(self, keys, nulls, offsets, mph, first, rows, prints):
-        self.keys, self.nulls, self.offsets, self.mph, self.first, self.rows, self.prints = keys, nulls, offsets, mph, first, rows, prints
+    def __init__(self, width, keys, nulls, offsets, mph, first, rows, prints):
+        self.width, self.keys, self.nulls, self.offsets, self.mph, self.first, self.rows, self.prints = width, keys, nulls, offsets, mph, first, rows, prints
 
     @classmethod
-    def build(cls, keys: np.ndarray, nulls: int, offsets: np.ndarray) -> Index:
+    def build(cls, width: int, keys: np.ndarray, nulls: int, offsets: np.ndarray) -> Index:
         """``keys`` ascending, the first ``nulls`` of them null; equal keys are one entry with many rows."""
         distinct, first, rows = np.unique(keys[nulls:], return_index=True, return_counts=True)
         mph = PerfectHash.build(distinct)
         order = np.argsort(mph.slots(distinct))
-        return cls(keys, nulls, offsets, mph, first[order] + nulls, rows[order], _fingerprints(distinct[order]))
+        return cls(width, keys, nulls, offsets, mph, first[order] + nulls, rows[order], _fingerprints(distinct[order]))
 
     def dump(self) -> bytes:
-        counts = struct.pack("<5Q", len(self.keys), self.nulls, len(self.first), len(self.mph.sizes), len(self.mph.words))
+        counts = struct.pack("<6Q", self.width, len(self.keys), self.nulls, len(self.first), len(self.mph.sizes), len(self.mph.words))
         parts = [(self.keys, "<i8"), (self.offsets, "<u8"), (self.mph.sizes, "<u8"), (self.mph.words, "<u8"), (self.mph.ones, "<u8"), (self.first, "<u8"), (self.rows, "<u8"), (self.prints, "<u4")]
         return MAGIC + counts + b"".join(np.asarray(a).astype(k).tobytes() for a, k in parts)
 
@@ -100,12 +101,16 @@ class Index:
     def load(cls, raw: bytes) -> Index:
         if raw[:8] != MAGIC:
             raise ValueError("not a token index")
-        n, nulls, keys, levels, words = struct.unpack_from("<5Q", raw, 8)
-        at, out = 48, []
+        width, n, nulls, keys, levels, words = struct.unpack_from("<6Q", raw, 8)
+        at, out = 56, []
         for kind, many in (("<i8", n), ("<u8", n + 1), ("<u8", levels), ("<u8", words), ("<u8", words), ("<u8", keys), ("<u8", keys), ("<u4", keys)):
             out.append(np.frombuffer(raw, kind, many, at))
             at += many * np.dtype(kind).itemsize
-        return cls(out[0], nulls, out[1].astype(np.int64), PerfectHash(*out[2:5]), out[5].astype(np.int64), out[6].astype(np.int64), out[7])
+        return cls(width, out[0], nulls, out[1].astype(np.int64), PerfectHash(*out[2:5]), out[5].astype(np.int64), out[6].astype(np.int64), out[7])
+
+    def widened(self, raw: bytes) -> bytes:
+        """Ids as unsigned 32-bit."""
+        return raw if self.width == 4 else np.frombuffer(raw, "<u2").astype("<u4").tobytes()
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First row of each key and its number of rows; -1 and 0 for keys that are not there."""
@@ -136,12 +141,12 @@ def write_token_ids(
     """
     from pyspark import TaskContext
 
-    end = np.array([end_id], "<u4").tobytes()
-
     def write(batches):
         import pyarrow as pa
 
-        encode, shard = encoder(tokenizer).encode, TaskContext.get().partitionId()
+        words, shard = encoder(tokenizer), TaskContext.get().partitionId()
+        width = 2 if max(words.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else 4
+        end = np.array([end_id], "<u4").tobytes()
         files, base = _files(folder)
         own = f"{base}/.{shard:05d}-{uuid.uuid4().hex}"
         keys, nulls, sizes, out = [], 0, [], None
@@ -151,8 +156,9 @@ def write_token_ids(
                 if out is None:
                     files.create_dir(base, recursive=True)
                     out = files.open_output_stream(f"{own}.ids")
-                found = encode(texts.slice(at, len(part)).to_pylist())
-                out.write(b"".join([x for ids in found for x in (ids, end)]))
+                found = words.encode(texts.slice(at, len(part)).to_pylist())
+                raw = b"".join([x for ids in found for x in (ids, end)])
+                out.write(raw if width == 4 else np.frombuffer(raw, "<u4").astype("<u2").tobytes())
                 sizes.extend(len(ids) // 4 + 1 for ids in found)
                 nulls += sum(k is None for k in part)
                 keys.extend(0 if k is None else k for k in part)
@@ -162,7 +168,7 @@ def write_token_ids(
         keys = np.array(keys, np.int64)
         offsets = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))])
         with files.open_output_stream(f"{own}.idx") as idx:
-            idx.write(Index.build(keys, nulls, offsets).dump())
+            idx.write(Index.build(width, keys, nulls, offsets).dump())
         for kind in ("ids", "idx"):
             files.move(f"{own}.{kind}", f"{base}/shard-{shard:05d}.{kind}")
         bounds = (None, None) if nulls == len(keys) else (int(keys[nulls]), int(keys[-1]))
@@ -203,8 +209,8 @@ def read_token_ids(spark: SparkSession, folder: str, manifest: DataFrame) -> Dat
                         part = rows[at : at + 512]
                         starts, ends = index.offsets[part], index.offsets[part + 1]
                         low = int(starts.min())
-                        payload.seek(4 * low)
-                        raw = payload.read(4 * (int(ends.max()) - low))
+                        payload.seek(index.width * low)
+                        raw = index.widened(payload.read(index.width * (int(ends.max()) - low)))
                         ids = [raw[4 * (a - low) : 4 * (b - low)] for a, b in zip(starts.tolist(), ends.tolist())]
                         yield pa.RecordBatch.from_arrays(
                             [
@@ -229,7 +235,7 @@ def lookup(folder: str, manifest: list[tuple[int, int, int]], key: int) -> list[
         if many and index.keys[first] == key:
             with files.open_input_file(f"{base}/shard-{shard:05d}.ids") as payload:
                 for row in range(first, first + many):
-                    payload.seek(4 * int(index.offsets[row]))
-                    out.append(payload.read(4 * int(index.offsets[row + 1] - index.offsets[row])))
+                    payload.seek(index.width * int(index.offsets[row]))
+                    out.append(index.widened(payload.read(index.width * int(index.offsets[row + 1] - index.offsets[row]))))
     return out
 
