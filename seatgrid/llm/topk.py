@@ -178,7 +178,8 @@ class Search:
                     out.append(pd.DataFrame({"query_id": asked[q[good]], "vec_id": ids[c[good]], "score": [int(x) for x in found[q[good], c[good]]]}))
                 yield pd.concat(out).astype("int64")
 
-        pairs = sides.join(self.blocks, ["cell", "spread"]).select("queries", "ids", "vectors")
+        # Rows of matrices: never to be broadcast, however small their files are.
+        pairs = sides.hint("merge").join(self.blocks, ["cell", "spread"]).select("queries", "ids", "vectors")
         return pairs.mapInPandas(best, "query_id long, vec_id long, score long")
 
     def top(self, queries: DataFrame, k: int = 5) -> DataFrame:
