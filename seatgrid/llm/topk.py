@@ -22,7 +22,7 @@ from seatgrid.llm.common import stored
 
 BLOCK_ROWS = 1024
 QUERY_ROWS = 512
-SPREAD = 8  # tasks over which the blocks of one annulus are dealt
+SPREAD = 8  # parts, at most, into which the blocks of one annulus are dealt
 _EXACT = float(1 << 53)
 
 
@@ -78,7 +78,10 @@ def scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 
 
 class Search:
-    """An index over ``rows`` (``vec_id, v``, stored). ``sample`` rows at most are used to place the pivots; all rows are indexed."""
+    """An index over ``rows`` (``vec_id, v``, stored). ``sample`` rows at most are used to place the pivots; all rows are indexed.
+
+    There are ``pivots`` at most, fewer where annuli would hold less than half a block on average.
+    """
 
     def __init__(self, rows: DataFrame, pivots: int = 48, rings: int = 16, sample: int = 4096):
         self.rows = rows
@@ -86,6 +89,7 @@ class Search:
         self.most, self.width, self.count = size[0] or 0.0, size[1] or 0, size[2]
         if not self.count:
             return
+        pivots = max(1, min(pivots, 2 * self.count // (rings * BLOCK_ROWS)))
         few = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
         self.pivots = points = choose_pivots(_lift(_matrix([r["v"] for r in few], self.width), self.most), pivots)
         width, most = self.width, self.most
@@ -108,6 +112,8 @@ class Search:
         cells = np.array(sorted(map(tuple, cells)), float)
         self.cells, self.low, self.high, self.many = cells[:, 0].astype(int), cells[:, 1], cells[:, 2], cells[:, 3]
         self.of_pivot = self.cells // rings
+        self.spreads = np.clip(self.many // (4 * BLOCK_ROWS), 1, SPREAD).astype(np.int32)
+        spreads = dict(zip(self.cells.tolist(), self.spreads.tolist()))
 
         def blocked(batches):
             for part in batches:
@@ -116,7 +122,7 @@ class Search:
                         own = group.iloc[at : at + BLOCK_ROWS].sort_values("vec_id", kind="stable")
                         ids = own["vec_id"].to_numpy(np.int64)
                         yield pd.DataFrame({
-                            "cell": [cell], "spread": [int(ids[0] % SPREAD)], "ids": [ids.tobytes()],
+                            "cell": [cell], "spread": [int(ids[0] % spreads[cell])], "ids": [ids.tobytes()],
                             "vectors": [_matrix(own["v"], width).tobytes()],
                         })
 
@@ -126,7 +132,7 @@ class Search:
     def _visit(self, queries: DataFrame, k: int, again: bool) -> DataFrame:
         """``query_id, v, cell, floor``: the first cells to visit, or those left that the k-th score ``worst`` leaves open."""
         width, most, points, count = self.width, self.most, self.pivots, self.count
-        low, high, many, cells, of_pivot = self.low, self.high, self.many, self.cells, self.of_pivot
+        low, high, many, cells, of_pivot, spreads = self.low, self.high, self.many, self.cells, self.of_pivot, self.spreads
 
         def plan(batches):
             for part in batches:
@@ -148,17 +154,17 @@ class Search:
                 if len(q):
                     floor = part["worst"].to_numpy(float)[q] if again else np.full(len(q), -np.inf)
                     yield pd.DataFrame({
-                        "query_id": part["query_id"].to_numpy()[q], "v": [m[i].tobytes() for i in q], "cell": cells[c].astype(np.int32), "floor": floor,
+                        "query_id": part["query_id"].to_numpy()[q], "v": [m[i].tobytes() for i in q], "cell": cells[c].astype(np.int32), "spreads": spreads[c], "floor": floor,
                     })
 
-        return queries.mapInPandas(plan, "query_id long, v binary, cell int, floor double")
+        return queries.mapInPandas(plan, "query_id long, v binary, cell int, spreads int, floor double")
 
     def _meet(self, visits: DataFrame, queries: int, k: int) -> DataFrame:
         """Each visiting query's k best of each block: ``query_id, vec_id, score``."""
         width, groups = self.width, max(1, -(-queries // QUERY_ROWS))
         group = F.pmod(F.xxhash64("query_id"), F.lit(groups))
-        sides = visits.groupBy("cell", group.alias("group")).agg(F.collect_list(F.struct("query_id", "v", "floor")).alias("queries"))
-        sides = sides.select("cell", F.explode(F.array(*map(F.lit, range(SPREAD)))).alias("spread"), "queries")
+        sides = visits.groupBy("cell", "spreads", group.alias("group")).agg(F.collect_list(F.struct("query_id", "v", "floor")).alias("queries"))
+        sides = sides.select("cell", F.explode(F.sequence(F.lit(0), F.col("spreads") - 1)).alias("spread"), "queries")
 
         def best(batches):
             for part in batches:
