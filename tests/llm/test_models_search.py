@@ -97,7 +97,8 @@ def brute(rows, asked, k):
 
 
 @pytest.mark.parametrize("largest", [1.0, 1e6])
-def test_search_on_ties_copies_and_few_rows(spark, largest):
+def test_search_on_ties_copies_and_few_rows(spark, largest, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 16)  # more annuli than so few rows would get
     rng = np.random.default_rng(7)
     vectors = [(i, (largest * rng.normal(size=8)).tolist()) for i in range(400)]
     vectors += [(i, [0.25] * 8) for i in range(400, 700)] + [(3, [1.0] * 8), (700, []), (701, [0.5])]
