@@ -31,7 +31,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their token ids and their places in sequences of 2048 ids."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, 0, memo=500_000)
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, 0, memo=400_000)
 
 
 STAGES = [

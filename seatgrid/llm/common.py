@@ -13,13 +13,21 @@ from pyspark.sql import functions as F
 from seatgrid.session import ensure_scratch, scratch_path
 
 
+BATCH_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of ``spark.checkpoint.dir``; a local session without one is given its own."""
+    """A new path in the shared folder of ``spark.checkpoint.dir``; a local session without one is given its own.
+
+    Also sees to it that Arrow batches hold at most ``BATCH_ROWS`` rows, since rows are whole texts here.
+    """
     ensure_scratch(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return scratch_path(spark, name)
 
 
