@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatgrid.llm.common import encoder, ranked, slices, stored
+from seatgrid.llm.common import encoder, ranked, slices
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
@@ -133,6 +133,7 @@ def best_fit(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = (
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, **options) -> DataFrame:
     """Packed pieces of whole documents with their ids: ``doc_id, piece, start, length, ids, sequence_id, offset``.
 
-    ``options`` go to :func:`cut_documents`.
+    ``options`` go to :func:`cut_documents`. The texts are cut twice, to sample the lengths and to sort the pieces, so that
+    ids are stored once only.
     """
-    return best_fit(stored(cut_documents(docs, tokenizer, capacity, end_id, **options), "pack-pieces"), capacity)
+    return best_fit(cut_documents(docs, tokenizer, capacity, end_id, **options), capacity)
