@@ -128,7 +128,9 @@ class Encoder:
             led = word[0] != "\n"
             body = word if led else word[1:]
             core = body.rstrip(punctuation)
-            plain = core.isalpha() and (core.isascii() or (max(core) < "\u0250" and is_normalized("NFC", core)))
+            plain = core.isalpha() and (
+                core.isascii() or (max(core) < "\u0250" and core.lower().isalpha() and is_normalized("NFC", core))
+            )
             if self.lead is None or not plain:
                 rest.append(word)
                 continue

@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from plain import SF_DIR, ids_of
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -29,7 +29,9 @@ def test_encoder_equals_the_tokenizer(encoders, documents, edge_rows, path):
     assert encoders[path].encode([*texts, None, ""]) == [ids_of(path, t) for t in texts] + [b"", b""]
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=400, deadline=None)
+@example("\nİ")
+@example("aİ. ǅ ŉ ßẞ")
 @given(st.text(alphabet="aZé'.,1 \n\n\t\r　\x1c#!Σ́ßİ", max_size=25))
 def test_encoder_equals_the_tokenizer_on_odd_texts(encoders, text):
     for path, encoder in encoders.items():
