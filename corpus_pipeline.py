@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from seatgrid.llm import mixing, packing, privacy, quality, simhash
 from seatgrid.llm.common import stored
 
+#: Sources are weighted by their numbers of rows to this power.
+TEMPERATURE = 0.7
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
@@ -26,12 +29,17 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, sorted into the mix of their sources."""
-    return mixing.mixed(docs, temperature=0.7)
+    return mixing.mixed(docs, temperature=TEMPERATURE)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their token ids and their places in sequences of 2048 ids."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, 0, memo=400_000)
+    """The pieces of all documents with their token ids and their places in sequences of 2048 ids, numbered in the order of the mix.
+
+    Row order does not outlast a table, so a document's slot and place are worked out again: they follow from ids and sources.
+    """
+    mix = mixing.mix(docs.select("doc_id", "text", "source"), carry=True, temperature=TEMPERATURE)
+    mix = mix.select("slot", "place", "row.doc_id", "row.text")
+    return packing.pack_in_order(mix, public_tokenizers.path("word_bpe_49k.json"), 2048, 0, memo=400_000)
 
 
 STAGES = [

@@ -18,21 +18,22 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatgrid.llm.common import encoder, ranked, slices
+from seatgrid.llm.common import encoder, ranked, slices, stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
 def cut_documents(
     docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
-    memo: int = 1_500_000,
+    memo: int = 1_500_000, carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per piece of a document: ``doc_id, piece, start, length, ids``.
+    """One row per piece of a document: ``doc_id, piece, start, length, ids`` and the columns ``carry`` of ``docs``.
 
     ``ids`` are little-endian unsigned 32-bit ids, the document's followed by ``end_id``. Only documents of more
     than ``capacity`` ids are cut, every ``capacity`` ids. A null text is an empty one (its piece is the end id
     alone); a null id stays null; repeated rows give repeated pieces; other columns of ``docs`` are left out.
     """
+    kept = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), *carry)
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
@@ -42,19 +43,21 @@ def cut_documents(
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
             for at, part in slices(range(len(keys))):
-                rows = [[], [], [], [], []]
-                for key, ids in zip(keys[at : at + len(part)], encode(texts.slice(at, len(part)).to_pylist())):
+                rows, of = [[], [], [], [], []], []
+                for row, key, ids in zip(part, keys[at : at + len(part)], encode(texts.slice(at, len(part)).to_pylist())):
                     ids += end
                     for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[start : start + 4 * capacity]
                         for column, value in zip(rows, (key, piece, start // 4, len(own) // 4, own)):
                             column.append(value)
+                        of.append(row)
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(rows, kinds)], names=["doc_id", "piece", "start", "length", "ids"]
+                    [*(pa.array(c, k) for c, k in zip(rows, kinds)), *(c.take(pa.array(of, pa.int64())) for c in batch.columns[2:])],
+                    names=["doc_id", "piece", "start", "length", "ids", *carry],
                 )
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(cut, PIECES)
+    return kept.mapInArrow(cut, ", ".join([PIECES, *(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in carry)]))
 
 
 def best_fit_runs(counts: dict[int, int], capacity: int) -> np.ndarray:
@@ -137,3 +140,26 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id
     ids are stored once only.
     """
     return best_fit(cut_documents(docs, tokenizer, capacity, end_id, **options), capacity)
+
+
+def pack_in_order(
+    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, order: tuple[str, ...] = ("slot", "place"), **options
+) -> DataFrame:
+    """As :func:`pack_documents`, with sequences numbered in the order of ``docs``.
+
+    ``order`` names columns of ``docs`` (no ``piece``, ``start``, ``length``) that are never null and tell all its rows apart.
+    Pieces of one length are placed by them, and a sequence's number is the place of its first piece in that order among the
+    first pieces of all sequences. Places are worked out from lengths alone and joined to the texts, which are then
+    encoded again, so that no ids are stored or shuffled.
+    """
+    cut = cut_documents(docs, tokenizer, capacity, end_id, carry=order, **options).select(*order, "piece", "length")
+    placed = stored(best_fit(stored(cut, "pack-lengths"), capacity, (*order, "piece")), "pack-placed")
+    first = placed.groupBy("sequence_id").agg(F.min(F.struct(*order, "piece")).alias("first")).select("sequence_id", "first.*")
+    numbers = ranked(first, [], [*order, "piece"], "pack-numbers", "number").select("sequence_id", "number")
+    places = placed.join(numbers, "sequence_id").groupBy(*order).agg(
+        F.array_sort(F.collect_list(F.struct("piece", F.col("number").alias("sequence_id"), "offset"))).alias("places")
+    )
+    whole = docs.select("doc_id", "text", *order).join(places, list(order))
+    pieces = cut_documents(whole, tokenizer, capacity, end_id, carry=("places",), **options)
+    at = F.col("places")[F.col("piece")]
+    return pieces.select("doc_id", "piece", "start", "length", "ids", at["sequence_id"].alias("sequence_id"), at["offset"].alias("offset"))

@@ -286,3 +286,30 @@ def test_pipeline_stages_and_run(spark, documents):
     mixed = corpus_pipeline.source_mix(spark, clean, SF_DIR)
     assert clean.columns == mixed.columns == names
     assert not [r for r in mixed.collect() if plain_spans(r["text"])]
+
+
+def test_sequences_follow_the_mix(spark):
+    """Documents of one source after the other, by id; a sequence holds four of them."""
+    counts = {"hot": 1600, "mid": 320, "low": 80}
+    sources = [s for s, n in counts.items() for _ in range(n)]
+    rows = [(i, "a " * (490 + i % 3), source) for i, source in enumerate(sources)]
+    rows.append((5000, "a " * 5000, "low"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    packed = corpus_pipeline.sequences(spark, docs, SF_DIR).collect()
+    assert sorted({r["doc_id"] for r in packed}) == [r[0] for r in rows]
+    assert {len(r["ids"]) for r in packed if r["doc_id"] == 5000} == {4 * 2048, 4 * (5001 - 2 * 2048)}
+    ends = Counter()
+    for r in sorted(packed, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends[r["sequence_id"]] and len(r["ids"]) == 4 * r["length"]
+        ends[r["sequence_id"]] += r["length"]
+    assert max(ends.values()) <= 2048 and set(ends) == set(range(len(ends)))
+    mix = {r["doc_id"]: (r["slot"], r["place"]) for r in mixing.mix(docs, temperature=corpus_pipeline.TEMPERATURE).collect()}
+    first = {}
+    for r in packed:
+        first[r["sequence_id"]] = min(first.get(r["sequence_id"], (1 << 40,)), (*mix[r["doc_id"]], r["piece"]))
+    assert [first[i] for i in range(len(first))] == sorted(first.values())
+    weights = {s: n**0.7 for s, n in counts.items()}
+    for upto in (60, 90):  # sequences, while no source has ended
+        seen = Counter(sources[r["doc_id"]] for r in packed if r["sequence_id"] < upto and r["doc_id"] < 5000)
+        for source, weight in weights.items():
+            assert abs(seen[source] / seen.total() - weight / sum(weights.values())) < 0.1
