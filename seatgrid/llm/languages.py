@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +21,9 @@ from seatgrid.llm.common import stored
 
 UNKNOWN = "und"
 SIZE = 2048
-# Families of common languages. A language that is not listed is a family of its own.
+OWN_FAMILIES = 8
+# Families of common languages. A language that is not listed is a family of its own, or, if those are many, of
+# a family of alike ones.
 FAMILIES = {
     "en": "germanic", "de": "germanic", "nl": "germanic", "sv": "germanic", "da": "germanic", "no": "germanic",
     "fr": "romance", "es": "romance", "it": "romance", "pt": "romance", "ro": "romance", "ca": "romance",
@@ -45,22 +48,37 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def training_sample(docs: DataFrame, per_language: int, most_languages: int) -> DataFrame:
-    """``lang, text``: at most ``per_language`` different texts of each of the most frequent languages.
+def training_sample(docs: DataFrame, per_language: int, most_languages: int | None = None) -> DataFrame:
+    """``lang, text``: at most ``per_language`` different texts of every language, or of the ``most_languages`` most frequent ones.
 
     Texts are drawn by their hash, so copies are one text and the draw is the same in every run.
     """
     rows = docs.select(F.col("lang").cast("string").alias("lang"), "text").filter(F.col("lang").isNotNull() & has_letter(F.col("text")))
     key = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
-    counts = rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages)
-    limit = F.lit(-1)
-    for row in counts.collect():
-        limit = F.when(F.col("lang") == row["lang"], int(2e6 * per_language / max(row["n"], 1)) + 1).otherwise(limit)
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).orderBy(F.desc("n"), "lang")
+    found = (counts if most_languages is None else counts.limit(most_languages)).collect()
+    limits = [F.lit(x) for row in found for x in (row["lang"], int(2e6 * per_language / max(row["n"], 1)) + 1)]
+    limit = F.try_element_at(F.create_map(*limits), F.col("lang")) if limits else F.lit(-1)
     drawn = rows.filter(key < limit).groupBy("lang", F.xxhash64("text").alias("key")).agg(F.min("text").alias("text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("key", "text"))
     return drawn.withColumn("rank", rank).filter(F.col("rank") <= per_language).select("lang", "text")
 
 
+def group_alike(means: dict[str, np.ndarray]) -> dict[str, list[str]]:
+    """The languages of ``means`` in groups of alike mean vectors: about as many groups as each has languages.
+
+    A group is led by the first language not yet in one and takes those nearest to it, so that machines number
+    about half the 1.5th power of the languages, not half their square.
+    """
+    left, out = sorted(means), {}
+    size = int(np.ceil(np.sqrt(len(left))))
+    while left:
+        near = sorted(left, key=lambda x: (x != left[0], float(np.linalg.norm(means[x] - means[left[0]])), x))[:size]
+        out[f"={near[0]}"] = sorted(near)
+        left = [x for x in left if x not in near]
+    return out
+
+
 class LanguageModel:
     """Weights of one linear machine per pair of families, and per pair of languages of a family."""
 
@@ -92,10 +110,11 @@ class LanguageModel:
         return list(out), sure
 
 
-def fit_languages(docs: DataFrame, per_language: int = 800, most_languages: int = 24, families: dict[str, str] | None = None) -> LanguageModel | None:
+def fit_languages(docs: DataFrame, per_language: int = 800, most_languages: int | None = None, families: dict[str, str] | None = None) -> LanguageModel | None:
     """Fits on a sample of ``docs`` (``lang, text``); None without a text of a known language.
 
-    At most ``per_language`` texts of each of the ``most_languages`` most frequent languages are fitted.
+    At most ``per_language`` texts of every language are fitted (with ``most_languages``, of the most frequent ones only). More
+    than ``OWN_FAMILIES`` languages that ``families`` does not list form families of alike languages.
     """
     table = FAMILIES if families is None else families
 
@@ -111,6 +130,11 @@ def fit_languages(docs: DataFrame, per_language: int = 800, most_languages: int
     for lang in langs:
         groups.setdefault(table.get(lang, f"={lang}"), []).append(lang)
     rows = sample.select("lang", array_to_vector("grams").alias("features")).persist()
+    other = [lang for lang in langs if lang not in table]
+    if len(other) > OWN_FAMILIES:
+        means = rows.filter(~F.col("lang").isin(list(table))).groupBy("lang").agg(Summarizer.mean(F.col("features")).alias("mean"))
+        groups = {k: v for k, v in groups.items() if k not in {f"={x}" for x in other}}
+        groups |= group_alike({r["lang"]: r["mean"].toArray() for r in means.collect()})
     machines = {}
 
     def machine(a: list[str], b: list[str]) -> tuple[np.ndarray, float]:

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from oracle import compare
 from plain import SF_DIR
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
 from seatgrid.llm import languages, queries, topk, toxicity
@@ -47,6 +48,23 @@ def test_sample_takes_a_copied_text_once(spark):
     assert len(texts) == len(set(texts)) and 200 <= len(texts) <= 300
 
 
+def test_every_language_is_learnt(spark, monkeypatch):
+    class Machine:
+        coefficients, intercept = DenseVector([0.0]), 0.0
+
+        def fit(self, pair):
+            return self
+
+    monkeypatch.setattr(languages, "LinearSVC", lambda **_: Machine())
+    names = ["en", "de", "fr", *(f"x{i:02}" for i in range(40))]
+    rows = [(name, f"{chr(0x400 + 9 * i)}word {k} of {name}") for i, name in enumerate(names) for k in range(3)]
+    model = languages.fit_languages(spark.createDataFrame(rows, "lang string, text string"))
+    assert sorted(x for own in model.families.values() for x in own) == sorted(names)
+    assert len(model.machines) < 200  # of 903 pairs
+    for own in (list(model.families), *model.families.values()):
+        assert all((a, b) in model.machines for i, a in enumerate(sorted(own)) for b in sorted(own)[i + 1 :])
+
+
 def test_op4_on_held_out_texts(spark):
     rows = {r["doc_id"]: r for r in queries.op4_toxicity(spark, LARGER).collect()}
     ids = [r[0] for r in duckdb.sql(f"SELECT doc_id FROM '{LARGER}/documents.parquet'").fetchall()]
