@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatgrid.llm import languages, mixing, packing, privacy, quality, sharding, simhash, tokenids, topk, toxicity
+from seatgrid.llm import (
+    fingerprints, languages, merkle, mixing, packing, periods, privacy, quality, sharding, simhash, tokenids, topk, toxicity,
+)
 from seatgrid.llm.common import doc_hash, scratch, stored, table
 
 
@@ -73,6 +77,57 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+#: The columns of a document's leaf, in the order they are hashed in.
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    leaf = merkle.row_digest([F.col(c) for c in LEAF])
+    flat = merkle.row_digest([F.replace("text", F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in LEAF])
+    rows = docs.select(
+        "source", F.col("doc_id").cast("long").alias("doc_id"), F.unhex(leaf).alias("leaf"),
+        F.unhex(F.when(doc_hash() % 2 == 0, flat).otherwise(leaf)).alias("claimed"),
+    )
+    manifest = merkle.build_manifest(rows)
+    root = F.lit(manifest.root).cast("string")
+    return merkle.climb(manifest).select(
+        "doc_id", "leaf", "subroot", root.alias("root"), "proof_sha256", "folded_root", (F.col("folded_root") == root).alias("verified")
+    )
+
+
+def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Every tenth document by hash ends in repeats of a few of its own words."""
+    if doc_id is None or not words or (h := crc32(str(doc_id).encode())) % 10:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.find_runs(table(spark, sf_dir, "documents"), prepare=repeated_tail)
+    best = F.get("runs", F.col("best"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(best["length"] * 1000 / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stored(fingerprints.against_edits(table(spark, sf_dir, "documents")), "op13-rows")
+    own = F.col("fingerprint")
+    return fingerprints.with_near(rows, radius=3, blocks=5).select(
+        "doc_id", "n_chars", "edited_sha256", fingerprints.as_hex(own).alias("fingerprint"),
+        fingerprints.as_hex(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        fingerprints.likeness(own, F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprints.likeness(own, F.col("next_fingerprint")).alias("near_next"), "n_near",
+    )
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pfair_mixing": op2_pfair_mixing,
@@ -84,6 +139,9 @@ QUERIES = {
     "op8_private_data": op8_private_data,
     "op9_minimax_sharding": op9_minimax_sharding,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_document_fingerprints": op13_document_fingerprints,
 }
 
 SQL: dict[str, str] = {
