@@ -57,7 +57,8 @@ def main(argv: list[str] | None = None) -> None:
             split_buckets=args.split_buckets, stage=args.stage,
             include_dense=args.include_dense, ordered=not args.unordered, strict=args.strict, salt=args.salt,
         )
-        run.loss_report.show(truncate=False)
+        for report in (run.loss_report, run.null_audit, run.join_coverage):
+            report.show(truncate=False)
         print(run.path)
     elif args.job == "price-through-time":
         print(run_price_through_time(

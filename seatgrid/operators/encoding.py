@@ -1,7 +1,8 @@
 """One-hot encoding of categorical columns ranked by label frequency.
 
 All columns are counted in one aggregate; the labels are ranked by a distributed sort and joined back by
-equality, at every size. Spark broadcasts a column's labels when their measured size allows.
+equality, at every size. Spark broadcasts a column's labels when their measured size allows. What was fitted is a stored table, so that
+an encoder outlives its frame and gives rows that come later the same slots.
 
 The encoded vectors come in two forms, chosen by the caller: ``pyspark.ml`` vectors, whose metadata holds one number
 for their length, and slot numbers (``array<int>``), which need nothing on the driver but one count per column.
@@ -10,10 +11,11 @@ for their length, and slot numbers (``array<int>``), which need nothing on the d
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,6 +96,104 @@ def label_counts(df: DataFrame, columns: Sequence[str]) -> list[int]:
     return [df.schema[_indexed(name)].metadata["ml_attr"]["num_vals"] for name in columns]
 
 
+UNSEEN = ("skip", "keep", "error")
+
+
+@dataclass
+class FittedEncoder:
+    """The labels of ``columns`` and their indexes, with a rule for values that are none of them (null is none, too).
+
+    ``skip`` drops their rows, ``keep`` gives them one more index after the last label's, ``error`` fails on the first one.
+    ``labels`` is a stored table of ``position, label, n, label_index``; ``sizes`` counts the labels of each column.
+    """
+
+    columns: list[str]
+    labels: DataFrame
+    sizes: list[int]
+    unseen: str = "skip"
+
+    def attach(self, df: DataFrame, columns: Sequence[str] | None = None, salt: int = SALT) -> DataFrame:
+        """Adds ``<column>_indexed`` for some of the columns, null for a value without a label; keeps every row.
+
+        A column may get its index in a frame where it is constant over many later rows, and :meth:`settle` the rule at the end.
+        """
+        result = df
+        for name in self.columns if columns is None else columns:
+            lookup = self.labels.filter(F.col("position") == self.columns.index(name)).select(
+                F.col("label").alias("_label"), F.col("label_index").alias(_indexed(name))
+            )
+            valued = result.withColumn("_value", F.col(name).cast("string"))
+            result = keyed_join(valued, lookup, "_value", "_label", "left_outer", salt).drop("_value", "_label")
+        return result
+
+    def settle(self, df: DataFrame) -> DataFrame:
+        """Applies the rule to attached indexes and notes in their metadata how many there are, as ``pyspark.ml`` reads it.
+
+        That is 1 for a column without any label, which leaves no row (or only kept ones).
+        """
+        if self.unseen not in UNSEEN:
+            raise ValueError(f"unseen is one of {', '.join(UNSEEN)}, not {self.unseen!r}")
+        result = df
+        for name, size in zip(self.columns, self.sizes):
+            index = F.col(_indexed(name))
+            if self.unseen == "skip":
+                result = result.filter(index.isNotNull())
+            elif self.unseen == "keep":
+                result = result.withColumn(_indexed(name), F.coalesce(index, F.lit(float(size))))
+            else:
+                message = F.concat(F.lit(f"no label of {name}: "), F.coalesce(F.col(name).cast("string"), F.lit("null")))
+                result = result.withColumn(_indexed(name), F.coalesce(index, F.raise_error(message).cast("double")))
+            many = size + 1 if self.unseen == "keep" else max(1, size)
+            nominal = {"type": "nominal", "name": _indexed(name), "num_vals": many}
+            result = result.withMetadata(_indexed(name), {"ml_attr": nominal})
+        return result
+
+    def index(self, df: DataFrame, salt: int = SALT) -> DataFrame:
+        """Adds ``<column>_indexed`` by the rule."""
+        result = df
+        if self.unseen == "skip":
+            # One condition per column, so that each moves to the side of a join that has it.
+            for name in self.columns:
+                result = result.filter(F.col(name).isNotNull())
+        return self.settle(self.attach(result, salt=salt))
+
+    def transform(self, df: DataFrame, include_dense: bool = False, vectors: bool = True, salt: int = SALT) -> DataFrame:
+        """Indexed, one-hot encoded and assembled, as :func:`encode_categoricals` does it."""
+        return encode_indexed(self.index(df, salt), self.columns, include_dense, vectors)
+
+
+ENCODER_COLUMNS = "position int, column string, labels bigint"
+
+
+def fit_encoder(
+    df: DataFrame, columns: Sequence[str], weight: Column | None = None, path: str | None = None, unseen: str = "skip"
+) -> FittedEncoder:
+    """Fits the labels of ``columns`` and keeps them under ``path``, a shared folder, by default a scratch one.
+
+    ``weight`` is the number of rows that one row of ``df`` stands for.
+    """
+    spark = df.sparkSession
+    path = (path or scratch_path(spark, "encoder")).rstrip("/")
+    ranked = rank_labels(label_frequencies(df, columns, weight), path)
+    ranked.write.partitionBy("position").parquet(f"{path}/ranks")
+    names = spark.createDataFrame(list(enumerate(columns)), "position int, column string")
+    sizes = _ranks(spark, path).groupBy("position").agg(F.count(F.lit(1)).alias("labels"))
+    names.join(sizes, "position", "left").select("position", "column", F.coalesce("labels", F.lit(0)).alias("labels")).write.parquet(f"{path}/columns")
+    return load_encoder(spark, path, unseen)
+
+
+def _ranks(spark: SparkSession, path: str) -> DataFrame:
+    """A folder for each position, so that a column's join reads its own labels only."""
+    schema = "label string, n bigint, label_index double, position int"
+    return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/ranks").select("position", "label", "n", "label_index")
+
+
+def load_encoder(spark: SparkSession, path: str, unseen: str = "skip") -> FittedEncoder:
+    """An encoder that :func:`fit_encoder` has kept under ``path``."""
+    rows = spark.read.schema(ENCODER_COLUMNS).parquet(f"{path.rstrip('/')}/columns").orderBy("position").collect()
+    return FittedEncoder([row["column"] for row in rows], _ranks(spark, path), [row["labels"] for row in rows], unseen)
+
+
 def index_labels(
     df: DataFrame,
     columns: Sequence[str],
@@ -105,30 +205,8 @@ def index_labels(
     """Adds ``<column>_indexed``; rows with a null in any of ``columns`` are dropped.
 
     ``fit_on`` (with ``weight``) is a smaller frame with the same label frequencies, when the caller has one.
-    The metadata of an index holds the number of labels, in the form ``pyspark.ml`` reads, and 1 for a column without
-    any label, which leaves no row.
     """
-    ranked = rank_labels(label_frequencies(df if fit_on is None else fit_on, columns, weight), stage)
-    ranked = _kept(ranked, f"{stage.rstrip('/')}/ranks" if stage else scratch_path(df.sparkSession, "ranks"))
-    sizes = {row["position"]: row["count"] for row in ranked.groupBy("position").count().collect()}
-    # One condition per column, so that each moves to the side of a join that has it.
-    result = df
-    for name in columns:
-        result = result.filter(F.col(name).isNotNull())
-    for position, name in enumerate(columns):
-        lookup = ranked.filter(F.col("position") == position).select(
-            F.col("label").alias("_label"), F.col("label_index").alias(_indexed(name))
-        )
-        valued = result.withColumn("_value", F.col(name).cast("string"))
-        result = keyed_join(valued, lookup, "_value", "_label", "inner", salt).drop("_value", "_label")
-        nominal = {"type": "nominal", "name": _indexed(name), "num_vals": max(1, sizes.get(position, 0))}
-        result = result.withMetadata(_indexed(name), {"ml_attr": nominal})
-    return result.select(*df.columns, *[_indexed(name) for name in columns])
-
-
-def _kept(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return fit_encoder(df if fit_on is None else fit_on, columns, weight, stage).index(df, salt)
 
 
 def feature_slots(df: DataFrame, columns: Sequence[str], output: str = "feature_slots") -> DataFrame:
@@ -162,14 +240,23 @@ def assemble(df: DataFrame, columns: Sequence[str], output: str = "cat_features"
 
 
 def expand_vector(df: DataFrame, column: str = "cat_features", prefix: str = "cat_feature") -> DataFrame:
-    """One double column per vector slot, named ``prefix[i]``; the length is read from the metadata."""
+    """One double column per vector slot, named ``prefix[i]``.
+
+    The number of slots is in the metadata of an assembled vector; for any other vector column it is that of its longest vector, from
+    one aggregate. Shorter vectors and null ones have nulls in the slots they lack; an empty frame without metadata has no slots.
+    """
+    if not isinstance(df.schema[column].dataType, T.UserDefinedType):
+        raise ValueError(f"{column} is no vector column and has no vector length")
     attributes = df.schema[column].metadata.get("ml_attr", {})
-    if "num_attrs" not in attributes:
-        raise ValueError(f"{column} has no vector length in its metadata")
-    slots = df.withColumn("_slots", vector_to_array(F.col(column)))
+    values = F.when(F.col(column).isNotNull(), vector_to_array(F.col(column)))
+    if "num_attrs" in attributes:
+        width = attributes["num_attrs"]
+    else:
+        width = df.agg(F.max(F.array_size(values))).first()[0] or 0
+    slots = df.withColumn("_slots", values)
     return slots.select(
         *[f"`{name}`" for name in df.columns],
-        *[F.col("_slots")[i].alias(f"{prefix}[{i}]") for i in range(attributes["num_attrs"])],
+        *[F.get("_slots", F.lit(i)).alias(f"{prefix}[{i}]") for i in range(width)],
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from seatgrid.functions.teams import away_found, away_pick, home_found, home_pick, team_id, team_name
 from seatgrid.functions.times import game_time, iso_weekday
+from seatgrid.operators.quality import Watched, watched_audit
 
 TEAM_COLUMNS = ["Home_Team_Id", "Home_Team_Name", "Away_Team_Id", "Away_Team_Name"]
 
@@ -68,20 +69,32 @@ def home_away_teams(meta: DataFrame) -> DataFrame:
     )
 
 
-def consolidate_events(resolved: DataFrame, require: Sequence[str] = ()) -> DataFrame:
+def consolidate_events(resolved: DataFrame, require: Sequence[str] = (), audit: Watched | None = None) -> DataFrame:
     """One row per event: the maximum of each column by itself, team ids compared as text.
 
     The values of one row may come from different snapshots. Snapshots with a null in any of ``require`` do
     not count, as if dropped before; deciding that inside the aggregate keeps Spark from evaluating the team
-    rules once more in a filter.
+    rules once more in a filter. ``audit`` (see :func:`team_audit`) watches the nulls of the snapshots, counted in the same aggregate.
     """
     kept = ["event_date_utc", "event_date_local", "Home_Team_Id", "Home_Team_Name", "Away_Team_Id"]
     complete = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in require], F.lit(True))
     merged = resolved.groupBy("id").agg(
         *[F.max(F.when(complete, F.col(name))).alias(name) for name in kept],
         F.count_if(complete).alias("_complete"),
+        *[F.count_if(F.col(name).isNull()).alias(_nulls(name)) for name in TEAM_COLUMNS if audit is not None],
     )
-    return merged.filter(F.col("_complete") > 0).drop("_complete")
+    if audit is not None:
+        merged = audit.over(merged)
+    return merged.filter(F.col("_complete") > 0).drop("_complete", *map(_nulls, TEAM_COLUMNS))
+
+
+def _nulls(name: str) -> str:
+    return f"_{name}_nulls"
+
+
+def team_audit() -> Watched:
+    """The null audit of the team columns, to be gathered while the events are written."""
+    return watched_audit(TEAM_COLUMNS, lambda name: F.col(_nulls(name)))
 
 
 def add_calendar(events: DataFrame, strict: bool = False) -> DataFrame:
@@ -90,7 +103,7 @@ def add_calendar(events: DataFrame, strict: bool = False) -> DataFrame:
     return events.withColumns({"DayofWeek": iso_weekday(local, strict), "GameTime": game_time(local, strict)})
 
 
-def resolve_events(meta: DataFrame, strict: bool = False) -> DataFrame:
-    """Metadata snapshots to one calendar-featured row per event with both team ids."""
-    events = consolidate_events(home_away_teams(meta), require=["Away_Team_Id", "Home_Team_Id"])
+def resolve_events(meta: DataFrame, strict: bool = False, audit: Watched | None = None) -> DataFrame:
+    """Metadata snapshots to one calendar-featured row per event with both team ids; ``audit`` as in :func:`consolidate_events`."""
+    events = consolidate_events(home_away_teams(meta), ["Away_Team_Id", "Home_Team_Id"], audit)
     return add_calendar(events, strict)

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatgrid.functions.times import days_difference
-from seatgrid.operators.encoding import DEFAULT_COLUMNS, encode_indexed, index_labels
-from seatgrid.operators.events import latest_event_date, resolve_events
+from seatgrid.operators.encoding import DEFAULT_COLUMNS, FittedEncoder, encode_indexed, fit_encoder
+from seatgrid.operators.events import latest_event_date, resolve_events, team_audit
 from seatgrid.operators.joins import JOINED_KEY, SALT, add_joined_key, join_all, join_event_meta, keyed_join
 from seatgrid.operators.ordering import order_listings, order_price_curve, with_time_to_event
 from seatgrid.operators.performance import KEY as PERFORMANCE_KEY
 from seatgrid.operators.performance import prepare_performance
-from seatgrid.operators.quality import join_coverage, load_loss_report, require_all_columns
+from seatgrid.operators.quality import Watched, join_coverage, load_loss_report, require_all_columns, watched_coverage
 from seatgrid.operators.sections import SECTION_COLUMNS, flatten_sections, keep_section_fields, snapshot_rows
 from seatgrid.schemas import INVENTORY, META
 from seatgrid.session import scratch_path
@@ -98,6 +98,19 @@ def label_basis(
     return keyed_join(keyed, performance, JOINED_KEY, PERFORMANCE_KEY, "left_outer", salt)
 
 
+def fit_listing_encoder(
+    inventory: DataFrame, events: DataFrame, performance: DataFrame, columns: Sequence[str] = tuple(DEFAULT_COLUMNS),
+    strict: bool = False, salt: int = SALT, path: str | None = None, unseen: str = "skip",
+) -> FittedEncoder:
+    """An encoder of listing columns, fitted on counts per event and section where the columns allow it, kept under ``path``."""
+    basis, weight = label_basis(inventory, events, salt=salt), F.col("weight")
+    if not set(columns) <= set(basis.columns):
+        basis = label_basis(inventory, events, performance, salt)
+    if not set(columns) <= set(basis.columns):
+        basis, weight = join_listings(inventory, events, performance, strict, salt), None  # times or prices of single listings
+    return fit_encoder(basis, columns, weight, path, unseen)
+
+
 def structure_prepared(
     inventory: DataFrame,
     events: DataFrame,
@@ -109,17 +122,34 @@ def structure_prepared(
     salt: int = SALT,
     vectors: bool = True,
     stage: str | None = None,
+    encoder: FittedEncoder | None = None,
+    coverage: Watched | None = None,
 ) -> DataFrame:
-    """:func:`structure_all` from resolved events and prepared performance, best from stored ones."""
-    listings = join_listings(inventory, events, performance, strict, salt)
-    basis, weight = label_basis(inventory, events, salt=salt), F.col("weight")
-    if not set(columns) <= set(basis.columns):
-        basis = label_basis(inventory, events, performance, salt)
-    if not set(columns) <= set(basis.columns):
-        basis, weight = listings, None  # a column of single listings: their times or prices
-    indexed = index_labels(listings, columns, basis, weight, salt, stage)
+    """:func:`structure_all` from resolved events and prepared performance, best from stored ones.
+
+    An index is attached where its column is constant: to the events, to the team days, and only those of sections to the section
+    rows. ``encoder`` (its columns then count) is one fitted before, by default one is fitted here. ``coverage`` watches the
+    joined rows, those included whose labels leave them out of the table; they are dropped last, after the sort.
+    """
+    stage = stage or scratch_path(inventory.sparkSession, "structure")
+    if encoder is None:
+        encoder = fit_listing_encoder(inventory, events, performance, columns, strict, salt, f"{stage}/encoder")
+    columns = encoder.columns
+
+    def indexed(side: DataFrame, name: str) -> DataFrame:
+        own = [column for column in columns if column in side.columns]
+        return _staged(encoder.attach(side, own, salt), f"{stage}/{name}_indexed") if own else side
+
+    listings = join_listings(inventory, indexed(events, "events"), indexed(performance, "team_days"), strict, salt)
+    indexes = [f"{column}_indexed" for column in columns]
+    rest = [column for column, index in zip(columns, indexes) if index not in listings.columns]
+    plain = [name for name in listings.columns if name not in indexes]
+    rows = encoder.attach(listings, rest, salt).select(*plain, *indexes)
     # The sort comes after the last join; encoding then adds columns row by row and keeps the order.
-    return encode_indexed(order_listings(indexed) if ordered else indexed, columns, include_dense, vectors)
+    rows = order_listings(rows) if ordered else rows
+    if coverage is not None:
+        rows = coverage.over(rows)
+    return encode_indexed(encoder.settle(rows), columns, include_dense, vectors)
 
 
 def structure_all(
@@ -141,6 +171,8 @@ class StructuredRun:
     path: str
     split_path: str | None
     loss_report: DataFrame
+    null_audit: DataFrame
+    join_coverage: DataFrame
 
 
 def run_structure_all(
@@ -161,7 +193,8 @@ def run_structure_all(
     """JSON collections to a Parquet run, then to one sub-folder per event, or ``split_buckets`` folders of events.
 
     The parsed collections, the events and the performance rows are kept as Parquet under ``stage``, so the
-    JSON is parsed once, the fit and the write read columns, and the joins are planned by true file sizes.
+    JSON is parsed once, the fit and the write read columns, and the joins are planned by true file sizes. The reports are
+    gathered while these tables and the run are written: lines lost, null teams, and the share of listings with a performance row.
     """
     stage = stage or scratch_path(spark, "structure")
     sources = {
@@ -173,15 +206,17 @@ def run_structure_all(
     for name, (path, schema) in sources.items():
         loaded[name], report = clean_load(spark, path, schema, name, stage=f"{stage}/{name}")
         reports.append(report)
-    events = _staged(resolve_events(loaded["meta"], options.get("strict", False)), f"{stage}/events")
+    audit, coverage = team_audit(), watched_coverage()
+    events = _staged(resolve_events(loaded["meta"], options.get("strict", False), audit), f"{stage}/events")
     performance = _staged(prepare_performance(loaded["performance"]), f"{stage}/team_days")
 
-    structured = structure_prepared(loaded["inventory"], events, performance, stage=stage, **options)
+    structured = structure_prepared(loaded["inventory"], events, performance, stage=stage, coverage=coverage, **options)
     path = write_parquet_run(structured, base, label, ts)
     if split_path is not None:
         written = read_parquet_collection(spark, path)
         split_by_event(written, split_path, split_format, order_by=["sectionId", "Time_to_event"], buckets=split_buckets)
-    return StructuredRun(path, split_path, reduce(DataFrame.unionByName, reports))
+    loss = reduce(DataFrame.unionByName, reports)
+    return StructuredRun(path, split_path, loss, audit.report(spark), coverage.report(spark))
 
 
 def run_price_through_time(

@@ -240,6 +240,61 @@ WEEKDAY_WIDTH = "(SELECT count(*) FROM event_labels WHERE position = 1)"
 SPLIT = """SELECT ts AS "timestamp", section_id AS "sectionId", price AS "averageTicketPrice",
     event_id AS "eventId" FROM sections"""
 
+def _later_events(unseen: str) -> tuple[str, str]:
+    """Odd events with the labels of the even ones; a value without one takes the next index, or drops its row."""
+    columns = {"Away_Team_Id": "away_id", "game_day": "game_day", "GameTime": "game_time"}
+    values = list(columns.values())
+    indexes, joins, starts = [], [], ["0"]
+    for position, (name, value) in enumerate(columns.items()):
+        size = f"(SELECT count(*) FROM early_labels WHERE position = {position})"
+        index = f"k{position}.place" if unseen == "skip" else f"coalesce(k{position}.place, {size})"
+        indexes.append((name, index))
+        joins.append(f"{'' if unseen == 'skip' else 'LEFT '}JOIN early_labels AS k{position} "
+                     f"ON k{position}.position = {position} AND k{position}.label = later.{value}")
+        starts.append(f"{starts[-1]} + {size}" + ("" if unseen == "skip" else " + 1"))
+    slots = ", ".join(f"CAST({index} + {start} AS VARCHAR)" for (_, index), start in zip(indexes, starts))
+    named = ", ".join(f'later.{value} AS "{name}"' for name, value in columns.items())
+    places = ", ".join(f'CAST({index} AS DOUBLE) AS "{name}_indexed"' for name, index in indexes)
+    labels = " UNION ALL ".join(
+        f"SELECT {position} AS position, {value} AS label, count(*) AS n FROM days WHERE id % 2 = 0 AND "
+        f"{' AND '.join(f'{v} IS NOT NULL' for v in values[: position + 1])} GROUP BY 2"
+        for position, value in enumerate(values)
+    )
+    return f"""SELECT id, {named}, {places}, concat_ws(',', {slots}) AS feature_slots
+        FROM (SELECT * FROM days WHERE id % 2 <> 0) AS later {' '.join(joins)}""", f"""
+days AS (SELECT *, substr(local, 1, 10) AS game_day FROM featured),
+early_labels AS (
+  SELECT *, row_number() OVER (PARTITION BY position ORDER BY n DESC, label) - 1 AS place FROM ({labels}) AS counted
+)"""
+
+
+def _numbers(report: str, dataset: str, measures: dict[str, str], source: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{report}' AS report, '{dataset}' AS dataset, '{name}' AS measure, CAST({value} AS DOUBLE) AS value FROM {source}"
+        for name, value in measures.items()
+    )
+
+
+def _loss_numbers(dataset: str, source: str, kept: str) -> str:
+    after = f"count(*) FILTER ({kept})"
+    measures = {"rows_before": "count(*)", "rows_after": after, "pct_dropped": f"CAST(count(*) - {after} AS DOUBLE) / count(*) * 100"}
+    return _numbers("loss", dataset, measures, source)
+
+
+REPORTS = " UNION ALL ".join([
+    _loss_numbers("inventory", "inv", INVENTORY_KEPT),
+    _loss_numbers("meta", "flat", META_KEPT),
+    _loss_numbers("performance", "perf", PERFORMANCE_KEPT),
+    _numbers("nulls", "meta", {
+        name: f"count(*) - count({column})"
+        for name, column in {"Home_Team_Id": "home_id", "Home_Team_Name": "home_name", "Away_Team_Id": "away_id",
+                             "Away_Team_Name": "away_name"}.items()
+    }, "timed"),
+    _numbers("coverage", "listings", {
+        "total": "count(*)", "unmatched": "count(*) - count(team_day)", "pct_matched": "CAST(count(team_day) AS DOUBLE) / count(*) * 100",
+    }, "listings"),
+])
+
 BODIES: dict[str, str] = {
     "clean_load": f"""SELECT ts AS "timestamp", event_id AS "eventId", listings AS "totalListings",
         tickets AS "totalTickets", CASE WHEN kind = 1 THEN 0 WHEN kind > 1 THEN 2 END AS sections,
@@ -335,6 +390,10 @@ BODIES: dict[str, str] = {
     "structure_all": STRUCTURED,
     "structure_all_files": STRUCTURED,
     "structure_all_split": STRUCTURED,
+    "structure_all_fitted": STRUCTURED,
+    "structure_all_reports": REPORTS,
+    "encode_later_events": _later_events("keep")[0],
+    "encode_later_events_skip": _later_events("skip")[0],
     "structured_csv": f"""SELECT ts AS "timestamp", event_id AS "eventId", section_id AS "sectionId", home_name AS "Home_Team_Name",
         team_day AS "Concatenated_perf", days AS "Time_to_event",
         '(' || (all_labels - from_4) || ',[' || CAST(l4.label_index AS BIGINT) || '],[1.0])' AS "GameTime_indexed_encoded",
@@ -345,13 +404,15 @@ BODIES: dict[str, str] = {
 
 # Clauses that only some queries need.
 EXTRA = {
+    "encode_later_events": _later_events("keep")[1],
+    "encode_later_events_skip": _later_events("skip")[1],
     "label_index_by_join": _event_ranks("game_time", "CAST(id AS VARCHAR)", "home_id"),
     "feature_slots": _event_ranks("CAST(id AS VARCHAR)", "weekday"),
     "one_hot_slots": _event_ranks("home_id", "weekday", "game_time"),
     "dense_features": _event_ranks("weekday", "game_time"),
 }
 # The shared clauses over the lines that survive cleaning.
-FROM_FILES = {"structure_all_files", "structure_all_split", "price_through_time_files"}
+FROM_FILES = {"structure_all_files", "structure_all_split", "structure_all_reports", "price_through_time_files"}
 FILES_SHARED = (
     SHARED.replace("FROM inv WHERE kind > 1", f"FROM inv WHERE kind > 1 AND {INVENTORY_KEPT}")
     .replace("SELECT * FROM flat WHERE ts IS NOT NULL", f"SELECT * FROM flat WHERE {META_KEPT}")

@@ -14,8 +14,10 @@ from seatgrid.operators.encoding import (
     DEFAULT_COLUMNS,
     encode_categoricals,
     feature_slots,
+    fit_encoder,
     index_labels,
     label_frequencies,
+    load_encoder,
     rank_labels,
 )
 from seatgrid.operators.events import (
@@ -39,6 +41,7 @@ from seatgrid.operators.quality import (
 from seatgrid.operators.sections import explode_sections
 from seatgrid.plans.jobs import (
     StructuredRun,
+    fit_listing_encoder,
     join_listings,
     label_basis,
     listing_coverage,
@@ -48,6 +51,7 @@ from seatgrid.plans.jobs import (
     run_price_through_time,
     run_structure_all,
     structure_all,
+    structure_prepared,
 )
 from seatgrid.schemas import INVENTORY, META, performance_schema
 from seatgrid.session import ensure_scratch, scratch_path
@@ -404,6 +408,25 @@ def q_dense_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("id", "DayofWeek", "GameTime", *[f"`{name}`" for name in dense])
 
 
+def _encoded_later_events(spark: SparkSession, sf_dir: str, unseen: str) -> DataFrame:
+    """Events with an odd id, encoded by what was fitted on the even ones and kept; days and teams some of which are new."""
+    events = _featured_events(spark, sf_dir).withColumn("game_day", F.substring("event_date_local", 1, 10))
+    columns, path = ["Away_Team_Id", "game_day", "GameTime"], scratch_path(spark, "encoder")
+    fit_encoder(events.filter("id % 2 = 0"), columns, path=path)
+    encoder = load_encoder(spark, path, unseen)
+    encoded = encoder.transform(events.filter("id % 2 <> 0"), vectors=False)
+    slots = F.array_join(F.col("feature_slots").cast("array<string>"), ",").alias("feature_slots")
+    return encoded.select("id", *columns, *_indexed_names(columns), slots)
+
+
+def q_encode_later_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _encoded_later_events(spark, sf_dir, "keep")
+
+
+def q_encode_later_events_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _encoded_later_events(spark, sf_dir, "skip")
+
+
 # --- splitting -------------------------------------------------------------------------------------------
 
 
@@ -462,6 +485,14 @@ def q_structure_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_structure_all_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table through an encoder that was fitted and kept before."""
+    parts = inventory(spark, sf_dir), resolve_events(meta(spark, sf_dir)), prepare_performance(performance(spark, sf_dir))
+    path = scratch_path(spark, "encoder")
+    fit_listing_encoder(*parts, path=path)
+    return _flat(structure_prepared(*parts, encoder=load_encoder(spark, path)))
+
+
 def _structured_run(spark: SparkSession, sf_dir: str, **options) -> StructuredRun:
     return run_structure_all(
         spark, _json_inventory(spark, sf_dir), _json_meta(spark, sf_dir), _json_performance(spark, sf_dir),
@@ -474,6 +505,24 @@ def q_structure_all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(read_parquet_collection(spark, _structured_run(spark, sf_dir).path))
 
 
+def q_structure_all_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the job counted while it wrote: lines lost, null teams, listings with a performance row; one number a row."""
+    run = _structured_run(spark, sf_dir)
+    reports = [
+        ("loss", F.col("dataset"), run.loss_report, ["rows_before", "rows_after", "pct_dropped"]),
+        ("nulls", F.lit("meta"), run.null_audit, TEAM_COLUMNS),
+        ("coverage", F.lit("listings"), run.join_coverage, ["total", "unmatched", "pct_matched"]),
+    ]
+    numbers = [
+        frame.select(
+            F.lit(report).alias("report"), dataset.alias("dataset"),
+            F.explode(F.array(*[F.struct(F.lit(name).alias("measure"), F.col(name).cast("double").alias("value")) for name in names])).alias("n"),
+        ).select("report", "dataset", "n.measure", "n.value")
+        for report, dataset, frame, names in reports
+    ]
+    return reduce(DataFrame.unionByName, numbers)
+
+
 def q_structure_all_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same job on to its split by event."""
     path = scratch_path(spark, "structured-split")

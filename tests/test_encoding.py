@@ -5,14 +5,17 @@ import random
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from seatgrid.operators.encoding import (
     encode_categoricals,
     encode_indexed,
     expand_vector,
+    fit_encoder,
     index_labels,
     label_frequencies,
+    load_encoder,
     rank_labels,
 )
 from seatgrid.operators.ordering import order_listings
@@ -144,3 +147,57 @@ def test_expand_vector(spark):
         assert [row[name] for name in names] == row.cat_features.toArray().tolist()
     with pytest.raises(ValueError, match="no vector length"):
         expand_vector(df, "c")
+
+
+def test_vectors_without_metadata_are_measured(spark):
+    rows = [(1, Vectors.sparse(4, [3], [2.0])), (2, Vectors.dense([1.0, 5.0])), (3, None)]
+    df = spark.createDataFrame(rows, ["i", "v"])
+    dense = expand_vector(df, "v", "slot").drop("v")
+    assert dense.columns == ["i", "slot[0]", "slot[1]", "slot[2]", "slot[3]"]
+    assert sorted(map(tuple, dense.collect())) == [(1, 0.0, 0.0, 0.0, 2.0), (2, 1.0, 5.0, None, None), (3, None, None, None, None)]
+    assert expand_vector(df.limit(0), "v").columns == ["i", "v"]
+
+
+def test_a_kept_encoder_gives_later_rows_the_same_slots(spark, tmp_path):
+    early = spark.createDataFrame([("a", 1), ("a", 2), ("b", 2), (None, 3)], "c string, n int")
+    path = str(tmp_path / "encoder")
+    fit_encoder(early, ["c", "n"], path=path)
+    later = spark.createDataFrame([(1, "b", 2), (2, "z", 2), (3, None, 1), (4, "a", 9), (5, "b", 1)], "i int, c string, n int")
+
+    def encoded(unseen, **options):
+        return load_encoder(spark, path, unseen).transform(later, **options)
+
+    skipped = encoded("skip")
+    got = {row.i: (row.c_indexed, row.n_indexed, row.cat_features.toArray().tolist()) for row in skipped.collect()}
+    assert got == {1: (1.0, 0.0, [0, 1, 1, 0]), 5: (1.0, 1.0, [0, 1, 0, 1])}
+    kept = encoded("keep")
+    got = {row.i: row.cat_features.toArray().tolist() for row in kept.collect()}
+    assert got == {
+        1: [0, 1, 0, 1, 0, 0], 2: [0, 0, 1, 1, 0, 0], 3: [0, 0, 1, 0, 1, 0], 4: [1, 0, 0, 0, 0, 1], 5: [0, 1, 0, 0, 1, 0],
+    }
+    assert kept.schema["c_indexed"].metadata["ml_attr"]["num_vals"] == 3
+    assert encoded("keep", vectors=False).schema["feature_slots"].metadata == {"num_attrs": 6}
+    with pytest.raises(Exception, match="no label of c: z|no label of c: null"):
+        encoded("error").collect()
+    assert load_encoder(spark, path, "error").index(later.filter("i in (1, 5)")).count() == 2
+    with pytest.raises(ValueError, match="unseen is one of"):
+        encoded("drop")
+
+
+def test_an_encoder_of_nothing_keeps_its_columns(spark, tmp_path):
+    path = str(tmp_path / "encoder")
+    encoder = fit_encoder(spark.createDataFrame([], "c string, n int"), ["c", "n"], path=path, unseen="keep")
+    assert encoder.columns == ["c", "n"] and encoder.sizes == [0, 0]
+    [row] = load_encoder(spark, path, "keep").index(spark.createDataFrame([("a", 1)], "c string, n int")).collect()
+    assert (row.c_indexed, row.n_indexed) == (0.0, 0.0)
+    assert load_encoder(spark, path).index(spark.createDataFrame([("a", 1)], "c string, n int")).count() == 0
+
+
+def test_indexes_may_be_attached_before_a_join(spark):
+    df = random_frame(spark)
+    encoder = fit_encoder(df, ["a", "b", "c"])
+    sides = encoder.attach(df.select("a").distinct(), ["a"]).withColumnRenamed("a", "_a")
+    joined = df.join(sides, F.col("a").eqNullSafe(F.col("_a"))).drop("_a")
+    late = encoder.settle(encoder.attach(joined, ["b", "c"]))
+    names = ["i", "a_indexed", "b_indexed", "c_indexed"]
+    assert sorted(late.select(names).collect()) == sorted(encoder.index(df).select(names).collect())

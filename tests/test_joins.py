@@ -174,6 +174,21 @@ def test_structured_table_order_and_invariants(spark):
     assert len(got[0].cat_features) == sum(widths)
 
 
+def test_only_section_labels_are_joined_to_the_section_rows(spark, tmp_path):
+    """The four event columns have their indexes before the events meet the inventory."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = structure_all(
+            inventory(spark, SF_DIR), meta(spark, SF_DIR), performance(spark, SF_DIR), stage=str(tmp_path / "stage"), ordered=False
+        )
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Join ") == 3  # events, team days, sections
+    events = spark.read.parquet(str(tmp_path / "stage" / "events_indexed"))
+    assert {"Home_Team_Id_indexed", "Away_Team_Id_indexed", "DayofWeek_indexed", "GameTime_indexed"} <= set(events.columns)
+
+
 def test_events_and_team_days_are_counted_before_the_joins(spark):
     """Ranks of a performance column from the combined counts equal those from the listings."""
     snapshots, events = inventory(spark, SF_DIR), QUERIES["resolve_events"](spark, SF_DIR)

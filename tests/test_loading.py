@@ -9,9 +9,19 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from seatgrid.operators.encoding import encode_categoricals
-from seatgrid.operators.quality import join_coverage, load_loss_report, null_audit, require_all_columns
+from seatgrid.operators.events import TEAM_COLUMNS
+from seatgrid.operators.quality import (
+    join_coverage,
+    load_loss_report,
+    null_audit,
+    require_all_columns,
+    watched_audit,
+    watched_coverage,
+    watched_loss,
+)
 from seatgrid.operators.sections import explode_sections
 from seatgrid.plans.jobs import reexport, run_structure_all
 from seatgrid.schemas import INVENTORY, META, performance_schema
@@ -191,11 +201,27 @@ def test_full_job_from_files(spark, tmp_path):
     assert listing[now, 7, 4].Time_to_event == 23800000 / 1000 / 60 / 60 / 24
     assert all(sum(row.cat_features.toArray()) == 5 for row in rows)
     assert [row.rows_after for row in run.loss_report.collect()] == [6, 2, 2]
+    assert run.null_audit.first().asDict() == dict.fromkeys(TEAM_COLUMNS, 0)
+    # Event 99 has no metadata; of the five listings two are of a day and home team with a performance row.
+    assert run.join_coverage.first().asDict() == {"total": 5, "unmatched": 3, "pct_matched": 40.0}
     split = spark.read.parquet(run.split_path)
     assert split.count() == 5 and {row.eventId for row in split.select("eventId").distinct().collect()} == {7, 9}
     assert split.schema["cat_features"].metadata["ml_attr"]["num_attrs"] == len(rows[0].cat_features)
 
 
+def test_watched_reports_equal_separate_ones(spark, tmp_path):
+    rows = [(i, None if i % 3 else "x", None if i % 7 else 1.5) for i in range(1000)]
+    df = spark.createDataFrame(rows, "current_timestamp bigint, Concatenated_perf string, b double").repartition(7)
+    for name, frame in (("all", df), ("none", df.limit(0)), ("no partition", df.filter("current_timestamp < 0"))):
+        loss, coverage = watched_loss(frame, "d", ["Concatenated_perf", "b"]), watched_coverage()
+        audit = watched_audit(["b"], lambda column: F.when(F.col(column).isNull(), 1).otherwise(0).cast("bigint"))
+        audit.over(coverage.over(loss.over(frame))).write.parquet(str(tmp_path / name))
+        assert loss.report(spark).collect() == load_loss_report(frame, "d", ["Concatenated_perf", "b"]).collect()
+        assert coverage.report(spark).collect() == join_coverage(frame).collect()
+        assert audit.report(spark).collect() == null_audit(frame, ["b"]).collect()
+        assert spark.read.parquet(str(tmp_path / name)).count() == frame.count()
+
+
 def test_scratch_needs_a_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(f"{base}/seatgrid/x-")
