@@ -19,6 +19,7 @@ def parser() -> argparse.ArgumentParser:
     for name in ("inventory", "meta", "performance", "base", "label"):
         structure.add_argument(f"--{name}", required=True)
     structure.add_argument("--performance-columns", default="", help="pass-through columns, as DDL")
+    structure.add_argument("--discover", action="store_true", help="find the performance columns, and whether performers have roles, in the data")
     structure.add_argument("--split", help="folder for one sub-folder per event")
     structure.add_argument("--split-format", choices=["csv", "parquet"], default="csv")
     structure.add_argument("--split-buckets", type=int, help="that many folders in place of one per event")
@@ -52,7 +53,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"seatgrid {args.job}")
     if args.job == "structure":
         run = run_structure_all(
-            spark, args.inventory, args.meta, args.performance, performance_schema(args.performance_columns),
+            spark, args.inventory, args.meta, args.performance,
+            None if args.discover else performance_schema(args.performance_columns),
             args.base, args.label, split_path=args.split, split_format=args.split_format,
             split_buckets=args.split_buckets, stage=args.stage,
             include_dense=args.include_dense, ordered=not args.unordered, strict=args.strict, salt=args.salt,

@@ -22,6 +22,7 @@ from seatgrid.operators.sections import SECTION_COLUMNS, flatten_sections, keep_
 from seatgrid.schemas import INVENTORY, META
 from seatgrid.session import scratch_path
 from seatgrid.sources.collections import clean_load, read_json_collection, read_parquet_collection
+from seatgrid.sources.discovery import discover_meta, discover_performance
 from seatgrid.sources.sinks import split_by_event, write_csv, write_parquet_run
 
 
@@ -180,7 +181,7 @@ def run_structure_all(
     inventory_path: str,
     meta_path: str,
     performance_path: str,
-    performance_schema: str,
+    performance_schema: str | None,
     base: str,
     label: str,
     ts: datetime | None = None,
@@ -192,6 +193,8 @@ def run_structure_all(
 ) -> StructuredRun:
     """JSON collections to a Parquet run, then to one sub-folder per event, or ``split_buckets`` folders of events.
 
+    Without a ``performance_schema`` the collections are read once more to find it, and to see whether performers have roles.
+
     The parsed collections, the events and the performance rows are kept as Parquet under ``stage``, so the
     JSON is parsed once, the fit and the write read columns, and the joins are planned by true file sizes. The reports are
     gathered while these tables and the run are written: lines lost, null teams, and the share of listings with a performance row.
@@ -199,8 +202,8 @@ def run_structure_all(
     stage = stage or scratch_path(spark, "structure")
     sources = {
         "inventory": (inventory_path, INVENTORY),
-        "meta": (meta_path, META),
-        "performance": (performance_path, performance_schema),
+        "meta": (meta_path, META if performance_schema is not None else discover_meta(spark, meta_path)),
+        "performance": (performance_path, performance_schema or discover_performance(spark, performance_path)),
     }
     loaded, reports = {}, []
     for name, (path, schema) in sources.items():

@@ -281,6 +281,32 @@ def _loss_numbers(dataset: str, source: str, kept: str) -> str:
     return _numbers("loss", dataset, measures, source)
 
 
+# Members that are null where a whole record is written: of the record, its event, and the event's lists.
+NULL_MEMBERS = """SELECT count(*) AS lines, CAST(sum(
+    CASE WHEN ts IS NULL THEN 1 ELSE 0 END + CASE WHEN ok % 41 <> 0 AND ok % 37 = 0 THEN 1 ELSE 0 END
+    + CASE WHEN has_event THEN
+        CASE WHEN utc IS NULL THEN 2 ELSE 0 END + CASE WHEN ok % 13 = 0 THEN 1 ELSE 0 END
+        + CASE WHEN ok % 31 <> 0 AND ok % 29 = 0 THEN 1 ELSE 0 END
+        + CASE WHEN has_roles AND ok % 5 = 0 THEN 2 ELSE 0 END
+      ELSE 0 END) AS BIGINT) AS null_members FROM flat"""
+
+# Without roles: the first of a list is at home (the list starts with the away team in every third event); the second one's id,
+# and the head of the title, are the visitor's. An empty list leaves the fallbacks; no list, nothing.
+HOME_FIRST = """SELECT ts AS "timestamp", snapshot_date, id, utc AS event_date_utc, local AS event_date_local,
+    CASE WHEN has_roles THEN CAST(CASE WHEN ok % 3 = 0 THEN a ELSE h END AS VARCHAR)
+         WHEN has_event AND ok % 31 = 0 AND ok % 10 = 0 THEN CAST(h AS VARCHAR) END AS "Home_Team_Id",
+    CASE WHEN has_roles THEN replace(CASE WHEN ok % 3 = 0 THEN a_name ELSE h_name END, ' ', '-')
+         WHEN has_event AND ok % 31 = 0 AND ok % 10 = 0 THEN replace(h_name, ' ', '-') END AS "Home_Team_Name",
+    CASE WHEN has_roles THEN CAST(CASE WHEN ok % 3 = 0 THEN h ELSE a END AS VARCHAR) END AS "Away_Team_Id",
+    CASE WHEN has_roles OR (has_event AND ok % 31 = 0) THEN replace(a_name, ' ', '-') || '-Utd' END AS "Away_Team_Name"
+    FROM timed"""
+
+WRITTEN_DATES = """SELECT o_orderkey, strftime(wall, '%Y-%m-%d %H:%M:%S') AS wall_clock, CAST(isodow(wall) AS VARCHAR) AS weekday,
+    CASE WHEN hour(wall) < 14 THEN 'd' WHEN hour(wall) < 18 THEN 'a' WHEN wall IS NOT NULL THEN 'n' END AS game_time,
+    CAST(epoch_ms(wall) AS DOUBLE) / 1000 / 60 / 60 / 24 AS days
+    FROM (SELECT o_orderkey, CASE o_orderkey % 8 WHEN 7 THEN NULL WHEN 1 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)
+        ELSE o_orderdate + to_hours(o_orderkey % 24) + to_minutes(o_orderkey % 60) END AS wall FROM orders) AS read"""
+
 REPORTS = " UNION ALL ".join([
     _loss_numbers("inventory", "inv", INVENTORY_KEPT),
     _loss_numbers("meta", "flat", META_KEPT),
@@ -391,6 +417,18 @@ BODIES: dict[str, str] = {
     "structure_all_files": STRUCTURED,
     "structure_all_split": STRUCTURED,
     "structure_all_fitted": STRUCTURED,
+    "discovered_performance": f'SELECT team, ts AS "timestamp", wins, score FROM perf WHERE {PERFORMANCE_KEPT}',
+    "discovered_fields": """SELECT field, CASE WHEN field LIKE '%id' THEN 'bigint' ELSE 'string' END AS type
+        FROM (SELECT unnest(['current_date', 'current_timestamp', 'events.eventDateLocal', 'events.eventDateUTC',
+            'events.groupingsCollection.id', 'events.id', 'events.originalName', 'events.performers.id', 'events.performers.name',
+            'events.performersCollection.id', 'events.performersCollection.name', 'events.performersCollection.role']) AS field)
+        WHERE EXISTS (SELECT 1 FROM flat WHERE has_roles)""",
+    "home_first_teams": HOME_FIRST,
+    "json_null_members": f"""SELECT 'source' AS file, lines, null_members FROM ({NULL_MEMBERS})
+        UNION ALL SELECT 'copy', lines, CAST(0 AS BIGINT) FROM ({NULL_MEMBERS})""",
+    "written_dates": WRITTEN_DATES,
+    "unread_dates": """SELECT local AS text, count(*) AS n FROM timed
+        WHERE local IS NOT NULL AND try_cast(substr(local, 1, 19) AS TIMESTAMP) IS NULL GROUP BY local""",
     "structure_all_reports": REPORTS,
     "encode_later_events": _later_events("keep")[0],
     "encode_later_events_skip": _later_events("skip")[0],

@@ -8,8 +8,9 @@ from functools import reduce, wraps
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from seatgrid.functions.times import days_difference, game_time, iso_weekday, time_to_event
+from seatgrid.functions.times import days_difference, game_time, iso_weekday, parse_date, time_to_event, unread_dates
 from seatgrid.operators.encoding import (
     DEFAULT_COLUMNS,
     encode_categoricals,
@@ -56,8 +57,9 @@ from seatgrid.plans.jobs import (
 from seatgrid.schemas import INVENTORY, META, performance_schema
 from seatgrid.session import ensure_scratch, scratch_path
 from seatgrid.sources.collections import clean_load, copy_json, read_json_collection, read_parquet_collection
+from seatgrid.sources.discovery import discover_meta, discover_performance, discover_schema
 from seatgrid.sources.sinks import BUCKET, event_slice, read_split, split_by_event, write_csv, write_parquet_run
-from seatgrid.sources.tables import inventory_rows, meta_rows, performance_rows, write_json_lines
+from seatgrid.sources.tables import inventory_rows, meta_rows, performance_rows, table, write_json_lines
 
 PERFORMANCE_EXTRA = "wins bigint, score double"
 CURVE_SCHEMA = "days_difference float, sectionId int, averageTicketPrice float, eventId int"
@@ -130,6 +132,54 @@ def q_clean_load_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_load(spark, path, INVENTORY, "inventory")[0].select("eventId")
 
 
+def q_discovered_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows under a schema found in the lines, one field of which has two types and some of which are cut short."""
+    path = _json_performance(spark, sf_dir)
+    rows, _ = clean_load(spark, path, discover_performance(spark, path), "performance")
+    return rows.select("team", F.col("current_timestamp").alias("timestamp"), "wins", "score")
+
+
+def q_discovered_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every field at any depth of the metadata lines and its type, and how many fields and lines there are."""
+    found = discover_schema(spark, _json_meta(spark, sf_dir))
+
+    def fields(kind, path: str = ""):
+        if isinstance(kind, T.ArrayType):
+            yield from fields(kind.elementType, path)
+        elif isinstance(kind, T.StructType):
+            for field in kind:
+                yield from fields(field.dataType, f"{path}.{field.name}" if path else field.name)
+        else:
+            yield path, kind.simpleString()
+
+    rows = list(fields(found))
+    return spark.createDataFrame(rows, "field string, type string")
+
+
+def q_home_first_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Teams out of JSON lines in which no performer has a role: the first one is at home."""
+    path = scratch_path(spark, "meta-json")
+    events = F.transform("events", lambda e: e.withField("performersCollection", F.transform(e["performersCollection"], lambda p: p.dropFields("role"))))
+    meta_rows(spark, sf_dir).withColumn("events", events).write.json(path)
+    cleaned, _ = clean_load(spark, path, discover_meta(spark, path), "meta")
+    return home_away_teams(cleaned).withColumnRenamed("current_date", "snapshot_date")
+
+
+def q_json_null_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many null members the lines of a collection hold, before and after a copy that leaves them out at every depth."""
+    source, target = scratch_path(spark, "meta-json"), scratch_path(spark, "meta-copy")
+    meta_rows(spark, sf_dir).write.option("ignoreNullFields", "false").json(source)
+    copy_json(spark, source, target)
+
+    def nulls(path: str, name: str) -> DataFrame:
+        members = F.size(F.regexp_extract_all("value", F.lit(r'":null[,}]'), F.lit(0)))
+        return spark.read.text(path).agg(
+            F.lit(name).alias("file"), F.count(F.lit(1)).alias("lines"), F.sum(members).cast("bigint").alias("null_members")
+        )
+
+    return nulls(source, "source").union(nulls(target, "copy"))
+
+
 def q_load_loss_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     loads = [
         ("inventory", _json_inventory(spark, sf_dir), INVENTORY),
@@ -344,6 +394,28 @@ def q_top_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_listings(timed.select("eventId", "sectionId", "Time_to_event", "averageTicketPrice"), 20)
 
 
+def q_written_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order's date and an hour of it, written in eight ways and some not at all, and read back."""
+    orders = table(spark, sf_dir, "orders").withColumn("at", F.expr("o_orderdate + make_dt_interval(0, CAST(o_orderkey % 24 AS INT), CAST(o_orderkey % 60 AS INT))"))
+    forms = [
+        F.date_format("at", "MMMM d, yyyy h:mm a"), F.date_format("at", "MM/dd/yyyy"),
+        F.concat(F.date_format("at", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" -0700 (PDT)")), F.date_format("at", "d MMM yyyy 'at' H:mm"),
+        F.date_format("at", "EEE MMM d HH:mm:ss 'UTC' yyyy"), F.date_format("at", "yyyy/M/d h:mm:ssa"), F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        F.lit("to be announced for 2017"),
+    ]
+    written = F.element_at(F.array(*forms), (F.col("o_orderkey") % len(forms) + 1).cast("int"))
+    read = orders.select("o_orderkey", written.alias("written"))
+    wall = parse_date("written")
+    return read.select(
+        "o_orderkey", F.date_format(wall, "yyyy-MM-dd HH:mm:ss").alias("wall_clock"), iso_weekday("written").alias("weekday"),
+        game_time("written").alias("game_time"), time_to_event(F.lit(0), "written").alias("days"),
+    )
+
+
+def q_unread_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unread_dates(home_away_teams(meta(spark, sf_dir)), "event_date_local")
+
+
 # --- encoding --------------------------------------------------------------------------------------------
 
 

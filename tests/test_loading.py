@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 from datetime import datetime, timezone
 from pathlib import Path
 from types import SimpleNamespace
@@ -27,6 +28,7 @@ from seatgrid.plans.jobs import reexport, run_structure_all
 from seatgrid.schemas import INVENTORY, META, performance_schema
 from seatgrid.session import ensure_scratch, scratch_path
 from seatgrid.sources.collections import clean_load, copy_json, read_json_collection
+from seatgrid.sources.discovery import discover_meta, discover_schema
 from seatgrid.sources.sinks import event_slice, read_split, run_path, split_by_event, write_csv, write_parquet_run
 
 
@@ -110,6 +112,78 @@ def test_copy_json_keeps_every_field_and_bad_lines(spark, tmp_path):
     assert bad == lines[1:4] and json.loads(last) == lines[4]
 
 
+def pruned(value):
+    if isinstance(value, dict):
+        return {k: pruned(v) for k, v in value.items() if v is not None}
+    return [pruned(v) for v in value] if isinstance(value, list) else value
+
+
+def test_copy_json_drops_nulls_at_every_depth(spark, tmp_path):
+    rng = random.Random(3)
+    names = ["a", "null", 'quo"te', "back\\slash", ":null", '":null,"', "{,", "é 😀", "", 'x\\":null']
+
+    def value(depth):
+        kind = rng.randrange(8 if depth else 5)
+        if kind < 2:
+            return None
+        if kind < 5:
+            return rng.choice([1, 0.5, True, "null", '{"a":null}', ',"b":null}', "\\", "a\nb", ""])
+        if kind < 7:
+            return {name: value(depth - 1) for name in rng.sample(names, rng.randrange(5))}
+        return [value(depth - 1) for _ in range(rng.randrange(4))]
+
+    lines = [{name: value(4) for name in rng.sample(names, rng.randrange(1, 7))} for _ in range(400)]
+    lines += [{"a": {"b": None, "c": 1}, "e": [{"f": None}, None]}, {"deep": {"text": "\\\"" * 50_000, "gone": None}}]
+    copy_json(spark, write_lines(tmp_path / "source", lines), str(tmp_path / "copy"))
+    got = [json.loads(row.value) for row in spark.read.text(str(tmp_path / "copy")).collect()]
+    assert sorted(map(repr, map(ordered, got))) == sorted(map(repr, map(ordered, map(pruned, lines))))
+
+
+def ordered(value):
+    """Members by name, numbers by value, for a comparison."""
+    if isinstance(value, dict):
+        return sorted((k, ordered(v)) for k, v in value.items())
+    return [ordered(v) for v in value] if isinstance(value, list) else value
+
+
+def test_schemas_are_found_in_the_data(spark, tmp_path):
+    lines = [
+        {"a": 1, "b": None, "w x": {"c": 1.5, "VOID": True}, "l": [1, "x", None], "m": [{"z": 1}, {"y": "s"}], "OBJECT": 1},
+        "{cut", "[1, 2]", "5", {"a": 2.5, "b": "t", "e": {}, "n": None, "l": []}, ' \t{"rare`one": [[1], [2.5]], "a": 3}',
+    ]
+    path = write_lines(tmp_path / "some", lines)
+    found = discover_schema(spark, path)
+    assert {field.name: field.dataType.simpleString() for field in found} == {
+        "a": "double", "b": "string", "w x": "struct<VOID:boolean,c:double>", "l": "array<string>", "m": "array<struct<y:string,z:bigint>>",
+        "OBJECT": "bigint", "e": "string", "n": "string", "rare`one": "array<array<double>>",
+    }
+    rows = spark.read.schema(found).json(path)
+    assert sorted(row.a for row in rows.collect() if row.a is not None) == [1.0, 2.5, 3.0]
+    assert discover_schema(spark, write_lines(tmp_path / "none", ["[1]", "x"])).fields == []
+    with pytest.raises(ValueError, match="differ in case only: A, a"):
+        discover_schema(spark, write_lines(tmp_path / "cases", [{"a": 1, "A": 2}]))
+
+
+def test_full_job_with_found_schemas(spark, tmp_path):
+    """Performance columns and missing roles are found; the first performer is then at home."""
+    event = {"id": 7, "eventDateUTC": "May 4, 2017 12:30 AM", "eventDateLocal": "Wed, 03 May 2017 19:30:00 -0500", "originalName": "Boston at New York",
+             "performersCollection": [{"id": 1, "name": "New York"}, {"id": 2, "name": "Boston"}]}
+    now = 1493840000000  # 2017-05-03 19:33:20 UTC
+    inventory = write_lines(tmp_path / "inventory", [snapshot(now, 7, [section(4)])])
+    meta = write_lines(tmp_path / "meta", [{"current_timestamp": now, "events": [event]}, {"current_timestamp": now, "events": []}])
+    performance = write_lines(tmp_path / "performance", [
+        {"team": "New-York", "current_timestamp": now, "wins": 3, "notes": {"streak": 2}}, {"team": "Boston", "current_timestamp": now, "share": 0.5},
+    ])
+    run = run_structure_all(spark, inventory, meta, performance, None, str(tmp_path / "runs"), "found")
+    [row] = spark.read.parquet(run.path).collect()
+    assert (row.Home_Team_Name, row.Home_Team_Id, row.Away_Team_Id) == ("New-York", "1", "2")
+    assert (row.wins, row.notes.streak, row.share, row.DayofWeek, row.GameTime) == (3, 2, None, "3", "n")
+    assert row.Time_to_event == pytest.approx(17800 / 86400)
+    with_roles = dict(event, performersCollection=[{"id": 1, "name": "New York"}, {"id": 2, "name": "Boston", "role": "HOME_TEAM"}])
+    assert discover_meta(spark, meta) == META.replace(",role:string", "")
+    assert discover_meta(spark, write_lines(tmp_path / "roles", [{"events": [event]}] * 50 + [{"events": [with_roles]}])) == META
+
+
 def test_run_path_uses_utc():
     at = datetime(2017, 11, 9, 18, 36, 5, tzinfo=timezone.utc)
     assert run_path("/base/", "sample", at) == "/base/sample_2017_11_09_18_36_05.parquet"
