@@ -6,11 +6,15 @@ a hot key is cut up front, and, because the join key then differs from the key t
 adaptive execution can cut it further. (With ``salt=1`` it cannot, where the right side is a live aggregate or
 window on the join key: that side then has no shuffle of its own.) A right side that is small by its measured
 size is broadcast all the same.
+
+Where the hot keys are known (:func:`hot_keys` counts them), only their rows are spread, and the right side goes out once but
+for the few rows of these keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +25,7 @@ from seatgrid.operators.performance import KEY as PERFORMANCE_KEY
 
 JOINED_KEY = "Concatenated_joined"
 SALT = 4
+HOT_SHARE = 0.01
 
 
 def _content_hash(df: DataFrame) -> Column:
@@ -34,24 +39,50 @@ def _content_hash(df: DataFrame) -> Column:
     return F.xxhash64(*(telling or [field.name for field in df.schema if not isinstance(field.dataType, nested)]))
 
 
-def keyed_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str, salt: int = SALT) -> DataFrame:
-    """Equi-join of ``left`` with one-row-per-key ``right``; ``how`` is ``inner`` or ``left_outer``."""
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, weight: Column | None = None) -> list:
+    """The values of ``key`` that hold more than ``share`` of all rows: fewer than 1 / ``share``, and no null, which joins nothing.
+
+    Rows are counted by key before they are shuffled; a row may stand for ``weight`` rows. Best over a stored frame, of which only
+    the key is read.
+    """
+    if not 0 < share < 1:
+        raise ValueError("the share of a hot key is between 0 and 1")
+    rows = (F.lit(1) if weight is None else weight).cast("bigint")
+    total = df.agg(F.sum(rows)).first()[0] or 0
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum(rows).alias("_rows"))
+    return sorted(row[0] for row in counts.filter(F.col("_rows") > share * total).collect())
+
+
+def keyed_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str, salt: int = SALT, hot: Sequence | None = None
+) -> DataFrame:
+    """Equi-join of ``left`` with one-row-per-key ``right``; ``how`` is ``inner`` or ``left_outer``.
+
+    Rows of the keys ``hot`` are spread over ``salt`` sub-keys; without a list, those of every key.
+    """
     if how not in ("inner", "left_outer"):
         raise ValueError(f"unsupported join type {how!r}")
     shared = sorted(set(left.columns) & set(right.columns))
     if shared:
         raise ValueError(f"columns on both sides of the join: {', '.join(shared)}")
-    if salt <= 1:
+    if salt <= 1 or (hot is not None and not hot):
         return left.join(right, F.col(left_key) == F.col(right_key), how)
-    spread = left.withColumn("_left_salt", F.pmod(_content_hash(left), F.lit(salt)).cast("int"))
-    copies = right.withColumn("_right_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    sub_key = F.pmod(_content_hash(left), F.lit(salt)).cast("int")
+    sub_keys = F.sequence(F.lit(0), F.lit(salt - 1))
+    if hot is not None:
+        sub_key = F.when(F.col(left_key).isin(*hot), sub_key).otherwise(0)
+        sub_keys = F.when(F.col(right_key).isin(*hot), sub_keys).otherwise(F.array(F.lit(0)))
+    spread = left.withColumn("_left_salt", sub_key)
+    copies = right.withColumn("_right_salt", F.explode(sub_keys))
     same = (F.col(left_key) == F.col(right_key)) & (F.col("_left_salt") == F.col("_right_salt"))
     return spread.join(copies, same, how).drop("_left_salt", "_right_salt")
 
 
-def join_event_meta(inventory: DataFrame, events: DataFrame, how: str = "inner", salt: int = SALT) -> DataFrame:
+def join_event_meta(
+    inventory: DataFrame, events: DataFrame, how: str = "inner", salt: int = SALT, hot: Sequence | None = None
+) -> DataFrame:
     """Snapshots or section rows with their event's columns; ``left_outer`` keeps those without an event."""
-    return keyed_join(inventory, events, "eventId", "id", how, salt).drop("id")
+    return keyed_join(inventory, events, "eventId", "id", how, salt, hot).drop("id")
 
 
 def add_joined_key(joined: DataFrame) -> DataFrame:
@@ -66,11 +97,22 @@ def prefixed(performance: DataFrame, prefix: str, keep: Sequence[str] = (PERFORM
     )
 
 
-def join_team_day(keyed: DataFrame, performance: DataFrame, salt: int = SALT) -> DataFrame:
+def join_team_day(keyed: DataFrame, performance: DataFrame, salt: int = SALT, hot: Sequence | None = None) -> DataFrame:
     """Left join with the performance of the home team that day; a null key has no partner."""
-    return keyed_join(keyed, performance, JOINED_KEY, PERFORMANCE_KEY, "left_outer", salt)
+    return keyed_join(keyed, performance, JOINED_KEY, PERFORMANCE_KEY, "left_outer", salt, hot)
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Hot events and hot team days of an inventory; None where they are not known and every key is spread."""
+
+    events: Sequence | None = None
+    team_days: Sequence | None = None
 
 
-def join_all(inventory: DataFrame, events: DataFrame, performance: DataFrame, salt: int = SALT) -> DataFrame:
+def join_all(
+    inventory: DataFrame, events: DataFrame, performance: DataFrame, salt: int = SALT, hot: HotKeys = HotKeys()
+) -> DataFrame:
     """Event join, team-day key, performance join."""
-    return join_team_day(add_joined_key(join_event_meta(inventory, events, salt=salt)), performance, salt)
+    keyed = add_joined_key(join_event_meta(inventory, events, salt=salt, hot=hot.events))
+    return join_team_day(keyed, performance, salt, hot.team_days)

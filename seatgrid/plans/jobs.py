@@ -13,7 +13,17 @@ from pyspark.sql import functions as F
 from seatgrid.functions.times import days_difference
 from seatgrid.operators.encoding import DEFAULT_COLUMNS, FittedEncoder, encode_indexed, fit_encoder
 from seatgrid.operators.events import latest_event_date, resolve_events, team_audit
-from seatgrid.operators.joins import JOINED_KEY, SALT, add_joined_key, join_all, join_event_meta, keyed_join
+from seatgrid.operators.joins import (
+    HOT_SHARE,
+    JOINED_KEY,
+    SALT,
+    HotKeys,
+    add_joined_key,
+    hot_keys,
+    join_all,
+    join_event_meta,
+    keyed_join,
+)
 from seatgrid.operators.ordering import order_listings, order_price_curve, with_time_to_event
 from seatgrid.operators.performance import KEY as PERFORMANCE_KEY
 from seatgrid.operators.performance import prepare_performance
@@ -57,14 +67,36 @@ def _price_curve(joined: DataFrame) -> DataFrame:
     )
 
 
+def _by_event_and_day(snapshots: DataFrame, *keys: str) -> DataFrame:
+    """Rows counted by event, UTC day and ``keys``, with their ``weight`` and one ``timestamp`` of the day."""
+    # Any instant of a day gives the same team-day key, so the first stands for all.
+    day = F.floor(F.substring(F.col("timestamp").cast("string"), 1, 10).cast("bigint") / 86400)
+    counts = snapshots.groupBy("eventId", *keys, day.alias("_day")).agg(
+        F.count(F.lit(1)).alias("weight"), F.min("timestamp").alias("timestamp")
+    )
+    return counts.drop("_day")
+
+
+def hot_listing_keys(inventory: DataFrame, events: DataFrame, share: float = HOT_SHARE, stage: str | None = None) -> HotKeys:
+    """The events and the team days that hold more than ``share`` of the snapshots, from counts per event and day.
+
+    ``inventory`` is best a stored frame; the counts are kept under ``stage``.
+    """
+    stage = stage or scratch_path(inventory.sparkSession, "structure")
+    counts = _staged(_by_event_and_day(snapshot_rows(inventory)), f"{stage}/event_days")
+    keyed = add_joined_key(join_event_meta(counts, events.select("id", "Home_Team_Name")))
+    weight = F.col("weight")
+    return HotKeys(hot_keys(counts, "eventId", share, weight), hot_keys(keyed, JOINED_KEY, share, weight))
+
+
 def join_listings(inventory: DataFrame, events: DataFrame, performance: DataFrame, strict: bool = False,
-                  salt: int = SALT) -> DataFrame:
+                  salt: int = SALT, hot: HotKeys = HotKeys()) -> DataFrame:
     """Section rows with event, performance and time features, from one-row-per-key events and performance.
 
     Both joins and all features work on snapshots; the sections are flattened out at the end.
     """
     snapshots = snapshot_rows(inventory)
-    joined = with_time_to_event(join_all(snapshots, events, performance, salt), strict)
+    joined = with_time_to_event(join_all(snapshots, events, performance, salt, hot), strict)
     reserved = set(SECTION_COLUMNS.values()) & set(joined.columns)
     if reserved:
         raise ValueError(f"columns named like section columns: {', '.join(sorted(reserved))}")
@@ -90,12 +122,9 @@ def label_basis(
             F.count(F.lit(1)).alias("weight")
         )
         return join_event_meta(counts, events, salt=salt)
-    # The team-day key needs the home team; any instant of a day gives the same key, so the first stands for all.
-    day = F.floor(F.substring(F.col("timestamp").cast("string"), 1, 10).cast("bigint") / 86400)
-    counts = flatten_sections(snapshot_rows(inventory)).groupBy("eventId", "sectionId", day.alias("_day")).agg(
-        F.count(F.lit(1)).alias("weight"), F.min("timestamp").alias("timestamp")
-    )
-    keyed = add_joined_key(join_event_meta(counts.drop("_day"), events, salt=salt))
+    # The team-day key needs the home team, so events come first.
+    counts = _by_event_and_day(flatten_sections(snapshot_rows(inventory)), "sectionId")
+    keyed = add_joined_key(join_event_meta(counts, events, salt=salt))
     return keyed_join(keyed, performance, JOINED_KEY, PERFORMANCE_KEY, "left_outer", salt)
 
 
@@ -125,12 +154,14 @@ def structure_prepared(
     stage: str | None = None,
     encoder: FittedEncoder | None = None,
     coverage: Watched | None = None,
+    hot: HotKeys = HotKeys(),
 ) -> DataFrame:
     """:func:`structure_all` from resolved events and prepared performance, best from stored ones.
 
     An index is attached where its column is constant: to the events, to the team days, and only those of sections to the section
     rows. ``encoder`` (its columns then count) is one fitted before, by default one is fitted here. ``coverage`` watches the
-    joined rows, those included whose labels leave them out of the table; they are dropped last, after the sort.
+    joined rows, those included whose labels leave them out of the table; they are dropped last, after the sort. ``hot`` names the
+    keys whose rows the joins spread, by default all.
     """
     stage = stage or scratch_path(inventory.sparkSession, "structure")
     if encoder is None:
@@ -141,7 +172,7 @@ def structure_prepared(
         own = [column for column in columns if column in side.columns]
         return _staged(encoder.attach(side, own, salt), f"{stage}/{name}_indexed") if own else side
 
-    listings = join_listings(inventory, indexed(events, "events"), indexed(performance, "team_days"), strict, salt)
+    listings = join_listings(inventory, indexed(events, "events"), indexed(performance, "team_days"), strict, salt, hot)
     indexes = [f"{column}_indexed" for column in columns]
     rest = [column for column, index in zip(columns, indexes) if index not in listings.columns]
     plain = [name for name in listings.columns if name not in indexes]
@@ -189,6 +220,7 @@ def run_structure_all(
     split_format: str = "csv",
     split_buckets: int | None = None,
     stage: str | None = None,
+    hot_share: float | None = HOT_SHARE,
     **options,
 ) -> StructuredRun:
     """JSON collections to a Parquet run, then to one sub-folder per event, or ``split_buckets`` folders of events.
@@ -198,6 +230,7 @@ def run_structure_all(
     The parsed collections, the events and the performance rows are kept as Parquet under ``stage``, so the
     JSON is parsed once, the fit and the write read columns, and the joins are planned by true file sizes. The reports are
     gathered while these tables and the run are written: lines lost, null teams, and the share of listings with a performance row.
+    Events and team days with more than ``hot_share`` of the snapshots are spread over tasks in the joins; None spreads all.
     """
     stage = stage or scratch_path(spark, "structure")
     sources = {
@@ -213,7 +246,9 @@ def run_structure_all(
     events = _staged(resolve_events(loaded["meta"], options.get("strict", False), audit), f"{stage}/events")
     performance = _staged(prepare_performance(loaded["performance"]), f"{stage}/team_days")
 
-    structured = structure_prepared(loaded["inventory"], events, performance, stage=stage, coverage=coverage, **options)
+    hot = HotKeys() if hot_share is None else hot_listing_keys(loaded["inventory"], events, hot_share, stage)
+
+    structured = structure_prepared(loaded["inventory"], events, performance, stage=stage, coverage=coverage, hot=hot, **options)
     path = write_parquet_run(structured, base, label, ts)
     if split_path is not None:
         written = read_parquet_collection(spark, path)

@@ -417,6 +417,11 @@ BODIES: dict[str, str] = {
     "structure_all_files": STRUCTURED,
     "structure_all_split": STRUCTURED,
     "structure_all_fitted": STRUCTURED,
+    "hot_keys": """SELECT 'event' AS kind, CAST(event_id AS VARCHAR) AS key FROM snapshots GROUP BY event_id
+        HAVING count(*) > (SELECT share * count(*) FROM snapshots, hot_share GROUP BY share)
+        UNION ALL SELECT 'team day', day FROM event_days GROUP BY day
+        HAVING count(*) > (SELECT share * count(*) FROM event_days, hot_share GROUP BY share)""",
+    "join_all_hot": f"SELECT {LISTING_COLUMNS} FROM listings",
     "discovered_performance": f'SELECT team, ts AS "timestamp", wins, score FROM perf WHERE {PERFORMANCE_KEPT}',
     "discovered_fields": """SELECT field, CASE WHEN field LIKE '%id' THEN 'bigint' ELSE 'string' END AS type
         FROM (SELECT unnest(['current_date', 'current_timestamp', 'events.eventDateLocal', 'events.eventDateUTC',
@@ -442,6 +447,11 @@ BODIES: dict[str, str] = {
 
 # Clauses that only some queries need.
 EXTRA = {
+    "hot_keys": f"""snapshots AS (SELECT ts, event_id FROM inv WHERE ts IS NOT NULL),
+event_days AS (
+  SELECT coalesce(home_name, 'None') || '#' || {_utc_day("snapshots.ts")} AS day FROM snapshots JOIN featured ON event_id = id
+),
+hot_share AS (SELECT 5.5 / count(*) AS share FROM snapshots)""",
     "encode_later_events": _later_events("keep")[1],
     "encode_later_events_skip": _later_events("skip")[1],
     "label_index_by_join": _event_ranks("game_time", "CAST(id AS VARCHAR)", "home_id"),

@@ -30,7 +30,7 @@ from seatgrid.operators.events import (
     latest_event_date,
     resolve_events,
 )
-from seatgrid.operators.joins import add_joined_key, join_event_meta, join_team_day
+from seatgrid.operators.joins import HotKeys, add_joined_key, join_event_meta, join_team_day
 from seatgrid.operators.ordering import add_time_to_event, distinct_events, order_price_curve, top_listings
 from seatgrid.operators.performance import add_team_day, dedup_team_day, prepare_performance
 from seatgrid.operators.quality import (
@@ -43,6 +43,7 @@ from seatgrid.operators.sections import explode_sections
 from seatgrid.plans.jobs import (
     StructuredRun,
     fit_listing_encoder,
+    hot_listing_keys,
     join_listings,
     label_basis,
     listing_coverage,
@@ -347,6 +348,25 @@ def q_join_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _listings(spark, sf_dir)
 
 
+def _hot(spark: SparkSession, sf_dir: str) -> HotKeys:
+    """Those with more snapshots than most events have; orders have seven at most."""
+    snapshots = inventory(spark, sf_dir)
+    return hot_listing_keys(snapshots, resolve_events(meta(spark, sf_dir)), 5.5 / snapshots.count())
+
+
+def q_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and team days that hold more than a share of the snapshots."""
+    found = _hot(spark, sf_dir)
+    rows = [("event", str(key)) for key in found.events] + [("team day", key) for key in found.team_days]
+    return spark.createDataFrame(rows, "kind string, key string")
+
+
+def q_join_all_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined listings with only the hot keys spread."""
+    parts = inventory(spark, sf_dir), resolve_events(meta(spark, sf_dir)), prepare_performance(performance(spark, sf_dir))
+    return join_listings(*parts, hot=_hot(spark, sf_dir)).withColumnRenamed("current_timestamp", "perf_timestamp")
+
+
 def q_join_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing_coverage(
         inventory(spark, sf_dir), resolve_events(meta(spark, sf_dir)), prepare_performance(performance(spark, sf_dir))

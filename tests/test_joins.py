@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seatgrid.operators.events import latest_event_date
-from seatgrid.operators.joins import add_joined_key, join_all, join_event_meta, join_team_day, prefixed
+from seatgrid.operators.joins import add_joined_key, hot_keys, join_all, join_event_meta, join_team_day, prefixed
 from seatgrid.operators.ordering import order_listings, top_listings
 from seatgrid.operators.performance import dedup_team_day, prepare_performance
 from seatgrid.operators.sections import explode_sections
@@ -42,6 +42,46 @@ def test_salted_joins_equal_plain_ones(spark):
     assert join_event_meta(left, right, "left_outer").count() == 6000
 
 
+def test_hot_keys_are_counted(spark):
+    left = hot_inventory(spark)
+    assert hot_keys(left, "eventId") == [1]
+    assert hot_keys(left, "eventId", 0.4) == []
+    pairs = left.groupBy("eventId").agg(F.count(F.lit(1)).alias("w"))
+    assert hot_keys(pairs, "eventId", weight=F.col("w")) == [1]
+    assert hot_keys(left.limit(0), "eventId") == []
+    nulls = left.withColumn("eventId", F.when(F.col("eventId") > 1, F.col("eventId")))
+    assert hot_keys(nulls, "eventId") == []
+    with pytest.raises(ValueError):
+        hot_keys(left, "eventId", 0)
+
+
+@pytest.mark.parametrize("hot", [[], [1], [1, 2, 5000]])
+def test_only_hot_keys_are_copied(spark, hot):
+    left = hot_inventory(spark)
+    right = spark.range(3000).selectExpr("id", "concat('d', id) AS event_date")
+    for how in ("inner", "left_outer"):
+        joined = join_event_meta(left, right, how, salt=7, hot=hot)
+        assert rows(joined) == rows(join_event_meta(left, right, how, salt=1))
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert ("explode" in plan) == bool(hot)
+    copies = right.withColumn("n", F.explode(F.when(F.col("id").isin(*hot), F.sequence(F.lit(0), F.lit(6))).otherwise(F.array(F.lit(0))))) if hot else right
+    assert copies.count() == 3000 + 6 * sum(1 for key in hot if key < 3000)
+
+
+def test_hot_events_and_team_days_of_an_inventory(spark):
+    """One event has a third of the snapshots; a team's day is hot through many events that are not."""
+    day = 1_510_250_000_000
+    snapshots = spark.range(6000).selectExpr(
+        f"{day}L + IF(id % 3 = 1, 0, id) * {DAY}L AS current_timestamp", "IF(id % 3 = 0, 1, id) AS eventId",
+        "1L AS totalListings", "1L AS totalTickets", "array(named_struct('sectionId', id)) AS section_stats",
+    )
+    events = spark.range(6000).selectExpr("id", "IF(id % 3 = 1, 'Home', concat('T', id)) AS Home_Team_Name")
+    found = jobs.hot_listing_keys(snapshots, events)
+    assert (found.events, found.team_days) == ([1], ["Home#2017#11#9"])
+    nothing = jobs.hot_listing_keys(snapshots.limit(0), events)
+    assert (nothing.events, nothing.team_days) == ([], [])
+
+
 SKEW_SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -68,14 +108,15 @@ def split_plan(df):
     return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("hot", [None, [1]])
 @pytest.mark.parametrize("how", ["inner", "left_outer"])
-def test_a_hot_event_is_split_over_tasks(spark, skew_settings, how):
+def test_a_hot_event_is_split_over_tasks(spark, skew_settings, how, hot):
     """The right side is the aggregate that the jobs pass, live."""
     left = hot_inventory(spark, 90_000).repartition(16)
     meta_like = spark.range(90_000).selectExpr(
         "id AS current_timestamp", "array(named_struct('id', id, 'eventDateUTC', concat('d', id))) AS events"
     )
-    joined = join_event_meta(left, latest_event_date(meta_like), how).select("timestamp", "event_date")
+    joined = join_event_meta(left, latest_event_date(meta_like), how, hot=hot).select("timestamp", "event_date")
     assert len(set(joined.collect())) == 90_000
     assert split_plan(joined)
 
