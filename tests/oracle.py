@@ -39,7 +39,7 @@ def compare(spark, sf_dir: str, connection, query, sql: str) -> list[str]:
     if sorted(df.columns) != sorted(names):
         return [f"columns {sorted(df.columns)} against {sorted(names)}"]
     same = {
-        "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+        "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
     }
     for name, kind in df.dtypes:
         if same.get(kind, kind) != kinds[name]:
