@@ -1,15 +1,21 @@
 """Personal data: fixed patterns, and terms that the corpus shows to reveal them.
 
-Protected entities are the addresses and numbers that the patterns find. From all texts two counts are taken: in
-how many texts a term stands near an entity, and in how many texts it stands at all. With IC(c) = -log p(c) of an entity
-c and PMI(c; t) = log p(c | t) / p(c), a term t discloses PMI(c; t) / IC(c) of what c tells (1 if c is in every text
-that has t). Where a term over the threshold stands near its entity it is generalised to a label, and over the
-higher one removed. All of it is DataFrame expressions; a term's texts are counted only for terms that
-can reach the threshold, and those are joined by equality on the term.
+Protected entities are the addresses and numbers that the patterns find, each as a kind (``email``) and as a value (one address). Over
+all different texts two things are counted: in how many of them a term stands together with an entity, and in how many it stands at
+all. With IC(c) = -log p(c) of an entity c and PMI(c; t) = log p(c | t) / p(c), a term t discloses PMI(c; t) / IC(c) of what c tells
+(1 if c is in every text that has t). A term counts only if its company is no chance: for k of its n texts, the chance of as many at
+rate p(c) is below exp(-n KL(k/n, p(c))) (Chernoff), and that times the number of pairs looked at has to be below ``CHANCE``.
+
+A term that tells half of a kind is generalised to a label in every text that holds an entity of the kind; one that tells nine tenths
+of it is removed. A term that tells nine tenths of one value is treated so wherever it stands. All of it is DataFrame
+expressions; texts are parsed once and kept with their spans, and a term's texts are counted only where it can reach the threshold.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,30 +31,71 @@ KINDS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
 WORD = r"[\p{L}\p{M}\p{N}_'’-]+"
 BYTE_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\.|$)){4}$"
 
-CONTEXT_CHARS = 48
-CONTEXT_WORDS = 3
-LEAST_TEXTS = 4
-GENERALISE_AT = 0.9
-REMOVE_AT = 0.99
+#: Shares of what an entity tells from which a term is generalised, or removed; of a value only the second counts.
+GENERALISE_AT = 0.5
+REMOVE_AT = 0.9
+#: The chance that any term of the corpus counts that stands with its entity by chance.
+CHANCE = 0.01
+CHUNK = 64
+BLOCK = 512
+SPAN = "struct<start:int,end:int,value:string>"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _before(values: Column, join: Callable[[Column, Column], Column], levels: int = 2) -> Column:
+    """For each place of an array of numbers from 0 up the join (sum, or greatest) of all before it; 0 for the first.
+
+    An array is built up by copying it for each element, so this is done in chunks, and for the chunks' results in chunks again.
+    """
+
+    def scan(part: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(part, start, lambda acc, x: F.struct(
+            join(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")
+        ))
+
+    if levels == 0:
+        return scan(values)["out"]
+
+    def chunked(whole: Column) -> Column:
+        places = F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / CHUNK).cast("int"))
+        chunks = F.transform(places, lambda i: scan(F.slice(whole, i * CHUNK + 1, F.lit(CHUNK))))
+
+        def shifted(parts: Column) -> Column:
+            offsets = _before(F.transform(parts, lambda p: p["at"]), join, levels - 1)
+            both = F.arrays_zip(parts.alias("part"), offsets.alias("offset"))
+            return F.flatten(F.transform(both, lambda b: F.transform(b["part"]["out"], lambda v: join(v, b["offset"]))))
+
+        return F.when(F.size(whole) > 0, _let(chunks, shifted)).otherwise(F.array().cast("array<int>"))
+
+    return _let(values, chunked)
+
+
+def _sum(a: Column, b: Column) -> Column:
+    return a + b
 
 
 def matches(text: Column, pattern: str) -> Column:
     """Leftmost matches as ``array<struct<start, end, value>>`` in code points."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    step = F.arrays_zip(found.alias("value"), F.slice(gaps, F.lit(1), F.size(found)).alias("gap"))
-    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-
-    def add(acc, x):
-        start = acc["at"] + F.char_length(x["gap"])
-        end = start + F.char_length(x["value"])
-        return F.struct(
-            end.alias("at"),
-            F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))).alias("out"),
-        )
 
-    run = F.aggregate(step, F.struct(F.lit(0).alias("at"), empty.alias("out")), add, lambda acc: acc["out"])
-    return F.when(F.size(found) > 0, run).otherwise(empty)
+    def placed(found: Column, whole: Column) -> Column:
+        gaps = F.slice(F.split(whole, pattern, -1), F.lit(1), F.size(found))
+        steps = F.arrays_zip(found.alias("value"), F.transform(gaps, F.char_length).alias("gap"))
+
+        def spans(steps: Column) -> Column:
+            before = _before(F.transform(steps, lambda s: s["gap"] + F.char_length(s["value"])), _sum)
+            return F.transform(F.arrays_zip(steps.alias("step"), before.alias("before")), lambda s: F.struct(
+                (s["before"] + s["step"]["gap"]).alias("start"),
+                (s["before"] + s["step"]["gap"] + F.char_length(s["step"]["value"])).alias("end"), s["step"]["value"].alias("value"),
+            ))
+
+        return F.when(F.size(found) > 0, _let(steps, spans)).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+    return _let(text, lambda whole: _let(F.regexp_extract_all(whole, F.lit(pattern), F.lit(0)), lambda found: placed(found, whole)))
 
 
 def _digits(value: Column) -> Column:
@@ -87,112 +134,183 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[spans_of(order, kind) for order, kind in enumerate(KINDS)]))
 
 
-def _near(text: Column, span: Column) -> Column:
-    """Words near a span: ``array<struct<start, end, value>>``; a word cut by the window's edge is left out."""
-    start = F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0))
-    before, after = F.substring(text, start + 1, span["start"] - start), F.substring(text, span["end"] + 1, F.lit(CONTEXT_CHARS))
-    left = F.filter(matches(before, WORD), lambda m: (m["start"] > 0) | (start == 0))
-    left = F.slice(left, F.greatest(F.size(left) - CONTEXT_WORDS + 1, F.lit(1)), F.lit(CONTEXT_WORDS))
-    right = F.filter(matches(after, WORD), lambda m: m["end"] < CONTEXT_CHARS)
-    right = F.slice(right, F.lit(1), F.lit(CONTEXT_WORDS))
+def _replaced(text: Column, spans: Column, by: Callable[[Column, Column], Column]) -> Column:
+    """``text`` with what its spans (in order) cover replaced by ``by(first span, covered length)``; spans that overlap count as one.
 
-    def moved(words, by):
-        return F.transform(words, lambda m: F.struct((m["start"] + by).alias("start"), (m["end"] + by).alias("end"), F.lower(m["value"]).alias("value")))
+    The text is cut into blocks first, and every piece is taken out of the blocks it lies in.
+    """
 
-    return F.concat(moved(left, start), moved(right, span["end"]))
+    def piece(blocks: Column, start: Column, end: Column) -> Column:
+        first, last = F.floor(start / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+        head = F.coalesce(F.get(blocks, first), F.lit(""))
+        inner = F.concat(
+            F.substring(head, start % BLOCK + 1, F.lit(BLOCK)), F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+            F.substring(F.coalesce(F.get(blocks, last), F.lit("")), F.lit(1), end % BLOCK),
+        )
+        return F.when(first == last, F.substring(head, start % BLOCK + 1, end - start)).otherwise(inner)
+
+    def rebuilt(text: Column, spans: Column, ends: Column, blocks: Column) -> Column:
+        covered = F.arrays_zip(spans.alias("span"), F.slice(ends, F.lit(1), F.size(spans)).alias("before"))
+        # A span that starts behind all before it starts a stretch, which ends where the next one's spans before it end.
+        def joined(firsts: Column) -> Column:
+            def own(s: Column, i: Column) -> Column:
+                following = F.get(firsts, i + 1)
+                end = F.coalesce(following["before"], F.element_at(ends, -1))
+                upto = F.coalesce(following["span"]["start"], F.char_length(text))
+                return F.concat(by(s["span"], end - s["span"]["start"]), piece(blocks, end, upto))
+
+            return F.concat(piece(blocks, F.lit(0), firsts[0]["span"]["start"]), F.array_join(F.transform(firsts, own), ""))
+
+        return _let(F.filter(covered, lambda c: c["span"]["start"] >= c["before"]), joined)
+
+    def bound(both: Column) -> Column:
+        text, spans = both["text"], both["spans"]
+        ends = F.transform(spans, lambda s: s["end"])
+        # One more entry than spans: the last is what all of them reach.
+        scans = _let(_before(F.concat(ends, F.array(F.lit(0))), F.greatest), lambda e: _let(
+            F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{BLOCK}}}"), F.lit(0)), lambda blocks: rebuilt(text, spans, e, blocks)
+        ))
+        return F.when(F.size(spans) > 0, scans).otherwise(text)
 
+    return _let(F.struct(text.alias("text"), spans.alias("spans")), bound)
 
-def _whole(docs: DataFrame) -> tuple[Column, Column]:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return text, F.xxhash64(text)
 
+def _label(span: Column, covered: Column) -> Column:
+    return F.when(span["kind"] == "removed", F.lit("")).otherwise(F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">")))
 
-def words_near(docs: DataFrame) -> DataFrame:
-    """``text_key, entity, term, start, end`` of the words near each entity, once for equal texts."""
-    text, key = _whole(docs)
-    found = docs.select(text.alias("text"), key.alias("text_key")).withColumn("base", base_spans(F.col("text"))).filter(F.size("base") > 0)
-    near = found.select("text_key", "text", F.explode("base").alias("span")).select(
-        "text_key", F.lower("span.value").alias("entity"), F.explode(_near(F.col("text"), F.col("span"))).alias("word")
-    )
-    return near.select("text_key", "entity", F.col("word.value").alias("term"), F.col("word.start").alias("start"), F.col("word.end").alias("end")).distinct()
 
+def _blanked(text: Column, spans: Column) -> Column:
+    """Blanks in place of the spans, so that all other words keep their places."""
+    return _replaced(text, spans, lambda span, covered: F.repeat(F.lit(" "), covered))
 
-def disclosing_terms(docs: DataFrame, near: DataFrame) -> DataFrame:
-    """``entity, term, disclosure`` for terms over the threshold; ``near`` is ``words_near(docs)``, stored.
 
-    A term counts only if it stands near the entity in ``LEAST_TEXTS`` different texts. All numbers are of different
-    texts, over all rows: copies of a text say one thing once.
-    """
-    text, key = _whole(docs)
-    texts = F.lit(docs.select(key.alias("k")).distinct().count())
-    pairs = near.select("entity", "term", "text_key").distinct()
-    both = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= LEAST_TEXTS)
-    entities = near.select("entity", "text_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
-    seen = near.select("term", "text_key").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
-
-    def disclosure(with_term: str) -> Column:
-        shared = F.log2(F.col("both") / F.col(with_term) * texts / F.col("with_entity"))
-        return F.try_divide(shared, F.log2(texts / F.col("with_entity")))
-
-    # Texts with a term near any entity are no more than texts with the term: what falls short with them falls short.
-    able = both.join(entities, "entity").join(seen, "term").filter(disclosure("seen") >= GENERALISE_AT)
-    able = stored(able.drop("seen"), "privacy-able")
-    terms = stored(able.select("term").distinct(), "privacy-terms")
-    words = docs.select(key.alias("text_key"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))).alias("term"))
-    with_term = words.join(terms, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    return able.join(with_term, "term").select("entity", "term", disclosure("with_term").alias("disclosure")).filter(F.col("disclosure") >= GENERALISE_AT)
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
 
 
-def _joined(spans: Column) -> Column:
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+def _text() -> Column:
+    return F.coalesce(F.col("row.text").cast("string"), F.lit(""))
 
 
-def _sanitised(text: Column, spans: Column) -> Column:
-    """``text`` with every span replaced by its label; spans that overlap are replaced once, by the first one's label."""
+def parsed_texts(rows: DataFrame) -> DataFrame:
+    """``rows`` (a struct ``row`` with ``text``) with their ``base`` spans, a number and a hash of the text, stored."""
+    keyed = rows.select("row", F.xxhash64(_text()).alias("key1"), F.xxhash64(F.lit(1), _text()).alias("key2"), base_spans(_text()).alias("base"))
+    return stored(keyed.withColumn("number", F.monotonically_increasing_id()), "privacy-texts")
 
-    def cut(acc, s):
-        free = F.greatest(s["start"] - acc["at"], F.lit(0))
-        label = F.when(s["kind"] == "removed", F.lit("")).otherwise(F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
-        piece = F.when(s["start"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, free), label)).otherwise("")
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], piece).alias("out"))
 
-    return F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), cut,
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.lit(2**31 - 1) - acc["at"] - 1)),
-    )
+def copies_of(texts: DataFrame) -> tuple[DataFrame, int]:
+    """Numbers of the rows whose text another row with a smaller number has, too, and how many different texts there are."""
+    light = texts.select("key1", "key2", "number")
+    groups = stored(light.groupBy("key1", "key2").agg(F.min("number").alias("least"), F.count(F.lit(1)).alias("rows")), "privacy-groups")
+    # Only the keys of copied texts, to be broadcast where they are few; a text with very many copies is one of them.
+    copied = stored(groups.filter("rows > 1").select("key1", "key2", "least"), "privacy-copied")
+    copies = light.join(copied, ["key1", "key2"]).filter("number <> least").select("number")
+    return stored(copies, "privacy-copies"), groups.count()
+
+
+def disclosure(hits: Column, with_term: Column, with_entity: Column, texts: int) -> Column:
+    """Share of an entity's information that a term gives away, from numbers of texts; null for an entity of every text."""
+    return 1 - F.try_divide(F.log2(hits / with_term), F.log2(with_entity / F.lit(float(texts))))
+
+
+def evidence(hits: Column, with_term: Column, with_entity: Column, texts: int) -> Column:
+    """Minus the logarithm of a bound on the chance of so many texts with both, if they had nothing to do with each other."""
+    share, rate = hits / with_term, with_entity / F.lit(float(texts))
+    apart = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+    return F.when(share > rate, with_term * (share * F.log(share / rate) + apart)).otherwise(0.0)
 
 
-def _all_spans(docs: DataFrame, carry: list[Column]) -> DataFrame:
-    """``carry``, ``text``, ``base`` (spans of the patterns) and ``spans`` (these and the method's) of every row."""
-    near = stored(words_near(docs), "privacy-near")
-    terms = stored(disclosing_terms(docs, near), "privacy-disclosing")
-    once = near.join(terms, ["entity", "term"]).groupBy("text_key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    of_text = once.groupBy("text_key").agg(F.collect_list(F.struct(
-        "start", F.lit(len(KINDS)).alias("order"), "end", F.when(F.col("disclosure") >= REMOVE_AT, "removed").otherwise("term").alias("kind"),
+def disclosing_terms(texts: DataFrame) -> DataFrame:
+    """``level, entity, term, disclosure`` of the terms that reach the thresholds; ``texts`` is :func:`parsed_texts`.
+
+    Numbers are of different texts, over all rows: copies of a text say one thing once. Words inside entities are no terms.
+    """
+    copies, many = copies_of(texts)
+    single = texts.join(copies, "number", "left_anti")
+    holders = single.filter(F.size("base") > 0)
+    # Plain texts, of which Spark keeps a set while it looks for different ones.
+    kinds = F.array_distinct("base.kind")
+    values = F.array_distinct(F.transform("base", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
+    of_kind = holders.select("number", F.lit("kind").alias("level"), F.explode(kinds).alias("entity"))
+    of_value = holders.select("number", F.lit("value").alias("level"), F.explode(values).alias("entity"))
+    needed = F.when(F.col("level") == "kind", GENERALISE_AT).otherwise(REMOVE_AT)
+    n, hits, with_term = F.col("with_entity"), F.col("hits"), F.col("with_term")
+    # What stands with a value of one text is any word of that text; there is nothing to tell them apart by.
+    named = of_kind.union(of_value)
+    entities = stored(
+        named.groupBy("level", "entity").agg(F.count(F.lit(1)).alias("with_entity")).filter((F.col("level") == "kind") | (n > 1)), "privacy-entities"
+    )
+    named = stored(named.join(entities, ["level", "entity"]), "privacy-named")
+    spoken = holders.select("number", F.explode(_words(_blanked(_text(), F.col("base")))).alias("term"))
+    pairs = named.join(spoken, "number")
+    both = stored(
+        pairs.groupBy("level", "entity", "term").agg(
+            F.first("with_entity").alias("with_entity"), F.count(F.lit(1)).alias("hits")
+        ),
+        "privacy-pairs",
+    )
+    certain = math.log(max(both.count(), 1) / CHANCE)
+    # A term that falls short even if all its texts held the entity is not looked for elsewhere.
+    able = stored(both.filter(evidence(hits, hits, n, many) >= certain), "privacy-able")
+    terms = stored(able.select("term").distinct(), "privacy-terms")
+    words = single.select(F.explode(_words(F.when(F.size("base") > 0, _blanked(_text(), F.col("base"))).otherwise(_text()))).alias("term"))
+    counts = words.join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    told = able.join(counts, "term").filter(evidence(hits, with_term, n, many) >= certain).select(
+        "level", "entity", "term", disclosure(hits, with_term, n, many).alias("disclosure")
+    )
+    return stored(told.filter(F.col("disclosure") >= needed), "privacy-disclosing")
+
+
+def _marked(texts: DataFrame, told: DataFrame) -> DataFrame:
+    """``of`` (a row's number) and ``marks``, the terms to hide there with the kind of their spans."""
+    label = F.when(F.col("disclosure") >= REMOVE_AT, "removed").otherwise("term")
+    kinds = stored(told.filter("level = 'kind'").groupBy("entity", "term").agg(F.max("disclosure").alias("disclosure")), "privacy-kind-terms")
+    holders = texts.filter(F.size("base") > 0)
+    spoken = holders.select("number", F.array_distinct("base.kind").alias("kinds"), F.explode(_words(_blanked(_text(), F.col("base")))).alias("term"))
+    found = spoken.join(kinds, "term").filter(F.array_contains("kinds", F.col("entity"))).select("number", "term", "disclosure")
+    if told.filter("level = 'value'").first():
+        values = stored(told.filter("level = 'value'").groupBy("term").agg(F.max("disclosure").alias("disclosure")), "privacy-value-terms")
+        anywhere = texts.select("number", F.explode(_words(_blanked(_text(), F.col("base")))).alias("term"))
+        found = found.union(anywhere.join(values, "term").select("number", "term", "disclosure"))
+    worst = found.groupBy("number", "term").agg(F.max("disclosure").alias("disclosure"))
+    marks = worst.groupBy("number").agg(F.map_from_entries(F.collect_list(F.struct("term", label.alias("kind")))).alias("marks"))
+    return stored(marks.withColumnRenamed("number", "of"), "privacy-marks")
+
+
+def _all_spans(rows: DataFrame) -> DataFrame:
+    """``row``, ``text``, ``base`` (spans of the patterns) and ``spans`` (these and the method's) of every row."""
+    texts = parsed_texts(rows)
+    marks = _marked(texts, disclosing_terms(texts))
+    joined = texts.join(marks, F.col("number") == F.col("of"), "left").select("row", _text().alias("text"), "base", "marks")
+    words = F.transform(matches(_blanked(F.col("text"), F.col("base")), WORD), lambda m: F.struct(
+        m["start"].alias("start"), F.lit(len(KINDS)).alias("order"), m["end"].alias("end"), F.element_at("marks", F.lower(m["value"])).alias("kind"),
         F.lit("").alias("value"),
-    )).alias("_extra"))
-    text, key = _whole(docs)
-    rows = docs.select(*carry, text.alias("text"), key.alias("_key")).withColumn("base", base_spans(F.col("text")))
-    rows = rows.join(stored(of_text.withColumnRenamed("text_key", "_of"), "privacy-extra"), F.col("_key") == F.col("_of"), "left")
-    extra = F.filter("_extra", lambda x: ~F.exists("base", lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"])))
-    spans = F.when(F.col("_extra").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", extra)))
-    return rows.withColumn("spans", spans).drop("_key", "_of", "_extra")
+    ))
+    extra = F.filter(words, lambda w: w["kind"].isNotNull())
+    spans = F.when(F.col("marks").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", extra)))
+    return joined.select("row", "text", "base", spans.alias("spans"))
+
+
+def _sanitised(text: Column, spans: Column) -> Column:
+    return _replaced(text, spans, _label)
 
 
 def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, base, spans, sanitised`` of every row; a null text counts as empty.
 
     Spans are ``struct<start, order, end, kind, value>`` in code points, end exclusive, by start, then kind as listed
-    (email, ip, card, phone, then the method's ``term`` and ``removed``). Repeated rows get equal results.
+    (email, ip, card, phone, then the method's ``term`` and ``removed``). Repeated rows get equal results. An empty table gives an
+    empty table, null ids stay null, other columns are left out. Time grows in proportion to the length of a text, but for
+    sorting its spans.
     """
-    renamed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = _all_spans(renamed, [F.col("doc_id")])
-    return rows.select("doc_id", "base", "spans", _sanitised(F.col("text"), F.col("spans")).alias("sanitised"))
+    rows = _all_spans(docs.select(F.struct(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).alias("row")))
+    return rows.select("row.doc_id", "base", "spans", _sanitised(F.col("text"), F.col("spans")).alias("sanitised"))
 
 
 def span_list(spans: Column | str) -> Column:
     """Spans as ``kind:start:end``, comma-joined."""
-    return _joined(F.col(spans) if isinstance(spans, str) else spans)
+    spans = F.col(spans) if isinstance(spans, str) else spans
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
@@ -200,8 +318,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
 
     A null text stays null.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = _all_spans(docs, [row]).withColumn("clean", _sanitised(F.col("text"), F.col("spans")))
-    clean = F.when(F.col("row.text").isNotNull(), F.col("clean"))
-    new = {"text": clean, "n_chars": F.when(F.col("row.text").isNotNull(), F.char_length("clean").cast("long"))}
+    rows = _all_spans(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")))
+    clean = F.when(F.col("row.text").isNotNull(), _sanitised(F.col("text"), F.col("spans")))
+    rows = rows.select("row", clean.alias("clean"))
+    new = {"text": F.col("clean"), "n_chars": F.char_length("clean").cast("long")}
     return rows.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -213,6 +213,85 @@ def test_terms_that_reveal_are_found(spark):
             assert not marked and kinds <= {"email"}
 
 
+def plain_disclosures(texts: list[str]) -> dict[tuple[str, str, str], float]:
+    """Every disclosure at its threshold, counted text by text."""
+    texts = sorted(set(texts))
+    entities, words = [], []
+    for text in texts:
+        chars, own = list(text), set()
+        for span in filter(None, plain_spans(text).split(",")):
+            kind, start, end = span.split(":")
+            own |= {("kind", kind), ("value", f"{kind}:{text[int(start) : int(end)].lower()}")}
+            chars[int(start) : int(end)] = " " * (int(end) - int(start))
+        entities.append(own)
+        words.append(set(re.findall(r"[\w'’-]+", "".join(chars).lower())))
+    with_entity, with_term = Counter(e for own in entities for e in own), Counter(w for own in words for w in own)
+    hits = Counter((e, w) for own, said in zip(entities, words) for e in own for w in said)
+    hits = {key: k for key, k in hits.items() if key[0][0] == "kind" or with_entity[key[0]] > 1}
+    out, certain = {}, np.log(len(hits) / privacy.CHANCE)
+    for (entity, word), k in hits.items():
+        n, rate = with_term[word], with_entity[entity] / len(texts)
+        if k / n <= rate:
+            continue
+        chance = k * np.log(k / n / rate) + (0 if k == n else (n - k) * np.log((1 - k / n) / (1 - rate)))
+        share = 1 - np.log(k / n) / np.log(rate)
+        if chance >= certain and share >= (privacy.GENERALISE_AT if entity[0] == "kind" else privacy.REMOVE_AT):
+            out[*entity, word] = share
+    return out
+
+
+def test_disclosures_equal_plain_counts(spark):
+    """Terms of a kind whose values stand once, of one value in many texts, and none by chance; copies count once."""
+    rng = np.random.default_rng(8)
+    words = [f"word{c}{d}" for c in "abcdefgh" for d in "abcdefghij"]
+    prose = lambda n=12: " ".join(rng.choice(words, n))
+    texts = [f"{prose()} reach me at x{i}@mail.org {prose()}" for i in range(9)] + [f"{prose()} at {prose()}" for _ in range(400)]
+    texts += [f"{prose()} Zorro {prose()} call +1 202 555 0123 now {prose()}" for _ in range(60)] + [f"{prose()} zorro's" for _ in range(3)]
+    texts += [f"{prose()} zorro rides" for _ in range(2)] + [prose(30) for _ in range(5000)] + ["only once a0@b.org"] + [texts[0]] * 40
+    want = plain_disclosures(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    parsed = privacy.parsed_texts(docs.select(F.struct("doc_id", "text").alias("row")))
+    got = {(r["level"], r["entity"], r["term"]): r["disclosure"] for r in privacy.disclosing_terms(parsed).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in got)
+    assert ("kind", "email", "reach") in got and ("kind", "phone", "zorro") in got and ("kind", "email", "at") not in got
+    assert ("value", "phone:+1 202 555 0123", "call") in got and not any(k[2] in ("only", "once") for k in got)
+    rows = privacy.find_private(docs).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        text = texts[r["doc_id"]]
+        hidden = {(text[s["start"] : s["end"]], s["kind"]) for s in r["spans"] if s["order"] >= len(privacy.KINDS)}
+        kinds = {s["kind"] for s in r["base"]}
+        label = lambda share: "removed" if share >= privacy.REMOVE_AT else "term"
+        terms = {}
+        for (level, entity, term), share in want.items():
+            if level == "value" or entity in kinds:
+                terms[term] = max(share, terms.get(term, 0))
+        assert hidden == {(m, label(terms[m.lower()])) for m in re.findall(r"[\w'’-]+", text) if m.lower() in terms}
+
+
+def test_texts_with_very_many_matches(spark):
+    import time
+
+    texts = [
+        " ".join(f"u{i}@x.org" for i in range(100_000)), "1.2.3.4 " * 30_000, "1." * 100_000, "+1 202 555 0123, " * 10_000,
+        "4111111111111111 " * 10_000 + "😀" * 5000 + " a@b.cc", "a" * 600 + "😀" * 700 + " a@b.cc " + "é" * 1500 + "1.2.3.4",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    start = time.time()
+    rows = {r["doc_id"]: r for r in privacy.find_private(docs).collect()}
+    assert time.time() - start < 120
+    for i, text in enumerate(texts):
+        spans = plain_spans(text)
+        assert ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in rows[i]["base"]) == spans
+        parts, at = [], 0
+        for span in filter(None, spans.split(",")):
+            kind, a, b = span.split(":")
+            if int(a) >= at:
+                parts += [text[at : int(a)], f"<{kind.upper()}>"]
+            at = max(at, int(b))
+        assert rows[i]["sanitised"] == "".join([*parts, text[at:]])
+
+
 def test_privacy_of_edge_rows(spark, edge_docs, edge_rows, no_docs):
     rows = privacy.find_private(edge_docs).select("doc_id", privacy.span_list("base").alias("s")).collect()
     assert sorted(r["s"] for r in rows) == sorted(plain_spans(r[1]) for r in edge_rows)
