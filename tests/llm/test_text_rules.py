@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -301,32 +303,65 @@ def test_privacy_of_edge_rows(spark, edge_docs, edge_rows, no_docs):
     assert privacy.find_private(no_docs).collect() == [] and privacy.sanitise(no_docs).collect() == []
 
 
-def check_mix(rows, shares: dict[str, int]):
-    """While every stream has blocks left, each is less than one block from its share after any number of slots."""
-    period = sum(shares.values())
+def check_mix(rows, weights: dict[str, float]):
+    """Until a stream ends it is less than one block from its exact share after any number of slots; slots are taken once."""
+    total = sum(map(Fraction, weights.values()))
+    shares = {s: Fraction(w) / total for s, w in weights.items()}
     slots = sorted({(r["slot"], r["stream"]) for r in rows})
     assert len({s for s, _ in slots}) == len(slots)
-    last = {s: max(x for x, y in slots if y == s) for _, s in slots}
-    done = Counter()
-    for n, (slot, stream) in enumerate(slots):
-        if slot > min(last.values()) or slot != n:
-            break
-        done[stream] += 1
-        for s, share in shares.items():
-            assert abs(done[s] - (slot + 1) * share / period) < 1
-
-
-@settings(max_examples=100, deadline=None)
-@given(st.dictionaries(st.text(alphabet="abcdef", min_size=1, max_size=2), st.floats(0.01, 50), min_size=1, max_size=9), st.integers(1, 120))
-def test_schedule_keeps_within_one_block(weights, period):
-    shares = mixing.whole_shares(weights, period)
-    assert sum(shares.values()) == max(period, len(weights))
-    turns = mixing.turns(shares)
-    rows = [{"slot": slot, "stream": s} for s, _, slot in turns]
-    check_mix(rows, shares)
-    n = sum(shares.values())
-    for source, turn, slot in turns:
-        assert turn * n // shares[source] <= slot < -(-(turn + 1) * n // shares[source])
+    of = {}
+    for slot, stream in slots:
+        of.setdefault(stream, []).append(slot)
+    for stream, own in of.items():
+        for k, slot in enumerate(own):  # k blocks before this slot, one more after it
+            assert -1 < k - slot * shares[stream] and (k + 1) - (slot + 1) * shares[stream] < 1
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.text(alphabet="abcdef", min_size=1, max_size=2), st.tuples(st.floats(0.0001, 50), st.integers(0, 60)), min_size=1, max_size=12))
+def test_schedule_keeps_within_one_block(streams):
+    weights, blocks = {s: w for s, (w, _) in streams.items()}, {s: n for s, (_, n) in streams.items()}
+    plan = mixing.schedule(weights, blocks)
+    assert Counter(s for s, _, _ in plan) == Counter({s: n for s, n in blocks.items() if n})
+    total = sum(map(Fraction, weights.values()))
+    for stream, block, slot in plan:
+        step = total / Fraction(weights[stream])
+        assert math.floor(block * step) <= slot < math.ceil((block + 1) * step)
+    check_mix([{"slot": slot, "stream": s} for s, _, slot in plan], weights)
+
+
+def test_odd_weights_are_exact(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "CASE WHEN id < 2 THEN 'tiny' WHEN id < 1400 THEN 'third' ELSE 'most' END AS source")
+    weights = {"tiny": 0.0003, "third": 1 / 3, "most": 1 - 1 / 3 - 0.0003}
+    rows = mixing.mix(docs, weights, block_rows=1).collect()
+    assert len(rows) == 3000 and "<rest>" not in {r["stream"] for r in rows}
+    check_mix(rows, weights)
+    assert sorted(r["slot"] for r in rows if r["stream"] == "tiny")[1] >= 3333
+
+
+def test_every_source_is_a_stream(spark):
+    docs = spark.range(40_000).selectExpr("id AS doc_id", "concat('s', id % 400) AS source")
+    rows = mixing.mix(docs, block_rows=4).collect()
+    assert len({r["stream"] for r in rows}) == 400 and len(rows) == 40_000
+    check_mix(rows, {f"s{i}": 100 for i in range(400)})
+
+
+def test_sources_that_share_a_stream_keep_their_pace(spark):
+    """Two named sources, forty in the shared stream with their own weights; nothing is lost and blocks grow to their bound."""
+    docs = spark.range(9000).selectExpr("id AS doc_id", "CASE WHEN id < 4000 THEN 'a' WHEN id < 7000 THEN 'b' ELSE concat('c', floor(sqrt(id - 7000))) END AS source")
+    rows = mixing.mix(docs, named=2, temperature=0.5, block_rows=3).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(9000)) and {r["stream"] for r in rows} == {"a", "b", "<rest>"}
+    counts = Counter(r["source"] for r in rows)
+    check_mix(rows, {"a": 4000**0.5, "b": 3000**0.5, "<rest>": sum(n**0.5 for s, n in counts.items() if s not in "ab")})
+    order = [r["source"] for r in sorted((r for r in rows if r["stream"] == "<rest>"), key=lambda r: (r["slot"], r["place"]))]
+    seen = Counter()
+    for at, source in enumerate(order):
+        seen[source] += 1
+        if at % 97 == 0:
+            now = max(k / counts[s] ** 0.5 for s, k in seen.items())
+            assert all(counts[s] == k or abs(k - now * counts[s] ** 0.5) <= 1.001 for s, k in seen.items())
+    few = mixing.mix(docs, block_rows=1, most_blocks=90).collect()
+    assert len({r["slot"] for r in few}) <= 90 + 45 and max(r["place"] for r in few) == 99
 
 
 def test_op2_mixes_every_document_once(spark, documents):
@@ -338,13 +373,17 @@ def test_op2_mixes_every_document_once(spark, documents):
         own = sorted((r["slot"], r["place"], r["block"]) for r in rows if r["stream"] == stream)
         assert [b * 16 + p for _, p, b in own] == list(range(len(own)))
     counts = Counter(d[3] for d in documents)
-    shares = mixing.whole_shares({mixing.REST: sum(n**0.7 for n in counts.values()) / 1000} | {s: n**0.7 for s, n in counts.items()}, 1000)
-    check_mix(rows, {s: n for s, n in shares.items() if s != mixing.REST} | {mixing.REST: shares[mixing.REST]})
+    weights = {s: n**0.7 for s, n in counts.items()}
+    check_mix(rows, weights)
+    plan = {(s, k): slot for s, k, slot in mixing.schedule(weights, {s: -(-n // 16) for s, n in counts.items()})}
+    assert all(plan[r["stream"], r["block"]] == r["slot"] for r in rows)
 
 
 def test_mix_of_edge_rows(spark, edge_docs, edge_rows, no_docs):
-    rows = mixing.mix(edge_docs, {"a": 2.0, "<null>": 1.0}, block_rows=1, period=10).collect()
-    assert Counter(r["stream"] for r in rows) == Counter("rest" if r[3] == "b" else r[3] or "<null>" for r in edge_rows)
+    rows = mixing.mix(edge_docs, {"a": 2.0, "<null>": 1.0, "none": 3.0}, block_rows=1).collect()
+    assert Counter(r["stream"] for r in rows) == Counter("<rest>" if r[3] == "b" else r[3] or "<null>" for r in edge_rows)
+    check_mix(rows, {"a": 2.0, "<null>": 1.0, "none": 3.0, "<rest>": 0.006})
+    assert len(mixing.mix(edge_docs, {}).collect()) == len(mixing.mix(edge_docs, named=0).collect()) == len(edge_rows)
     out = mixing.mixed(edge_docs)
     assert out.columns == edge_docs.columns and out.count() == len(edge_rows)
     assert mixing.mix(no_docs).collect() == [] and mixing.mixed(no_docs).collect() == []
