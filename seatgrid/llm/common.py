@@ -92,14 +92,16 @@ class Encoder:
     word vocabularies, so the ids of a text are those of its led words in order; each new word is encoded once while the
     memo (``memo`` words at most) holds it. Of a new word, punctuation after letters is a pre-token of its own, and letters
     alone may go to the model behind the tokenizer at once, if that is seen to give the same. Texts with other kinds of
-    white space, where all this does not hold for sure, go to the tokenizer whole.
+    white space, or with the text of an added token, where all this does not hold for sure, go to the tokenizer whole.
     """
 
     def __init__(self, path: str, memo: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added if not t.normalized]
+        self.folded = [t.content.lower() for t in added if t.normalized]
         self.memo, self.words, self.tails = memo, {}, {}
         self.line = self._ids(["\n"])[0]
         self.lead, self.fold = None, False
@@ -111,6 +113,9 @@ class Encoder:
         else:
             self.lead = None
 
+    def _marked(self, text: str) -> bool:
+        return any(t in text for t in self.added) or (bool(self.folded) and any(t in text.lower() for t in self.folded))
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
@@ -160,7 +165,7 @@ class Encoder:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if _odd_space(text):
+            if _odd_space(text) or self._marked(text):
                 whole.append(i)
                 continue
             head, *parts = text.replace("\n", " \n").split(" ")

@@ -21,7 +21,8 @@ def edge_rows(documents):
         (None, None, None, None, None), (1, None, "en", "a", 0), (2, "", "en", None, 0), (3, " \n\t ", None, "a", 4), (4, text, "en", "a", 9),
         (4, text, "en", "a", 9), (5, text, "de", "b", 9), (None, text, "en", "a", 9), (6, "word", "xx", "a", 4), (-7, text[: len(text) // 2], "fr", "b", 1),
         (8, f"{text} " * 60, "en", "a", 1), (9, "1 2-3" * 20_000 + "a" * 50_000, "en", "b", 1), (10, "É́ ΣΑΣ  x　y ퟿ 你好 😀", "es", "b", 1),
-        (11, "12345 !!! ???", "en", "a", 1),
+        (11, "12345 !!! ???", "en", "a", 1), (12, "one <|endoftext|> two<|startoftext|>three <|ENDOFTEXT|> four", "en", "a", 1),
+        (13, "<|endoftext|>", "de", "b", 1), (14, f"{text} <|endoftext|>{text}", "en", "a", 1),
     ]
 
 

@@ -13,9 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    out = Tokenizer.from_file(path)
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(path)
 
 
 def ids_of(path: str, text: str) -> bytes:
