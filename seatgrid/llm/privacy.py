@@ -254,7 +254,8 @@ def disclosing_terms(texts: DataFrame) -> DataFrame:
     able = stored(both.filter(evidence(hits, hits, n, many) >= certain), "privacy-able")
     terms = stored(able.select("term").distinct(), "privacy-terms")
     words = single.select(F.explode(_words(F.when(F.size("base") > 0, _blanked(_text(), F.col("base"))).otherwise(_text()))).alias("term"))
-    counts = words.join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    # Counted before they meet the terms, so that words are not shuffled one by one, however many terms there are.
+    counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("with_term")).join(terms, "term")
     told = able.join(counts, "term").filter(evidence(hits, with_term, n, many) >= certain).select(
         "level", "entity", "term", disclosure(hits, with_term, n, many).alias("disclosure")
     )
