@@ -1,17 +1,18 @@
 """Near-duplicates by SimHash fingerprints and multi-index hashing.
 
-A fingerprint is cut into segments. Within each segment its Hamming ball is enumerated (the segment's value and
-every value one bit away), the rest of the fingerprint unchanged, and the fingerprint is entered in the table under
-each of those whole keys. Two fingerprints at most two bits apart meet under a key at most one bit from
-either, in one segment or over two, so both sides enumerate radius 1 instead of one side radius 2, and no
-table bucket ever holds fingerprints that a comparison would have to sort out: entries of a key lie within two bits of each other by
-construction. A key's members are kept as one 64-bit mask of flipped bits, added up by partial aggregation; each
-member is then linked to the smallest, and the complete distance of every link is verified.
+A fingerprint is cut into segments, and a table for each segment holds all fingerprints under their value there. Of two fingerprints
+at most r bits apart one of m segments differs in r div m bits at most, so the small Hamming ball of each segment's value is
+enumerated, the table's entries under each value of the ball are fetched, and the complete distance is verified. A pair counts
+in the first segment in which it can be found, so no pair is found twice.
+
+A value that very many fingerprints share in a segment gets a second key: what is left of the fingerprint is cut into r + 1 parts, one
+of which must be equal. A fingerprint has a bounded number of neighbours (2,080 within two bits), and so have the links.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,8 @@ from seatgrid.llm.common import stored
 from seatgrid.llm.components import components
 
 BITS = 64
+#: Values that more fingerprints share than this get a second key.
+HOT_VALUE = 256
 
 
 def _fingerprint(text: str | None, words_each: int) -> int:
@@ -57,24 +60,81 @@ def fingerprint(text: Column, words_each: int = 3) -> Column:
     return udf(text.cast("string"))
 
 
-def links(prints: DataFrame, segments: int = 2) -> DataFrame:
-    """Links ``a, b`` that join all of ``prints`` (distinct ``fingerprint``) at most two bits apart, by stars."""
-    width = BITS // segments
-    bit = [F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(BITS)]
+def segment_masks(segments: int) -> list[int]:
+    """Bits of each segment."""
+    if not 1 <= segments <= BITS:
+        raise ValueError("a fingerprint has 1 to 64 segments")
+    edges = [BITS * s // segments for s in range(segments + 1)]
+    return [(1 << edges[s + 1]) - (1 << edges[s]) for s in range(segments)]
+
+
+def _long(value: int) -> Column:
+    return F.lit(value - (1 << BITS) if value >> (BITS - 1) else value).cast("long")
+
+
+def _ball(mask: int, radius: int) -> list[int]:
+    """All patterns of at most ``radius`` bits of a segment."""
+    bits = [1 << i for i in range(BITS) if mask >> i & 1]
+    return [sum(chosen) for k in range(radius + 1) for chosen in combinations(bits, k)]
+
+
+def _rest_masks(mask: int, parts: int) -> list[int]:
+    """The bits outside a segment in so many parts."""
+    bits = [1 << i for i in range(BITS) if not mask >> i & 1]
+    return [sum(bits[len(bits) * p // parts : len(bits) * (p + 1) // parts]) for p in range(parts)]
+
+
+def candidates(prints: DataFrame, segments: int = 2, radius: int = 2) -> DataFrame:
+    """Pairs ``a < b`` of ``prints`` (distinct ``fingerprint``) that a segment's table brings together, each with its ``segment``.
+
+    Every pair at most ``radius`` bits apart is one of them, once for each segment that differs little enough.
+    """
+    masks, near = segment_masks(segments), radius // segments
     own = F.col("fingerprint")
-    keys = F.array(own, *[own.bitwiseXOR(bit[s * width + i]) for s in range(segments) for i in range(width)])
-    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes each, but 65 entries
-    entries = prints.repartition(tasks, "fingerprint").select("fingerprint", F.explode(keys).alias("key"))
-    members = entries.groupBy("key").agg(
-        F.bit_or(own.bitwiseXOR(F.col("key"))).alias("flips"), F.max((own == F.col("key")).cast("int")).alias("centre")
-    ).filter(F.bit_count("flips") + F.col("centre") > 1)
-    flipped = F.filter(F.array(*bit), lambda b: F.col("flips").bitwiseAND(b) != 0)
-    each = F.concat(
-        F.transform(flipped, lambda b: F.col("key").bitwiseXOR(b)),
-        F.when(F.col("centre") == 1, F.array("key")).otherwise(F.array().cast("array<long>")),
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes each, but many entries
+    prints = prints.repartition(tasks, "fingerprint").select("fingerprint")
+    keys = [F.struct(F.lit(s).alias("segment"), own.bitwiseAND(_long(m)).alias("value")) for s, m in enumerate(masks)]
+    table = stored(prints.select("fingerprint", F.explode(F.array(*keys)).alias("k")).select("k.*", "fingerprint"), "simhash-table")
+    hot = stored(
+        table.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_VALUE).select("segment", "value"), "simhash-hot"
     )
-    stars = members.select(each.alias("each")).select(F.array_min("each").alias("a"), F.explode("each").alias("b"))
-    return stars.filter((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)).distinct()
+
+    def ball(s: int, mask: int) -> Column:
+        around = F.array(*[_long(x) for x in _ball(mask, near)])
+        return F.transform(around, lambda x: F.struct(F.lit(s).alias("segment"), own.bitwiseAND(_long(mask)).bitwiseXOR(x).alias("value")))
+
+    asked = [ball(s, mask) for s, mask in enumerate(masks)]
+    probes = prints.select(own.alias("a"), F.explode(F.concat(*asked)).alias("k")).select("a", "k.*")
+    fetched = table.join(hot, ["segment", "value"], "left_anti").withColumnRenamed("fingerprint", "b")
+    found = probes.join(fetched, ["segment", "value"]).filter("a < b").select("a", "b", "segment")
+
+    def parted(rows: DataFrame, column: str) -> DataFrame:
+        parts = [
+            F.array(*[F.struct(F.lit(p).alias("part"), F.col(column).bitwiseAND(_long(m)).alias("rest")) for p, m in enumerate(_rest_masks(mask, radius + 1))])
+            for mask in masks
+        ]
+        of_segment = F.element_at(F.array(*parts), F.col("segment") + 1)
+        return rows.join(hot, ["segment", "value"]).select("segment", "value", column, F.explode(of_segment).alias("r")).select("segment", "value", column, "r.*")
+
+    if segments > 1:  # one segment is the whole fingerprint, which no two share
+        left, right = parted(probes, "a"), parted(table.withColumnRenamed("fingerprint", "b"), "b")
+        shared = left.join(right, ["segment", "value", "part", "rest"]).filter("a < b")
+        apart = F.col("a").bitwiseXOR(F.col("b"))
+        firsts = [
+            F.coalesce(*[F.when(apart.bitwiseAND(_long(m)) == 0, p) for p, m in enumerate(_rest_masks(mask, radius + 1))]) for mask in masks
+        ]
+        shared = shared.filter(F.element_at(F.array(*firsts), F.col("segment") + 1) == F.col("part"))
+        found = found.union(shared.select("a", "b", "segment"))
+    return found
+
+
+def links(prints: DataFrame, segments: int = 2, radius: int = 2) -> DataFrame:
+    """All pairs ``a < b`` of ``prints`` (distinct ``fingerprint``) at most ``radius`` bits apart, each once."""
+    masks, near = segment_masks(segments), radius // segments
+    apart = F.col("a").bitwiseXOR(F.col("b"))
+    first = F.coalesce(*[F.when(F.bit_count(apart.bitwiseAND(_long(m))) <= near, s) for s, m in enumerate(masks)])
+    found = candidates(prints, segments, radius)
+    return found.filter((F.bit_count(apart) <= radius) & (first == F.col("segment"))).select("a", "b")
 
 
 def print_components(rows: DataFrame) -> DataFrame:

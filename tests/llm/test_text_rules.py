@@ -130,6 +130,36 @@ def test_links_between_chosen_fingerprints(spark):
             assert (got.get(a, a) == got.get(b, b)) == (want[a] == want[b])
 
 
+@pytest.mark.parametrize("segments, radius, hot", [(2, 2, 256), (1, 2, 256), (3, 2, 256), (8, 2, 5), (2, 2, 4), (2, 3, 6), (5, 4, 3)])
+def test_segment_tables_find_all_links(spark, monkeypatch, segments, radius, hot):
+    """Random prints, families that share a segment's value, and values shared by more prints than the bound."""
+    monkeypatch.setattr(simhash, "HOT_VALUE", hot)
+    rng = np.random.default_rng(segments)
+    values = {0, (1 << 64) - 1}
+    for _ in range(8):
+        centre = int(rng.integers(0, 1 << 63)) * 2 + 1
+        for _ in range(40):
+            bits = rng.choice(64, rng.integers(0, 5), replace=False) if rng.random() < 0.7 else rng.choice(12, rng.integers(0, 9), replace=False)
+            values.add(centre ^ sum(1 << int(b) for b in bits))
+    signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
+    frame = spark.createDataFrame(signed, "fingerprint long")
+    got = sorted((r["a"] % (1 << 64), r["b"] % (1 << 64)) for r in simhash.links(frame, segments, radius).collect())
+    order = {v: v - (1 << 64) if v >> 63 else v for v in values}
+    want = sorted((a, b) for a in values for b in values if order[a] < order[b] and (a ^ b).bit_count() <= radius)
+    assert got == want and want
+    assert simhash.links(frame.limit(0), segments, radius).collect() == []
+
+
+def test_segments_change_the_candidates_only(spark):
+    rng = np.random.default_rng(1)
+    frame = spark.createDataFrame([(int(x),) for x in rng.integers(0, 4000, 600)], "fingerprint long").distinct()
+    found = {m: simhash.candidates(frame, m).count() for m in (2, 4, 8)}
+    assert len(set(found.values())) == 3
+    assert len({tuple(sorted(map(tuple, simhash.links(frame, m).collect()))) for m in (1, 2, 4, 8)}) == 1
+    with pytest.raises(ValueError):
+        simhash.links(frame, 0)
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     loose = spark.createDataFrame([(1000, 1001), (1001, 1000), (7777, 7777)], "a long, b long")
