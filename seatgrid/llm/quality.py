@@ -9,6 +9,7 @@ third of all rows is added up on all tasks. Rows whose robust Mahalanobis distan
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,16 +33,24 @@ def _repeated(words: list[bytes], window: int = 8) -> int:
     n = len(words) - window + 1
     if n < 2:
         return 0
-    marks = np.fromiter(map(hash, words), np.int64, len(words)).astype(np.uint64)
+    number: dict[bytes, int] = {}
+    marks = np.fromiter((number.setdefault(w, len(number)) for w in words), np.uint64, len(words))
     with np.errstate(over="ignore"):
         sums = np.zeros(n, np.uint64)
         for k in range(window):
             sums = sums * _NOT_REPEATED + marks[k : k + n]
-    order = np.sort(sums)
-    twice = order[1:][order[1:] == order[:-1]]
-    if not len(twice):
+    order = np.argsort(sums, kind="stable")
+    same = np.flatnonzero(sums[order[1:]] == sums[order[:-1]])
+    if not len(same):
         return 0
-    starts = np.flatnonzero(np.isin(sums, twice))
+    left, right = order[same], order[same + 1]
+    equal = np.all([marks[left + k] == marks[right + k] for k in range(window)], axis=0)
+    if equal.all():
+        starts = np.unique(np.concatenate([left, right]))
+    else:  # different windows of one sum: told apart by their words
+        windows = [tuple(words[i : i + window]) for i in range(n)]
+        many = Counter(windows)
+        starts = np.array([i for i, w in enumerate(windows) if many[w] > 1], np.int64)
     edges = np.zeros(len(words) + 1, np.int64)
     np.add.at(edges, starts, 1)
     np.add.at(edges, starts + window, -1)
@@ -145,17 +154,22 @@ def fit_cells(vectors: DataFrame, keys: list[str], steps: int = 4) -> DataFrame:
     return fits
 
 
+#: Rows, of which three quarters make an estimate, that are more than its 5 means and 15 covariances.
+LEAST_IN_ALL = 28
+
+
 def fit_quality(stats: DataFrame, least_rows: int = 200, steps: int = 4) -> DataFrame:
     """Fits by language and source (``cell_lang``, ``cell_source``); needs ``cell_lang, cell_source, vector``.
 
     A cell with fewer than ``least_rows`` rows takes the fit of its language over all sources; a language with
-    fewer takes the one over everything; with fewer rows than that in all there are no fits, and nothing is rejected.
+    fewer takes the one over everything. With fewer than ``LEAST_IN_ALL`` rows in all there is no covariance to estimate, and
+    nothing is rejected.
     """
     rows = stats.select("cell_lang", "cell_source", "vector")
     cells = rows.groupBy("cell_lang", "cell_source").agg(F.count(F.lit(1)).alias("n"))
     cells = stored(cells, "quality-cells")
     langs = cells.groupBy("cell_lang").agg(F.sum("n").alias("n_lang"))
-    enough = (cells.agg(F.sum("n")).first()[0] or 0) >= least_rows
+    enough = (cells.agg(F.sum("n")).first()[0] or 0) >= LEAST_IN_ALL
     sized = stored(
         cells.join(langs, "cell_lang").select(
             "cell_lang", "cell_source",

@@ -223,19 +223,72 @@ def read_token_ids(spark: SparkSession, folder: str, manifest: DataFrame) -> Dat
     return tasks.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
 
-def lookup(folder: str, manifest: list[tuple[int, int, int]], key: int) -> list[bytes]:
-    """The raw ids of each row of one key; ``manifest`` holds ``(shard, low, high)``. Reads one entry and its ids only."""
+class _At:
+    """Numbers of a fixed layout in an open file, read one or a few at a time; ``read`` counts the bytes."""
+
+    def __init__(self, file):
+        self.file, self.read = file, 0
+
+    def numbers(self, at: int, kind: str, many: int = 1) -> list[int]:
+        kind = np.dtype(kind)
+        self.file.seek(at)
+        raw = self.file.read(kind.itemsize * many)
+        self.read += len(raw)
+        return np.frombuffer(raw, kind).tolist()
+
+
+def _rows_of(idx: _At, key: int) -> tuple[int, list[int]]:
+    """Bytes of an id, and the offsets that the rows of a key start and end at; none if the key is not there.
+
+    Reads the header and the level sizes, one word for each level until one has the key's bit, and one slot with its key.
+    """
+    idx.file.seek(0)
+    if idx.file.read(8) != MAGIC:
+        raise ValueError("not a token index")
+    width, n, nulls, keys, levels, words = idx.numbers(8, "<u8", 6)
+    offsets = 56 + 8 * n
+    sizes = offsets + 8 * (n + 1)
+    bits = sizes + 8 * levels
+    ones, own, base = bits + 8 * words, np.array([key], np.int64), 0
+    for level, size in enumerate(idx.numbers(sizes, "<u8", levels) if levels else []):
+        at = int(_hash(own, level)[0]) % (size * 64)
+        [word] = idx.numbers(bits + 8 * (base + at // 64), "<u8")
+        if word >> at % 64 & 1:
+            break
+        base += size
+    else:
+        return width, []
+    [before] = idx.numbers(ones + 8 * (base + at // 64), "<u8")
+    slot = before + (word & ((1 << at % 64) - 1)).bit_count()
+    first_at = ones + 8 * words
+    [first] = idx.numbers(first_at + 8 * slot, "<u8")
+    [many] = idx.numbers(first_at + 8 * (keys + slot), "<u8")
+    [stored] = idx.numbers(first_at + 16 * keys + 4 * slot, "<u4")
+    if stored != int(_fingerprints(own)[0]) or idx.numbers(56 + 8 * first, "<i8") != [key]:
+        return width, []
+    return width, idx.numbers(offsets + 8 * first, "<u8", many + 1)
+
+
+def lookup(folder: str, manifest: list[tuple[int, int, int]], key: int, count: list[int] | None = None) -> list[bytes]:
+    """The raw ids of each row of one key; ``manifest`` holds ``(shard, low, high)``.
+
+    Reads a few numbers of a shard's index, as many for a shard of any size but for the levels of its hash, and the ids of the key's
+    rows. ``count`` takes the bytes read of each index.
+    """
     files, base = _files(folder)
     out = []
     for shard, low, high in manifest:
         if low is None or not low <= key <= high:
             continue
-        index = Index.load(files.open_input_file(f"{base}/shard-{shard:05d}.idx").read())
-        first, many = (int(x[0]) for x in index.find(np.array([key])))
-        if many and index.keys[first] == key:
+        with files.open_input_file(f"{base}/shard-{shard:05d}.idx") as file:
+            idx = _At(file)
+            width, offsets = _rows_of(idx, key)
+            if count is not None:
+                count.append(idx.read + 8)
+        if offsets:
             with files.open_input_file(f"{base}/shard-{shard:05d}.ids") as payload:
-                for row in range(first, first + many):
-                    payload.seek(index.width * int(index.offsets[row]))
-                    out.append(index.widened(payload.read(index.width * int(index.offsets[row + 1] - index.offsets[row]))))
+                for start, end in zip(offsets, offsets[1:]):
+                    payload.seek(width * start)
+                    raw = payload.read(width * (end - start))
+                    out.append(raw if width == 4 else np.frombuffer(raw, "<u2").astype("<u4").tobytes())
     return out
-

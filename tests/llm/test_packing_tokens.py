@@ -173,3 +173,24 @@ def test_hot_length_is_dealt_over_tasks(spark):
     pieces = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(100).cast("long").alias("length"))
     rows = packing.best_fit(pieces, 2048).collect()
     assert check_packed([(r["sequence_id"], r["offset"], r["length"]) for r in rows], 2048) == 200
+
+
+def test_a_lookup_reads_a_few_numbers_only(spark, tmp_path):
+    """Every key of a small shard and of a large one, keys that are not there, and the bytes read of the index."""
+    read = {}
+    for n in (50, 20_000):
+        docs = spark.range(n).selectExpr("id * 3 - 60 AS doc_id", "concat('text ', id) AS text").coalesce(1)
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        try:
+            manifest = tokenids.write_token_ids(docs, f"{tmp_path}/{n}", BYTES)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        bounds = [(r["shard"], r["low"], r["high"]) for r in manifest.collect()]
+        counts = []
+        for i in range(0, n, max(1, n // 200)):
+            assert tokenids.lookup(f"{tmp_path}/{n}", bounds, 3 * i - 60, counts) == [ids_of(BYTES, f"text {i}") + np.array([2], "<u4").tobytes()]
+            assert tokenids.lookup(f"{tmp_path}/{n}", bounds, 3 * i - 59, counts) == []
+        read[n] = max(counts)
+        size = (tmp_path / str(n) / f"shard-{bounds[0][0]:05d}.idx").stat().st_size
+    assert size > 700_000 and read[20_000] < 600 and read[20_000] < 3 * read[50]

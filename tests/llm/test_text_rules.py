@@ -48,6 +48,26 @@ def test_statistics_of_odd_texts(text):
     assert quality._stats(text)[:5] == plain_stats(text)
 
 
+def test_windows_of_one_sum_are_told_apart(monkeypatch):
+    """With a factor of 1 a sum forgets the order of the words."""
+    words = [b"a", b"b", b"c", b"d", b"e", b"f", b"g", b"h"]
+    text = words + words[::-1] + [b"x"] * 3 + words[2:] + words[:2]
+    want = plain_stats(b" ".join(text).decode())[4]
+    assert quality._repeated(text) == want
+    monkeypatch.setattr(quality, "_NOT_REPEATED", np.uint64(1))
+    assert quality._repeated(text) == want
+    assert quality._repeated(words * 2) == 16
+
+
+def test_few_texts_are_fitted_together(spark):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(30, 5)).tolist()
+    rows = [("=en", f"=s{i % 7}", v) for i, v in enumerate(vectors)]
+    schema = "cell_lang string, cell_source string, vector array<double>"
+    assert quality.fit_quality(spark.createDataFrame(rows, schema)).count() == 7
+    assert quality.fit_quality(spark.createDataFrame(rows[:27], schema)).count() == 0
+
+
 def plain_mcd(v: np.ndarray, steps: int = 4) -> np.ndarray:
     middle = np.sort(v, 0)[(len(v) - 1) // 2]
     cov = np.diag(np.maximum(1.4826 * np.sort(abs(v - middle), 0)[(len(v) - 1) // 2], 1e-4) ** 2)
