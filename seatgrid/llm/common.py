@@ -31,10 +31,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared scratch folder and read back: cuts the lineage and survives lost executors."""
+def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back: cuts the lineage and survives lost executors.
+
+    The default makes the smallest files; others need no memory outside the heap, which counts where a job keeps many tables.
+    """
     path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

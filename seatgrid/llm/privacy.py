@@ -38,6 +38,8 @@ REMOVE_AT = 0.9
 CHANCE = 0.01
 CHUNK = 64
 BLOCK = 512
+#: Codec of the many small tables.
+SMALL = "none"
 SPAN = "struct<start:int,end:int,value:string>"
 
 
@@ -195,17 +197,17 @@ def _text() -> Column:
 def parsed_texts(rows: DataFrame) -> DataFrame:
     """``rows`` (a struct ``row`` with ``text``) with their ``base`` spans, a number and a hash of the text, stored."""
     keyed = rows.select("row", F.xxhash64(_text()).alias("key1"), F.xxhash64(F.lit(1), _text()).alias("key2"), base_spans(_text()).alias("base"))
-    return stored(keyed.withColumn("number", F.monotonically_increasing_id()), "privacy-texts")
+    return stored(keyed.withColumn("number", F.monotonically_increasing_id()), "privacy-texts", "snappy")
 
 
 def copies_of(texts: DataFrame) -> tuple[DataFrame, int]:
     """Numbers of the rows whose text another row with a smaller number has, too, and how many different texts there are."""
     light = texts.select("key1", "key2", "number")
-    groups = stored(light.groupBy("key1", "key2").agg(F.min("number").alias("least"), F.count(F.lit(1)).alias("rows")), "privacy-groups")
+    groups = stored(light.groupBy("key1", "key2").agg(F.min("number").alias("least"), F.count(F.lit(1)).alias("rows")), "privacy-groups", SMALL)
     # Only the keys of copied texts, to be broadcast where they are few; a text with very many copies is one of them.
-    copied = stored(groups.filter("rows > 1").select("key1", "key2", "least"), "privacy-copied")
+    copied = stored(groups.filter("rows > 1").select("key1", "key2", "least"), "privacy-copied", SMALL)
     copies = light.join(copied, ["key1", "key2"]).filter("number <> least").select("number")
-    return stored(copies, "privacy-copies"), groups.count()
+    return stored(copies, "privacy-copies", SMALL), groups.count()
 
 
 def disclosure(hits: Column, with_term: Column, with_entity: Column, texts: int) -> Column:
@@ -238,44 +240,44 @@ def disclosing_terms(texts: DataFrame) -> DataFrame:
     # What stands with a value of one text is any word of that text; there is nothing to tell them apart by.
     named = of_kind.union(of_value)
     entities = stored(
-        named.groupBy("level", "entity").agg(F.count(F.lit(1)).alias("with_entity")).filter((F.col("level") == "kind") | (n > 1)), "privacy-entities"
+        named.groupBy("level", "entity").agg(F.count(F.lit(1)).alias("with_entity")).filter((F.col("level") == "kind") | (n > 1)), "privacy-entities", SMALL
     )
-    named = stored(named.join(entities, ["level", "entity"]), "privacy-named")
+    named = stored(named.join(entities, ["level", "entity"]), "privacy-named", SMALL)
     spoken = holders.select("number", F.explode(_words(_blanked(_text(), F.col("base")))).alias("term"))
     pairs = named.join(spoken, "number")
     both = stored(
         pairs.groupBy("level", "entity", "term").agg(
             F.first("with_entity").alias("with_entity"), F.count(F.lit(1)).alias("hits")
         ),
-        "privacy-pairs",
+        "privacy-pairs", SMALL,
     )
     certain = math.log(max(both.count(), 1) / CHANCE)
     # A term that falls short even if all its texts held the entity is not looked for elsewhere.
-    able = stored(both.filter(evidence(hits, hits, n, many) >= certain), "privacy-able")
-    terms = stored(able.select("term").distinct(), "privacy-terms")
+    able = stored(both.filter(evidence(hits, hits, n, many) >= certain), "privacy-able", SMALL)
+    terms = stored(able.select("term").distinct(), "privacy-terms", SMALL)
     words = single.select(F.explode(_words(F.when(F.size("base") > 0, _blanked(_text(), F.col("base"))).otherwise(_text()))).alias("term"))
     # Counted before they meet the terms, so that words are not shuffled one by one, however many terms there are.
     counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("with_term")).join(terms, "term")
     told = able.join(counts, "term").filter(evidence(hits, with_term, n, many) >= certain).select(
         "level", "entity", "term", disclosure(hits, with_term, n, many).alias("disclosure")
     )
-    return stored(told.filter(F.col("disclosure") >= needed), "privacy-disclosing")
+    return stored(told.filter(F.col("disclosure") >= needed), "privacy-disclosing", SMALL)
 
 
 def _marked(texts: DataFrame, told: DataFrame) -> DataFrame:
     """``of`` (a row's number) and ``marks``, the terms to hide there with the kind of their spans."""
     label = F.when(F.col("disclosure") >= REMOVE_AT, "removed").otherwise("term")
-    kinds = stored(told.filter("level = 'kind'").groupBy("entity", "term").agg(F.max("disclosure").alias("disclosure")), "privacy-kind-terms")
+    kinds = stored(told.filter("level = 'kind'").groupBy("entity", "term").agg(F.max("disclosure").alias("disclosure")), "privacy-kind-terms", SMALL)
     holders = texts.filter(F.size("base") > 0)
     spoken = holders.select("number", F.array_distinct("base.kind").alias("kinds"), F.explode(_words(_blanked(_text(), F.col("base")))).alias("term"))
     found = spoken.join(kinds, "term").filter(F.array_contains("kinds", F.col("entity"))).select("number", "term", "disclosure")
     if told.filter("level = 'value'").first():
-        values = stored(told.filter("level = 'value'").groupBy("term").agg(F.max("disclosure").alias("disclosure")), "privacy-value-terms")
+        values = stored(told.filter("level = 'value'").groupBy("term").agg(F.max("disclosure").alias("disclosure")), "privacy-value-terms", SMALL)
         anywhere = texts.select("number", F.explode(_words(_blanked(_text(), F.col("base")))).alias("term"))
         found = found.union(anywhere.join(values, "term").select("number", "term", "disclosure"))
     worst = found.groupBy("number", "term").agg(F.max("disclosure").alias("disclosure"))
     marks = worst.groupBy("number").agg(F.map_from_entries(F.collect_list(F.struct("term", label.alias("kind")))).alias("marks"))
-    return stored(marks.withColumnRenamed("number", "of"), "privacy-marks")
+    return stored(marks.withColumnRenamed("number", "of"), "privacy-marks", SMALL)
 
 
 def _all_spans(rows: DataFrame) -> DataFrame:
