@@ -150,7 +150,8 @@ def pack_in_order(
     ``order`` names columns of ``docs`` (no ``piece``, ``start``, ``length``) that are never null and tell all its rows apart.
     Pieces of one length are placed by them, and a sequence's number is the place of its first piece in that order among the
     first pieces of all sequences. Places are worked out from lengths alone and joined to the texts, which are then
-    encoded again, so that no ids are stored or shuffled.
+    encoded again, so that no ids are stored or shuffled. A null id stays null, a null text is an empty one, repeated rows are packed
+    each (``order`` tells them apart), and an empty table gives an empty one.
     """
     cut = cut_documents(docs, tokenizer, capacity, end_id, carry=order, **options).select(*order, "piece", "length")
     placed = stored(best_fit(stored(cut, "pack-lengths"), capacity, (*order, "piece")), "pack-placed")

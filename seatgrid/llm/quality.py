@@ -226,7 +226,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """``doc_id``, the statistics, ``base_failed``, ``distance`` and ``kept`` of every row.
 
     Null and empty texts have no words and fail the plain limits. Null languages and sources are values of their own.
-    Repeated rows get equal verdicts. An empty table gives an empty table.
+    Repeated rows get equal verdicts. An empty table gives an empty table. Texts of any length are read whole, in time that grows
+    with their length but for sorting their windows.
     """
     rows = stored(
         docs.select(
