@@ -39,7 +39,7 @@ CHANCE = 0.01
 CHUNK = 64
 BLOCK = 512
 #: Codec of the many small tables.
-SMALL = "none"
+SMALL = "snappy"
 SPAN = "struct<start:int,end:int,value:string>"
 
 
@@ -264,27 +264,37 @@ def disclosing_terms(texts: DataFrame) -> DataFrame:
     return stored(told.filter(F.col("disclosure") >= needed), "privacy-disclosing", SMALL)
 
 
-def _marked(texts: DataFrame, told: DataFrame) -> DataFrame:
-    """``of`` (a row's number) and ``marks``, the terms to hide there with the kind of their spans."""
+def _all_spans(rows: DataFrame) -> DataFrame:
+    """``row``, ``text``, ``base`` (spans of the patterns) and ``spans`` (these and the method's) of every row.
+
+    Texts that hold entities and the others are marked apart: most texts are of the others, and few of these have marks, so that they
+    need not be shuffled to meet them.
+    """
+    texts = parsed_texts(rows)
+    told = disclosing_terms(texts)
     label = F.when(F.col("disclosure") >= REMOVE_AT, "removed").otherwise("term")
-    kinds = stored(told.filter("level = 'kind'").groupBy("entity", "term").agg(F.max("disclosure").alias("disclosure")), "privacy-kind-terms", SMALL)
-    holders = texts.filter(F.size("base") > 0)
-    spoken = holders.select("number", F.array_distinct("base.kind").alias("kinds"), F.explode(_words(_blanked(_text(), F.col("base")))).alias("term"))
-    found = spoken.join(kinds, "term").filter(F.array_contains("kinds", F.col("entity"))).select("number", "term", "disclosure")
-    if told.filter("level = 'value'").first():
-        values = stored(told.filter("level = 'value'").groupBy("term").agg(F.max("disclosure").alias("disclosure")), "privacy-value-terms", SMALL)
-        anywhere = texts.select("number", F.explode(_words(_blanked(_text(), F.col("base")))).alias("term"))
-        found = found.union(anywhere.join(values, "term").select("number", "term", "disclosure"))
-    worst = found.groupBy("number", "term").agg(F.max("disclosure").alias("disclosure"))
-    marks = worst.groupBy("number").agg(F.map_from_entries(F.collect_list(F.struct("term", label.alias("kind")))).alias("marks"))
-    return stored(marks.withColumnRenamed("number", "of"), "privacy-marks", SMALL)
 
+    def worst(level: str, *keys: str) -> DataFrame:
+        return stored(told.filter(F.col("level") == level).groupBy(*keys).agg(F.max("disclosure").alias("disclosure")), f"privacy-{level}-terms", SMALL)
 
-def _all_spans(rows: DataFrame) -> DataFrame:
-    """``row``, ``text``, ``base`` (spans of the patterns) and ``spans`` (these and the method's) of every row."""
-    texts = parsed_texts(rows)
-    marks = _marked(texts, disclosing_terms(texts))
-    joined = texts.join(marks, F.col("number") == F.col("of"), "left").select("row", _text().alias("text"), "base", "marks")
+    def marks(found: DataFrame, name: str) -> DataFrame:
+        each = found.groupBy("number", "term").agg(F.max("disclosure").alias("disclosure"))
+        each = each.groupBy(F.col("number").alias("of")).agg(F.map_from_entries(F.collect_list(F.struct("term", label.alias("kind")))).alias("marks"))
+        return stored(each, f"privacy-marks-{name}", SMALL)
+
+    holders, others = texts.filter(F.size("base") > 0), texts.filter(F.size("base") == 0)
+    spoken = holders.select("number", F.array_distinct("base.kind").alias("kinds"), F.explode(_words(_blanked(_text(), F.col("base")))).alias("term"))
+    found = spoken.join(worst("kind", "entity", "term"), "term").filter(F.array_contains("kinds", F.col("entity"))).select("number", "term", "disclosure")
+    unmarked = F.lit(None).cast("map<string,string>").alias("marks")
+    if told.filter("level = 'value'").first():
+        values = worst("value", "term")
+        found = found.union(spoken.join(values, "term").select("number", "term", "disclosure"))
+        elsewhere = others.select("number", F.explode(_words(_text())).alias("term")).join(values, "term").select("number", "term", "disclosure")
+        others = others.join(marks(elsewhere, "others"), F.col("number") == F.col("of"), "left").select("row", "base", "marks")
+    else:
+        others = others.select("row", "base", unmarked)
+    holders = holders.join(marks(found, "holders"), F.col("number") == F.col("of"), "left").select("row", "base", "marks")
+    joined = holders.union(others).select("row", _text().alias("text"), "base", "marks")
     words = F.transform(matches(_blanked(F.col("text"), F.col("base")), WORD), lambda m: F.struct(
         m["start"].alias("start"), F.lit(len(KINDS)).alias("order"), m["end"].alias("end"), F.element_at("marks", F.lower(m["value"])).alias("kind"),
         F.lit("").alias("value"),
