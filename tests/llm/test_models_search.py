@@ -39,7 +39,7 @@ def test_languages_of_edge_rows(spark, edge_docs, no_docs):
     assert languages.fit_languages(no_docs) is None
     assert {r[0] for r in edge_docs.select(languages.predict_language(F.col("text"), None)["lang_pred"]).collect()} == {"und"}
     one = languages.fit_languages(edge_docs.filter("lang = 'xx'"))
-    assert edge_docs.select(languages.predict_language(F.col("text"), one)["lang_pred"].alias("l")).filter("l = 'xx'").count() == 9
+    assert edge_docs.select(languages.predict_language(F.col("text"), one)["lang_pred"].alias("l")).filter("l = 'xx'").count() == 12
 
 
 def test_sample_takes_a_copied_text_once(spark):
