@@ -30,6 +30,7 @@ from seatgrid.session import ensure_scratch, scratch_path
 from seatgrid.sources.collections import clean_load, copy_json, read_json_collection
 from seatgrid.sources.discovery import discover_meta, discover_schema
 from seatgrid.sources.sinks import event_slice, read_split, run_path, split_by_event, write_csv, write_parquet_run
+from seatgrid.sources.tables import write_json_lines
 
 
 def section(number, price=10.0):
@@ -112,6 +113,26 @@ def test_copy_json_keeps_every_field_and_bad_lines(spark, tmp_path):
     assert bad == lines[1:4] and json.loads(last) == lines[4]
 
 
+def test_scratch_text_is_packed(spark, tmp_path):
+    """Broken and mistyped lines, a copy and a CSV export, in gzip files with the same lines as plain ones."""
+    df = spark.range(5000).selectExpr("id % 7 AS current_timestamp", "id AS eventId", "IF(id % 3 = 0, 'x', NULL) AS name")
+    sizes = {}
+    for packed in (False, True):
+        folder = tmp_path / str(packed)
+        write_json_lines(df, str(folder / "lines"), broken=F.col("eventId") % 97 == 3, mistyped=F.col("eventId") % 89 == 4)
+        copy_json(spark, str(folder / "lines"), str(folder / "copy"), packed=packed)
+        write_csv(df, str(folder / "csv"), header=True, packed=packed)
+        assert all(path.name.endswith(".gz") for path in (folder / "lines").glob("part-*"))
+        for name in ("copy", "csv"):
+            assert all(path.name.endswith(".gz") == packed for path in (folder / name).glob("part-*"))
+            sizes[name, packed] = sum(path.stat().st_size for path in (folder / name).glob("part-*"))
+    for name in ("lines", "copy"):
+        assert sorted(spark.read.text(str(tmp_path / "True" / name)).collect()) == sorted(spark.read.text(str(tmp_path / "False" / name)).collect())
+    read = [spark.read.option("header", True).csv(str(tmp_path / str(packed) / "csv")) for packed in (False, True)]
+    assert read[0].count() == 5000 and sorted(map(str, read[0].collect())) == sorted(map(str, read[1].collect()))
+    assert all(sizes[name, True] < sizes[name, False] for name in ("copy", "csv"))
+
+
 def pruned(value):
     if isinstance(value, dict):
         return {k: pruned(v) for k, v in value.items() if v is not None}
