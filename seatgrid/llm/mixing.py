@@ -5,24 +5,27 @@ block k (from 0) is released at slot floor(k / w) and due by slot ceil((k + 1) /
 due first. Shares add up to one, so all deadlines are met, and until a source ends it is less than one block away from its
 share after any number of slots.
 
-The schedule is worked out over blocks, not rows: one count for each stream goes in, and at most ``most_blocks`` (and one for every
-stream) come out, since blocks grow with the input. Rows read their slots off that table, whose size is thereby bounded, and
-everything that touches rows is a DataFrame expression. The ``named`` largest sources are streams; where there are more, the others
+The schedule is worked out over blocks, not rows: one count for each stream goes in, and it is stored by and by as it comes out, so
+that the driver holds one piece of it however many rows there are, and blocks have the same size on every input. Rows read their
+slots off that table, and everything that touches rows is a DataFrame expression. The ``named`` largest sources are streams; where there are more, the others
 share one stream of their joint weight, in which each row has a deadline of its own by its source's weight.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from fractions import Fraction
+from itertools import islice
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatgrid.llm.common import ranked, stored
+from seatgrid.llm.common import ranked, scratch, stored
 
 REST = "<rest>"
 NULL = "<null>"
+PIECE = 200_000  # blocks of a schedule held at once
 
 
 def schedule(weights: dict[str, float | Fraction], blocks: dict[str, int]) -> list[tuple[str, int, int]]:
@@ -30,13 +33,18 @@ def schedule(weights: dict[str, float | Fraction], blocks: dict[str, int]) -> li
 
     Streams in ``weights`` without blocks leave their slots empty, as do streams that have ended.
     """
+    return list(slots(weights, blocks))
+
+
+def slots(weights: dict[str, float | Fraction], blocks: dict[str, int]) -> Iterator[tuple[str, int, int]]:
+    """:func:`schedule`, one block after the other; its state is one entry for each stream."""
     exact = {s: Fraction(w) for s, w in weights.items() if w > 0}
     total = sum(exact.values())
     steps = {s: total / w for s, w in exact.items()}  # slots per block
     waiting = [(0, s, 0) for s in steps if blocks.get(s, 0)]
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
-    out, slot = [], 0
+    slot = 0
 
     def deadline(stream: str, block: int) -> int:
         step = steps[stream]
@@ -49,11 +57,22 @@ def schedule(weights: dict[str, float | Fraction], blocks: dict[str, int]) -> li
             _, stream, block = heapq.heappop(waiting)
             heapq.heappush(ready, (deadline(stream, block), stream, block))
         _, stream, block = heapq.heappop(ready)
-        out.append((stream, block, slot))
+        yield stream, block, slot
         if block + 1 < blocks[stream]:
             heapq.heappush(waiting, ((block + 1) * steps[stream].numerator // steps[stream].denominator, stream, block + 1))
         slot += 1
-    return out
+
+
+def _stored_schedule(spark: SparkSession, weights: dict[str, float | Fraction], blocks: dict[str, int], piece: int = PIECE) -> DataFrame:
+    """The schedule as a table, written piece by piece."""
+    path, schema = scratch(spark, "mix-plan"), "_stream string, _block long, _slot long"
+    coming = slots(weights, blocks)
+    part = list(islice(coming, piece))
+    while True:
+        spark.createDataFrame(part, schema).write.mode("append").parquet(path)
+        part = list(islice(coming, piece))
+        if not part:
+            return spark.read.schema(schema).parquet(path)
 
 
 def _with_streams(rows: DataFrame, listed: DataFrame | None) -> DataFrame:
@@ -72,7 +91,7 @@ def _by_deadline(rest: DataFrame, counts: DataFrame, temperature: float) -> Data
 
 
 def mix(
-    docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = 16, most_blocks: int = 200_000, named: int = 10_000,
+    docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = 16, most_blocks: int | None = None, named: int = 10_000,
     temperature: float = 1.0, seed: int = 7, carry: bool = False,
 ) -> DataFrame:
     """Every row once: ``doc_id, source, stream, block, slot, place``; the mix is the order of ``slot, place``.
@@ -80,7 +99,7 @@ def mix(
     ``weights`` maps sources to any positive numbers; the others share one stream, ``<rest>``, of its weight there, or of a
     thousandth of the sum. Without it weights are row counts to the power ``temperature`` (1: as found, so that all streams end
     together; 0: all equal), and sources beyond the ``named`` largest share a stream of their joint weight, each at its own pace in it.
-    A block has ``block_rows`` rows, or as many as leave ``most_blocks`` blocks. When a stream has no rows left its slots stay empty
+    A block has ``block_rows`` rows, or, if ``most_blocks`` is given, as many as leave that many blocks. When a stream has no rows left its slots stay empty
     and the others keep their turns.
 
     Null sources are a source of their own (``<null>``). Rows with equal ids, repeated ones and null ids too, follow each other in any
@@ -111,17 +130,12 @@ def mix(
     if sums["rows"]:
         rest = _by_deadline(rows.filter(F.col("stream") == REST), others, temperature)
         rows = rows.filter(F.col("stream") != REST).unionByName(rest)
-    block_rows = max(block_rows, -(-sum(most.values()) // most_blocks))
+    if most_blocks is not None:
+        block_rows = max(block_rows, -(-sum(most.values()) // most_blocks))
     rows = ranked(rows, ["stream"], ["_due", "_draw", "doc_id"], "mix-ranked", "_rank")
-    plan = stored(
-        docs.sparkSession.createDataFrame(
-            schedule(shares, {s: -(-n // block_rows) for s, n in most.items()}), "_stream string, _block long, _slot long"
-        ),
-        "mix-plan",
-    )
+    plan = _stored_schedule(docs.sparkSession, shares, {s: -(-n // block_rows) for s, n in most.items()})
     rows = rows.withColumn("block", F.floor(F.col("_rank") / F.lit(block_rows)).cast("long"))
-    # At most ``most_blocks`` rows, and one for every stream.
-    rows = rows.join(F.broadcast(plan), (F.col("stream") == F.col("_stream")) & (F.col("block") == F.col("_block")))
+    rows = rows.join(plan, (F.col("stream") == F.col("_stream")) & (F.col("block") == F.col("_block")))
     return rows.select(
         "doc_id", "source", "stream", "block", F.col("_slot").alias("slot"), (F.col("_rank") % block_rows).cast("int").alias("place"),
         *(["row"] if carry else []),

@@ -414,6 +414,14 @@ def test_sources_that_share_a_stream_keep_their_pace(spark):
     assert len({r["slot"] for r in few}) <= 90 + 45 and max(r["place"] for r in few) == 99
 
 
+def test_blocks_have_the_same_size_on_every_input(spark):
+    """Over 200,000 blocks of one row, a schedule stored in several pieces: no block grows, and slots are those of the whole schedule."""
+    docs = spark.range(210_000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'a', 'b') AS source")
+    rows = mixing.mix(docs, {"a": 1.0, "b": 2.0}, block_rows=1).select("stream", "block", "slot", "place").collect()
+    assert len(rows) == 210_000 and max(r["place"] for r in rows) == 0
+    assert {(r["stream"], r["block"], r["slot"]) for r in rows} == set(mixing.schedule({"a": 1.0, "b": 2.0}, {"a": 70_000, "b": 140_000}))
+
+
 def test_op2_mixes_every_document_once(spark, documents):
     rows = queries.op2_pfair_mixing(spark, SF_DIR).collect()
     assert sorted(r["doc_id"] for r in rows) == [d[0] for d in documents]
