@@ -54,12 +54,16 @@ def home_away_teams(meta: DataFrame) -> DataFrame:
         home_found(collection, has_role).alias("home_found"),
         away_found(collection, has_role).alias("away_found"),
     )
+    picks = F.struct(
+        home_pick(F.col("home_found"), F.col("event.performers")).alias("home"),
+        away_pick(F.col("away_found"), collection, F.col("event.originalName")).alias("away"),
+    )
+    # A row of its own for the picks: a condition on team columns then reads them and does not work out the rules again.
     picked = found.select(
         "timestamp", "current_date", F.col("event.id").alias("id"),
         F.col("event.eventDateUTC").alias("event_date_utc"),
         F.col("event.eventDateLocal").alias("event_date_local"),
-        home_pick(F.col("home_found"), F.col("event.performers")).alias("home"),
-        away_pick(F.col("away_found"), collection, F.col("event.originalName")).alias("away"),
+        F.inline(F.array(picks)),
     )
     home, away = F.col("home"), F.col("away")
     return picked.select(

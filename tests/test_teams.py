@@ -7,6 +7,7 @@ import random
 import pytest
 
 from seatgrid.operators.events import consolidate_events, home_away_teams, resolve_events
+from seatgrid.operators.quality import require_all_columns
 from seatgrid.schemas import EVENTS, PERFORMERS
 
 H, A = "HOME_TEAM", "AWAY_TEAM"
@@ -156,3 +157,13 @@ def test_strict_mode_raises_on_an_unreadable_date(spark):
     assert resolve_events(meta).first().DayofWeek is None
     with pytest.raises(Exception, match="not an ISO-8601 date-time: Nov 9"):
         resolve_events(meta, strict=True).collect()
+
+
+def test_conditions_do_not_work_out_the_team_rules_again(spark):
+    """Filters on the resolved columns lie above the picks, whose lambdas stand in the plan as often as without any filter."""
+    rows = spark.createDataFrame([], META)
+    teams = home_away_teams(rows)
+    counts = [
+        frame._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction") for frame in (teams, require_all_columns(teams))
+    ]
+    assert counts[0] == counts[1] > 0
