@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seatgrid.operators.events import latest_event_date
-from seatgrid.operators.joins import add_joined_key, hot_keys, join_all, join_event_meta, join_team_day, prefixed
+from seatgrid.operators.joins import add_joined_key, hot_key_table, hot_keys, join_all, join_event_meta, join_team_day, prefixed
 from seatgrid.operators.ordering import order_listings, top_listings
 from seatgrid.operators.performance import dedup_team_day, prepare_performance
 from seatgrid.operators.sections import explode_sections
@@ -68,6 +68,20 @@ def test_only_hot_keys_are_copied(spark, hot):
     assert copies.count() == 3000 + 6 * sum(1 for key in hot if key < 3000)
 
 
+def test_hot_keys_may_be_a_table(spark):
+    """Half of many keys are hot, and one of them is null on the right and none on the left; no list of them enters the plan."""
+    left = spark.range(9000).selectExpr("id AS timestamp", "IF(id % 10 = 0, NULL, id % 4000) AS eventId")
+    right = spark.range(5000).selectExpr("IF(id = 4999, NULL, id) AS id", "concat('d', id) AS event_date")
+    hot = hot_key_table(left, "eventId", 2.5 / 9000)
+    assert sorted(row[0] for row in hot.collect()) == hot_keys(left, "eventId", 2.5 / 9000) != []
+    for how in ("inner", "left_outer"):
+        joined = join_event_meta(left, right, how, salt=7, hot=hot)
+        assert rows(joined) == rows(join_event_meta(left, right, how, salt=1))
+        assert joined.columns == ["timestamp", "eventId", "event_date"]
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert "explode" in plan and "INSET" not in plan and " IN (" not in plan
+
+
 def test_hot_events_and_team_days_of_an_inventory(spark):
     """One event has a third of the snapshots; a team's day is hot through many events that are not."""
     day = 1_510_250_000_000
@@ -80,6 +94,14 @@ def test_hot_events_and_team_days_of_an_inventory(spark):
     assert (found.events, found.team_days) == ([1], ["Home#2017#11#9"])
     nothing = jobs.hot_listing_keys(snapshots.limit(0), events)
     assert (nothing.events, nothing.team_days) == ([], [])
+    tables = jobs.hot_listing_keys(snapshots, events, tables=True)
+    assert ([row[0] for row in tables.events.collect()], [row[0] for row in tables.team_days.collect()]) == ([1], ["Home#2017#11#9"])
+
+
+def test_counts_go_to_events_that_are_sent_out_once(spark):
+    """Counts per event and section hold no hot event, and so the events are not copied for them."""
+    basis = jobs.label_basis(inventory(spark, SF_DIR), QUERIES["resolve_events"](spark, SF_DIR))
+    assert "_right_salt" not in basis._jdf.queryExecution().analyzed().toString()
 
 
 SKEW_SETTINGS = {
