@@ -97,6 +97,7 @@ def label_counts(df: DataFrame, columns: Sequence[str]) -> list[int]:
 
 
 UNSEEN = ("skip", "keep", "error")
+FEW_LABELS = 100_000
 
 
 @dataclass
@@ -112,16 +113,25 @@ class FittedEncoder:
     sizes: list[int]
     unseen: str = "skip"
 
-    def attach(self, df: DataFrame, columns: Sequence[str] | None = None, salt: int = SALT) -> DataFrame:
+    def few_labels(self, columns: Sequence[str]) -> bool:
+        """Whether the labels of each of the columns can go to every task, with rows staying where they are."""
+        return all(self.sizes[self.columns.index(name)] <= FEW_LABELS for name in columns)
+
+    def attach(
+        self, df: DataFrame, columns: Sequence[str] | None = None, salt: int = SALT, in_place: bool = False
+    ) -> DataFrame:
         """Adds ``<column>_indexed`` for some of the columns, null for a value without a label; keeps every row.
 
         A column may get its index in a frame where it is constant over many later rows, and :meth:`settle` the rule at the end.
+        ``in_place`` keeps the rows in their partitions, for columns with :meth:`few_labels`.
         """
         result = df
         for name in self.columns if columns is None else columns:
             lookup = self.labels.filter(F.col("position") == self.columns.index(name)).select(
                 F.col("label").alias("_label"), F.col("label_index").alias(_indexed(name))
             )
+            if in_place:
+                lookup, salt = F.broadcast(lookup), 1
             valued = result.withColumn("_value", F.col(name).cast("string"))
             result = keyed_join(valued, lookup, "_value", "_label", "left_outer", salt).drop("_value", "_label")
         return result

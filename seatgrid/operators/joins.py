@@ -40,21 +40,26 @@ def _content_hash(df: DataFrame) -> Column:
     return F.xxhash64(*(telling or [field.name for field in df.schema if not isinstance(field.dataType, nested)]))
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, weight: Column | None = None) -> list:
+def hot_keys(
+    df: DataFrame, key: str, share: float = HOT_SHARE, weight: Column | None = None, total: int | None = None
+) -> list:
     """The values of ``key`` that hold more than ``share`` of all rows: fewer than 1 / ``share``, and no null, which joins nothing.
 
     Rows are counted by key before they are shuffled; a row may stand for ``weight`` rows. Best over a stored frame, of which only
-    the key is read.
+    the key is read. The share is of ``total`` rows where ``df`` is but a part of them.
     """
-    return sorted(row[0] for row in hot_key_table(df, key, share, weight).collect())
+    return sorted(row[0] for row in hot_key_table(df, key, share, weight, total).collect())
 
 
-def hot_key_table(df: DataFrame, key: str, share: float = HOT_SHARE, weight: Column | None = None) -> DataFrame:
+def hot_key_table(
+    df: DataFrame, key: str, share: float = HOT_SHARE, weight: Column | None = None, total: int | None = None
+) -> DataFrame:
     """:func:`hot_keys` as a table with the one column ``hot_key``, for shares so small that there may be very many."""
     if not 0 < share < 1:
         raise ValueError("the share of a hot key is between 0 and 1")
     rows = (F.lit(1) if weight is None else weight).cast("bigint")
-    total = df.agg(F.sum(rows)).first()[0] or 0
+    if total is None:
+        total = df.agg(F.sum(rows)).first()[0] or 0
     counts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("hot_key")).agg(F.sum(rows).alias("_rows"))
     return counts.filter(F.col("_rows") > share * total).select("hot_key")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,27 @@ def order_listings(df: DataFrame) -> DataFrame:
     return _descending(df, LISTING_ORDER)
 
 
+def range_snapshots(snapshots: DataFrame, hot: Sequence) -> DataFrame:
+    """Timed snapshots in partitions that follow each other in listing order, their sections still nested.
+
+    A snapshot is shuffled once, not once a section. An event lies whole in one partition; only the sections of the events ``hot``,
+    which are known to hold many rows, go out one by one, on the whole key. Flatten the sections, then :func:`sort_ranges`.
+    """
+    ranges = [F.col("eventId")]
+    if hot:
+        is_hot = F.col("eventId").isin(*hot)
+        single = F.transform("section_stats", lambda section: F.array(section))
+        snapshots = snapshots.withColumn("section_stats", F.explode(F.when(is_hot, single).otherwise(F.array("section_stats"))))
+        section = F.get("section_stats", F.lit(0))["sectionId"]
+        ranges += [F.when(is_hot, key) for key in (section, F.col("Time_to_event"))]
+    return snapshots.repartitionByRange(*[key.desc_nulls_last() for key in ranges])
+
+
+def sort_ranges(df: DataFrame) -> DataFrame:
+    """:func:`order_listings` of rows that :func:`range_snapshots` has laid out; nothing is shuffled."""
+    return df.sortWithinPartitions(*[F.col(name).desc_nulls_last() for name in LISTING_ORDER])
+
+
 def order_price_curve(df: DataFrame) -> DataFrame:
     """By event, then days to it, both descending."""
     return _descending(df, CURVE_ORDER)

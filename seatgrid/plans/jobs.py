@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatgrid.functions.times import days_difference
@@ -25,13 +25,13 @@ from seatgrid.operators.joins import (
     join_event_meta,
     keyed_join,
 )
-from seatgrid.operators.ordering import order_listings, order_price_curve, with_time_to_event
+from seatgrid.operators.ordering import order_listings, order_price_curve, range_snapshots, sort_ranges, with_time_to_event
 from seatgrid.operators.performance import KEY as PERFORMANCE_KEY
 from seatgrid.operators.performance import prepare_performance
 from seatgrid.operators.quality import Watched, join_coverage, load_loss_report, require_all_columns, watched_coverage
 from seatgrid.operators.sections import SECTION_COLUMNS, flatten_sections, keep_section_fields, snapshot_rows
 from seatgrid.schemas import INVENTORY, META
-from seatgrid.session import PACKED_TABLE, scratch_path
+from seatgrid.session import PACKED_TABLE, freed_shuffles, scratch_path
 from seatgrid.sources.collections import clean_load, read_json_collection, read_parquet_collection
 from seatgrid.sources.discovery import discover_meta, discover_performance
 from seatgrid.sources.sinks import split_by_event, write_csv, write_parquet_run
@@ -68,11 +68,14 @@ def _price_curve(joined: DataFrame) -> DataFrame:
     )
 
 
+def _utc_day() -> Column:
+    return F.floor(F.substring(F.col("timestamp").cast("string"), 1, 10).cast("bigint") / 86400)
+
+
 def _by_event_and_day(snapshots: DataFrame, *keys: str) -> DataFrame:
     """Rows counted by event, UTC day and ``keys``, with their ``weight`` and one ``timestamp`` of the day."""
     # Any instant of a day gives the same team-day key, so the first stands for all.
-    day = F.floor(F.substring(F.col("timestamp").cast("string"), 1, 10).cast("bigint") / 86400)
-    counts = snapshots.groupBy("eventId", *keys, day.alias("_day")).agg(
+    counts = snapshots.groupBy("eventId", *keys, _utc_day().alias("_day")).agg(
         F.count(F.lit(1)).alias("weight"), F.min("timestamp").alias("timestamp")
     )
     return counts.drop("_day")
@@ -84,19 +87,28 @@ def hot_listing_keys(
     """The events and the team days that hold more than ``share`` of the snapshots, from counts per event and day.
 
     ``inventory`` is best a stored frame; the counts are kept under ``stage``. With ``tables`` the keys are kept there, too, and given
-    as tables, for a share that very many keys may hold.
+    as tables, for a share that very many keys may hold. Without it, days are counted only where a whole day, of which a team's is a
+    part, holds that share.
     """
     stage = stage or scratch_path(inventory.sparkSession, "structure")
-    counts = _staged(_by_event_and_day(snapshot_rows(inventory)), f"{stage}/event_days")
-    # One row per event and day: no event is hot among the counts, so nothing is spread.
-    keyed = add_joined_key(join_event_meta(counts, events.select("id", "Home_Team_Name"), salt=1))
-    weight = F.col("weight")
+    snapshots, homes, weight = snapshot_rows(inventory), events.select("id", "Home_Team_Name"), F.col("weight")
+    # One row per event (and day): no event is hot among the counts, so nothing is spread.
     if tables:
+        counts = _staged(_by_event_and_day(snapshots), f"{stage}/event_days")
+        keyed = add_joined_key(join_event_meta(counts, homes, salt=1))
         return HotKeys(
             _staged(hot_key_table(counts, "eventId", share, weight), f"{stage}/hot_events"),
             _staged(hot_key_table(keyed, JOINED_KEY, share, weight), f"{stage}/hot_team_days"),
         )
-    return HotKeys(hot_keys(counts, "eventId", share, weight), hot_keys(keyed, JOINED_KEY, share, weight))
+    counts = _staged(snapshots.groupBy("eventId").agg(F.count(F.lit(1)).alias("weight")), f"{stage}/event_counts")
+    hot_events = hot_keys(counts, "eventId", share, weight)
+    matched = join_event_meta(counts, homes, salt=1).agg(F.sum(weight)).first()[0] or 0
+    days = hot_keys(snapshots.select(_utc_day().alias("_day")), "_day", share, total=matched)
+    if not days:
+        return HotKeys(hot_events, [])
+    counted = _by_event_and_day(snapshots.filter(_utc_day().isin(*days)))
+    keyed = add_joined_key(join_event_meta(counted, homes, salt=1))
+    return HotKeys(hot_events, hot_keys(keyed, JOINED_KEY, share, weight, matched))
 
 
 def join_listings(inventory: DataFrame, events: DataFrame, performance: DataFrame, strict: bool = False,
@@ -105,12 +117,22 @@ def join_listings(inventory: DataFrame, events: DataFrame, performance: DataFram
 
     Both joins and all features work on snapshots; the sections are flattened out at the end.
     """
+    return _flattened(*_joined_snapshots(inventory, events, performance, strict, salt, hot))
+
+
+def _joined_snapshots(inventory: DataFrame, events: DataFrame, performance: DataFrame, strict: bool, salt: int,
+                      hot: HotKeys) -> tuple[DataFrame, list[str]]:
+    """Snapshots with all features, and the names of the columns they have got."""
     snapshots = snapshot_rows(inventory)
     joined = with_time_to_event(join_all(snapshots, events, performance, salt, hot), strict)
     reserved = set(SECTION_COLUMNS.values()) & set(joined.columns)
     if reserved:
         raise ValueError(f"columns named like section columns: {', '.join(sorted(reserved))}")
-    return flatten_sections(joined, carry=[name for name in joined.columns if name not in snapshots.columns])
+    return joined, [name for name in joined.columns if name not in snapshots.columns]
+
+
+def _flattened(joined: DataFrame, features: Sequence[str]) -> DataFrame:
+    return flatten_sections(joined, carry=features)
 
 
 def listing_coverage(inventory: DataFrame, events: DataFrame, performance: DataFrame, salt: int = SALT) -> DataFrame:
@@ -183,13 +205,22 @@ def structure_prepared(
         own = [column for column in columns if column in side.columns]
         return _staged(encoder.attach(side, own, salt), f"{stage}/{name}_indexed") if own else side
 
-    listings = join_listings(inventory, indexed(events, "events"), indexed(performance, "team_days"), strict, salt, hot)
+    joined, features = _joined_snapshots(
+        inventory, indexed(events, "events"), indexed(performance, "team_days"), strict, salt, hot
+    )
     indexes = [f"{column}_indexed" for column in columns]
-    rest = [column for column, index in zip(columns, indexes) if index not in listings.columns]
+    rest = [column for column, index in zip(columns, indexes) if index not in features]
+    # Where the hot events are listed, the sort shuffles snapshots; the indexes of sections then come without another shuffle.
+    nested = ordered and hot.events is not None and not isinstance(hot.events, DataFrame) and encoder.few_labels(rest)
+    if nested:
+        # Stored, so that the joins run once and their shuffles are gone when the rows are laid out.
+        joined = range_snapshots(_staged(joined.filter(F.size("section_stats") > 0), f"{stage}/joined"), hot.events)
+    listings = _flattened(joined, features)
     plain = [name for name in listings.columns if name not in indexes]
-    rows = encoder.attach(listings, rest, salt).select(*plain, *indexes)
+    rows = encoder.attach(listings, rest, salt, in_place=nested).select(*plain, *indexes)
     # The sort comes after the last join; encoding then adds columns row by row and keeps the order.
-    rows = order_listings(rows) if ordered else rows
+    if ordered:
+        rows = sort_ranges(rows) if nested else order_listings(rows)
     if coverage is not None:
         rows = coverage.over(rows)
     return encode_indexed(encoder.settle(rows), columns, include_dense, vectors)
@@ -201,7 +232,8 @@ def structure_all(
     """The full table: listings with team, calendar, performance and time features, one-hot encoded.
 
     Events and team days are computed once and kept under ``stage``, a shared folder, by default in the session's: both
-    the fit of the labels and the listings read them. Fitting the labels runs jobs; the rest is one lazy plan.
+    the fit of the labels and the listings read them. Fitting the labels runs jobs, and so do the joins where a listing order is asked
+    for; the rest is one lazy plan.
     """
     stage = stage or scratch_path(inventory.sparkSession, "structure")
     events, team_days = stored_parts(meta, performance, options.get("strict", False), stage)
@@ -252,6 +284,18 @@ def run_structure_all(
     Events and team days with more than ``hot_share`` of the snapshots are spread over tasks in the joins; None spreads all.
     """
     stage = stage or scratch_path(spark, "structure")
+    with freed_shuffles(spark):
+        return _run_structure_all(
+            spark, inventory_path, meta_path, performance_path, performance_schema, base, label, ts, split_path, split_format,
+            split_buckets, stage, hot_share, options,
+        )
+
+
+def _run_structure_all(
+    spark: SparkSession, inventory_path: str, meta_path: str, performance_path: str, performance_schema: str | None, base: str,
+    label: str, ts: datetime | None, split_path: str | None, split_format: str, split_buckets: int | None, stage: str,
+    hot_share: float | None, options: dict,
+) -> StructuredRun:
     sources = {
         "inventory": (inventory_path, INVENTORY),
         "meta": (meta_path, META if performance_schema is not None else discover_meta(spark, meta_path)),
@@ -301,7 +345,8 @@ def run_price_through_time(
 
 
 def _staged(df: DataFrame, path: str) -> DataFrame:
-    df.write.options(**PACKED_TABLE).parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.options(**PACKED_TABLE).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from seatgrid.operators.events import latest_event_date
 from seatgrid.operators.joins import add_joined_key, hot_key_table, hot_keys, join_all, join_event_meta, join_team_day, prefixed
-from seatgrid.operators.ordering import order_listings, top_listings
+from seatgrid.operators.ordering import order_listings, range_snapshots, sort_ranges, top_listings
 from seatgrid.operators.performance import dedup_team_day, prepare_performance
-from seatgrid.operators.sections import explode_sections
+from seatgrid.operators.sections import explode_sections, flatten_sections
 from seatgrid.operators.encoding import label_frequencies
 from seatgrid.operators.quality import join_coverage, require_columns
 from seatgrid.plans import jobs
@@ -237,6 +237,59 @@ def test_structured_table_order_and_invariants(spark):
     assert len(got[0].cat_features) == sum(widths)
 
 
+@pytest.mark.parametrize("hot", [[], [1], [1, 2003]])
+def test_snapshots_in_ranges_give_the_listing_order(spark, hot):
+    """One event has half of the rows; times and section ids are null in places, section lists empty, null or with a null in them."""
+    snapshots = spark.range(6000).selectExpr(
+        "id AS timestamp", "IF(id % 2 = 0, 1, id) AS eventId", "1L AS totalStadiumListings", "1L AS totalStadiumTickets",
+        """CASE WHEN id % 11 = 0 THEN NULL WHEN id % 13 = 0 THEN filter(array(named_struct('sectionId', id, 'price', 0.5D)), s -> false)
+            ELSE array(named_struct('sectionId', IF(id % 7 = 0, NULL, id % 40), 'price', id * 1D), named_struct('sectionId', id % 9, 'price', 0D),
+                       IF(id % 17 = 0, NULL, named_struct('sectionId', id % 9, 'price', 2D))) END AS section_stats""",
+        "IF(id % 5 = 0, NULL, cast(id * 7919 % 1000 AS double)) AS Time_to_event",
+    )
+
+    def flat(df):
+        return flatten_sections(df, carry=["Time_to_event"], fields=["sectionId"])
+
+    ranged = range_snapshots(snapshots, hot)
+    got = [tuple(row) for row in sort_ranges(flat(ranged)).select("eventId", "sectionId", "Time_to_event", "timestamp").collect()]
+    assert in_order([row[:3] for row in got])
+    assert sorted(map(str, got)) == sorted(str(tuple(row)) for row in flat(snapshots).select("eventId", "sectionId", "Time_to_event", "timestamp").collect())
+    sent = ranged.count()
+    assert sent == 6000 if not hot else sent > 6000  # a snapshot goes out once, but for the hot events
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        places = ranged.filter("eventId = 1").select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert places > 1 if hot else places == 1
+
+
+def test_the_ordered_table_shuffles_snapshots_once(spark, tmp_path):
+    """Every shuffle of the last plan carries nested sections, and the rows are those of the plan without order."""
+    parts = inventory(spark, SF_DIR), meta(spark, SF_DIR), performance(spark, SF_DIR)
+    ordered = structure_all(*parts, stage=str(tmp_path / "ordered")).drop("cat_features")
+    plan = ordered._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and "Sort [" in plan and "], true" not in plan
+    assert plan.index("Generate explode") < plan.index("RepartitionByExpression")
+    unordered = structure_all(*parts, stage=str(tmp_path / "unordered"), ordered=False).drop("cat_features")
+    assert sorted(map(str, ordered.collect())) == sorted(map(str, unordered.collect()))
+
+
+def test_team_days_are_counted_on_days_that_can_hold_hot_ones(spark, tmp_path):
+    """Matched snapshots are a twentieth of all; a day that holds one in a hundred of those is looked at, the others are not."""
+    day = 1_510_250_000_000
+    snapshots = spark.range(20_000).selectExpr(
+        f"{day}L + IF(id < 11, 0, id) * {DAY}L AS current_timestamp", "id AS eventId",
+        "1L AS totalListings", "1L AS totalTickets", "array(named_struct('sectionId', id)) AS section_stats",
+    )
+    events = spark.range(1000).selectExpr("id", "'Home' AS Home_Team_Name")
+    found = jobs.hot_listing_keys(snapshots, events, stage=str(tmp_path / "stage"))
+    assert (found.events, found.team_days) == ([], ["Home#2017#11#9"])
+    assert not (tmp_path / "stage" / "event_days").exists()
+    assert jobs.hot_listing_keys(snapshots.filter("eventId > 5"), events) == jobs.HotKeys([], [])
+
+
 def test_only_section_labels_are_joined_to_the_section_rows(spark, tmp_path):
     """The four event columns have their indexes before the events meet the inventory."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -26,7 +26,7 @@ from seatgrid.operators.quality import (
 from seatgrid.operators.sections import explode_sections
 from seatgrid.plans.jobs import reexport, run_structure_all
 from seatgrid.schemas import INVENTORY, META, performance_schema
-from seatgrid.session import ensure_scratch, scratch_path
+from seatgrid.session import ensure_scratch, freed_shuffles, scratch_path
 from seatgrid.sources.collections import clean_load, copy_json, read_json_collection
 from seatgrid.sources.discovery import discover_meta, discover_schema
 from seatgrid.sources.sinks import event_slice, read_split, run_path, split_by_event, write_csv, write_parquet_run
@@ -377,3 +377,19 @@ def test_command_line_jobs(spark, tmp_path, capsys):
 
     main(["structure", *common, "--performance", write_lines(tmp_path / "perf", []), "--label", "all", "--strict"])
     assert spark.read.parquet(capsys.readouterr().out.split()[-1]).count() == 0
+
+
+def test_shuffle_files_go_with_their_execution(spark, tmp_path):
+    """The setting is as before afterwards, an error or not, and a frame run before and within gives the same rows again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("n"))
+    expected = sorted(map(tuple, df.collect()))
+    with freed_shuffles(spark):
+        assert spark.conf.get(name) == "true"
+        df.write.parquet(str(tmp_path / "out"))
+        assert sorted(map(tuple, df.collect())) == expected == sorted(map(tuple, df.collect()))
+    with pytest.raises(KeyError), freed_shuffles(spark):
+        raise KeyError
+    assert spark.conf.get(name) == before
+    assert sorted(map(tuple, df.collect())) == expected
