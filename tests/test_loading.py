@@ -257,6 +257,81 @@ def test_split_holds_every_row_once(spark, tmp_path, file_format):
     assert "PartitionFilters: [isnotnull(eventId" in one._jdf.queryExecution().executedPlan().toString()
 
 
+def folders_of(path):
+    """The sorted texts of the files of every folder."""
+    return {
+        folder.name: sorted(part.read_bytes() for part in folder.glob("part-*")) for folder in path.iterdir() if folder.is_dir()
+    }
+
+
+ODD_ROWS = """VALUES
+    (1, 'a', 0.1D, DATE'2017-05-03', 1.50BD, true), (1, 'b,"c"', 1e300D, NULL, NULL, NULL), (1, '', -0.0D, DATE'0001-01-01', 0BD, false),
+    (2, NULL, NULL, NULL, NULL, NULL), (-3, ' padded ', double('NaN'), NULL, 2BD, true), (NULL, 'no event', 1e-7D, NULL, NULL, NULL),
+    (NULL, 'back\\\\slash', 123456789.125D, NULL, NULL, NULL), (4, '\u00e4\u4e16#x', float(1) / 3, NULL, NULL, true)
+    AS rows(`eventId`, `a name, odd`, price, day, exact, flag)"""
+
+
+@pytest.mark.parametrize("columns", [["*"], ["eventId", "price"], ["eventId", "day"]])
+@pytest.mark.parametrize("most", [2, 0, 5_000_000])
+def test_event_folders_are_those_of_sparks_writer(spark, tmp_path, columns, most):
+    df = spark.sql(f"SELECT * FROM {ODD_ROWS}").select(columns).withColumn("at", F.timestamp_millis(F.lit(1510250000123)))
+    one = df.coalesce(1).sortWithinPartitions("eventId", F.desc_nulls_last("price" if "price" in df.columns else "day"))
+    one.write.partitionBy("eventId").option("header", True).option("maxRecordsPerFile", most).csv(str(tmp_path / "spark"))
+    split_by_event(df, str(tmp_path / "split"), order_by=[one.columns[2 if columns == ["*"] else 1]], max_records_per_file=most)
+    assert folders_of(tmp_path / "split") == folders_of(tmp_path / "spark")
+    assert (tmp_path / "split" / "_SUCCESS").exists()
+    whole, plain = (read_split(spark, str(tmp_path / "split"), df.schema, every_event=every) for every in (True, False))
+    assert whole.dtypes == plain.dtypes
+    assert sorted(map(str, whole.collect())) == sorted(map(str, plain.collect()))
+    assert whole.filter("eventId IS NULL").count() == 2
+
+
+def test_a_single_column_without_values_keeps_its_rows(spark, tmp_path):
+    df = spark.createDataFrame([(1, None), (1, ""), (2, None)], "eventId int, text string")
+    df.coalesce(1).write.partitionBy("eventId").option("header", True).csv(str(tmp_path / "spark"))
+    split_by_event(df, str(tmp_path / "split"))
+    assert folders_of(tmp_path / "split") == folders_of(tmp_path / "spark")
+
+
+@pytest.mark.parametrize("ids", ["id", "id % 3"])
+def test_event_folders_cost_no_process_and_no_listing_task_each(spark, tmp_path, ids):
+    """Hadoop's local files start a process for every folder, file and checksum file; listing starts a task for every folder."""
+    df = spark.range(900).selectExpr(f"{ids} AS eventId", "id AS sectionId")
+    path, context = str(tmp_path / "split"), spark.sparkContext
+    split_by_event(df, path, order_by=["sectionId"])
+    assert not list((tmp_path / "split").rglob("*.crc"))
+    context.setJobGroup(path, "listing")
+    try:
+        read = read_split(spark, path, "sectionId bigint, eventId bigint", every_event=True)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [stage for job in tracker.getJobIdsForGroup(path) for stage in tracker.getJobInfo(job).stageIds]
+    assert all(tracker.getStageInfo(stage).numTasks <= 400 for stage in stages)
+    assert sorted(map(tuple, read.select("eventId", "sectionId").collect())) == sorted(map(tuple, df.collect()))
+    assert read.rdd.getNumPartitions() <= 400
+
+
+def test_a_split_that_fails_leaves_nothing(spark, tmp_path):
+    df = spark.range(100).selectExpr("id AS eventId", "if(id = 99, raise_error('bad row'), id) AS sectionId")
+    with pytest.raises(Exception, match="bad row"):
+        split_by_event(df, str(tmp_path / "split"))
+    assert not list(tmp_path.iterdir())
+    good = spark.range(3).selectExpr("id AS eventId", "id AS sectionId")
+    split_by_event(good, f"file:{tmp_path}/split/")
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
+        split_by_event(good, str(tmp_path / "split"))
+    assert len(list(tmp_path.iterdir())) == 1
+
+
+def test_events_that_are_no_numbers_keep_sparks_folder_names(spark, tmp_path):
+    df = spark.createDataFrame([("a/b", 1), (None, 2)], "eventId string, sectionId int")
+    split_by_event(df, str(tmp_path / "split"))
+    assert set(folders_of(tmp_path / "split")) == {"eventId=a%2Fb", "eventId=__HIVE_DEFAULT_PARTITION__"}
+    read = read_split(spark, str(tmp_path / "split"), df.schema, every_event=True)
+    assert sorted(map(str, read.select(df.columns).collect())) == sorted(map(str, df.collect()))
+
+
 def test_reexport(spark, tmp_path):
     df = spark.createDataFrame([(1, 2.5), (2, None), (None, 1.0), (4, float("nan"))], "a int, b float")
     df.write.parquet(str(tmp_path / "run.parquet"))
