@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from array import array
+from codecs import charmap_decode
 from collections.abc import Sequence
 from string import punctuation
 from unicodedata import is_normalized
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -81,11 +83,11 @@ _PROBES = "the there Well ABC wOrd thinking zzzq eR xylophone für Éa mañana 
 # Byte-level vocabularies write a visible Latin-1 byte as that character and the others as characters from 256 on.
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _HIDDEN = [b for b in range(256) if b not in _VISIBLE]
-_BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
+_BYTE_CHARS = "".join(chr(256 + _HIDDEN.index(b)) if b in _HIDDEN else chr(b) for b in range(256))
 
 
-def _odd_space(text: str) -> bool:
-    return text[0] == " " or text[-1] == " " or any(x in text for x in _ODD)
+# Where one of them stands in a text, or a blank at its front or end.
+_ODD_SPACE = "|".join(("^ ", r" \z", *_ODD))
 
 
 class Encoder:
@@ -96,12 +98,14 @@ class Encoder:
     memo (``memo`` words at most) holds it. Of a new word, punctuation after letters is a pre-token of its own, and letters
     alone may go to the model behind the tokenizer at once, if that is seen to give the same. Texts with other kinds of
     white space, or with the text of an added token, where all this does not hold for sure, go to the tokenizer whole.
+    Texts are split into words as Arrow arrays, so that the memo is asked once for each different word of a call.
     """
 
     def __init__(self, path: str, memo: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize  # looked up once: the model is wrapped anew each time it is asked for
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = [t.content for t in added if not t.normalized]
         self.folded = [t.content.lower() for t in added if t.normalized]
@@ -126,9 +130,9 @@ class Encoder:
     def _model(self, word: str, led: bool) -> bytes:
         word = word.lower() if self.fold else word
         if not word.isascii():
-            word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
+            word = charmap_decode(word.encode(), "strict", _BYTE_CHARS)[0]
         word = f"{self.lead}{word}" if led else word
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+        return array("I", [t.id for t in self.tokenize(word)]).tobytes()
 
     def _learn(self, new: set[str]) -> None:
         words, tails, rest = self.words, self.tails, []
@@ -156,39 +160,50 @@ class Encoder:
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text; a null text counts as empty."""
-        words, out = self.words, [b""] * len(texts)
-        if len(words) > self.memo:
-            words.clear()
-        get = words.get
-        split: list[tuple[int, list[bytes | None]]] = []
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        out = [b""] * len(texts)
+        if len(self.words) > self.memo:
+            self.words.clear()
+        column = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(column, _ODD_SPACE).to_pylist()
+        split: list[int] = []
         whole: list[int] = []
-        heads: list[str] = []
-        holes: list[tuple[list[int], list[str], list[bytes | None]]] = []
-        new: set[str] = set()
         for i, text in enumerate(texts):
-            if not text:
-                continue
-            if _odd_space(text) or self._marked(text):
-                whole.append(i)
-                continue
-            head, *parts = text.replace("\n", " \n").split(" ")
-            found = list(map(get, parts))
-            split.append((i, found))
-            heads.append(head)
-            if None in found:
-                at = [k for k, ids in enumerate(found) if ids is None]
-                holes.append((at, parts, found))
-                new.update([parts[k] for k in at])
-        self._learn(new)
-        for at, parts, found in holes:
-            for k in at:
-                found[k] = words[parts[k]]
-        for (i, found), head in zip(split, self._ids(heads)):
-            out[i] = head + b"".join(found)
+            if text:
+                (whole if odd[i] or self._marked(text) else split).append(i)
+        if split:
+            parts = pc.split_pattern(pc.replace_substring(column.take(pa.array(split)), "\n", " \n"), " ")
+            ends = parts.offsets.to_numpy()
+            is_led = np.ones(ends[-1], bool)
+            is_led[ends[:-1]] = False
+            heads = self._ids(parts.values.take(pa.array(ends[:-1])).to_pylist())
+            led, places = self._led(parts.values.filter(pa.array(is_led)))
+            places = places[ends - np.arange(len(ends))].tolist()
+            for i, head, start, end in zip(split, heads, places, places[1:]):
+                out[i] = head + led[start:end]
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
             out[i] = ids
         return out
 
+    def _led(self, parts) -> tuple[memoryview, np.ndarray]:
+        """Ids of an Arrow array of led words one after the other, and in which byte each word's begin (and the last one's end)."""
+        import pyarrow as pa
+
+        if not len(parts):
+            return memoryview(b""), np.zeros(1, np.int64)
+        coded = parts.dictionary_encode()
+        keys = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.words.get, keys))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        self._learn({keys[k] for k in new})
+        for k in new:
+            found[k] = self.words[keys[k]]
+        ids = pa.array(found, pa.large_binary()).take(coded.indices)
+        _, places, data = ids.buffers()
+        return memoryview(b"" if data is None else data), np.frombuffer(places, np.int64, len(ids) + 1, 8 * ids.offset)
+
 
 _encoders: dict[tuple[str, int], Encoder] = {}
 

@@ -38,6 +38,26 @@ def test_encoder_equals_the_tokenizer_on_odd_texts(encoders, text):
         assert encoder.encode([text]) == [ids_of(path, text)]
 
 
+def test_encoder_asks_its_memo_once_for_a_word_of_a_call():
+    class Memo(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    encoder, texts = Encoder(WORDS), [f"a {'the word, of ' * 500}end\n"] * 20
+    encoder.words = Memo()
+    assert encoder.encode(texts) == [ids_of(WORDS, texts[0])] * 20
+    assert encoder.words.asked < 20
+
+
+@pytest.mark.parametrize("text", ["\n", "a\n", " a", "a ", "a  b", "a\n\nb", "\na", "a\x1cb", "<|endoftext|>"])
+def test_encoder_on_single_short_texts(encoders, text):
+    for path, encoder in encoders.items():
+        assert encoder.encode([text]) == [ids_of(path, text)]
+
+
 def sequential_best_fit(lengths: list[int], capacity: int) -> int:
     gaps: list[int] = []
     for n in sorted(lengths, reverse=True):
