@@ -106,7 +106,8 @@ def candidates(prints: DataFrame, segments: int = 2, radius: int = 2) -> DataFra
     asked = [ball(s, mask) for s, mask in enumerate(masks)]
     probes = prints.select(own.alias("a"), F.explode(F.concat(*asked)).alias("k")).select("a", "k.*")
     fetched = table.join(hot, ["segment", "value"], "left_anti").withColumnRenamed("fingerprint", "b")
-    found = probes.join(fetched, ["segment", "value"]).filter("a < b").select("a", "b", "segment")
+    # Spark takes an explode for as many rows as go in, and would broadcast what comes out of it: such sides are shuffled at every size.
+    found = probes.hint("merge").join(fetched, ["segment", "value"]).filter("a < b").select("a", "b", "segment")
 
     def parted(rows: DataFrame, column: str) -> DataFrame:
         parts = [
@@ -118,7 +119,7 @@ def candidates(prints: DataFrame, segments: int = 2, radius: int = 2) -> DataFra
 
     if segments > 1:  # one segment is the whole fingerprint, which no two share
         left, right = parted(probes, "a"), parted(table.withColumnRenamed("fingerprint", "b"), "b")
-        shared = left.join(right, ["segment", "value", "part", "rest"]).filter("a < b")
+        shared = left.hint("merge").join(right, ["segment", "value", "part", "rest"]).filter("a < b")
         apart = F.col("a").bitwiseXOR(F.col("b"))
         firsts = [
             F.coalesce(*[F.when(apart.bitwiseAND(_long(m)) == 0, p) for p, m in enumerate(_rest_masks(mask, radius + 1))]) for mask in masks

@@ -180,6 +180,19 @@ def test_segments_change_the_candidates_only(spark):
         simhash.links(frame, 0)
 
 
+def test_exploded_probes_are_not_broadcast(spark):
+    """A fingerprint asks for 66 values, which Spark's estimate takes for one row."""
+    prints = spark.range(2000).select(F.xxhash64("id").alias("fingerprint"))
+    plan = simhash.candidates(prints)._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-*")) for line in plan]
+    sent = []
+    for at, line in enumerate(plan):
+        if "BroadcastExchange" in line:
+            end = next((i for i in range(at + 1, len(plan)) if depth[i] <= depth[at]), len(plan))
+            sent += [below for below in plan[at + 1 : end] if "Generate explode" in below]
+    assert not sent
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     loose = spark.createDataFrame([(1000, 1001), (1001, 1000), (7777, 7777)], "a long, b long")
