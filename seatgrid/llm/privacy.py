@@ -258,7 +258,8 @@ def disclosing_terms(texts: DataFrame) -> DataFrame:
     words = single.select(F.explode(_words(F.when(F.size("base") > 0, _blanked(_text(), F.col("base"))).otherwise(_text()))).alias("term"))
     # Counted before they meet the terms, so that words are not shuffled one by one, however many terms there are.
     counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("with_term")).join(terms, "term")
-    told = able.join(counts, "term").filter(evidence(hits, with_term, n, many) >= certain).select(
+    # Stored pairs take twenty times their file's size in memory, so their size does not say whether they can be broadcast.
+    told = able.hint("merge").join(counts, "term").filter(evidence(hits, with_term, n, many) >= certain).select(
         "level", "entity", "term", disclosure(hits, with_term, n, many).alias("disclosure")
     )
     return stored(told.filter(F.col("disclosure") >= needed), "privacy-disclosing", SMALL)

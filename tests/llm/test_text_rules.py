@@ -193,6 +193,20 @@ def test_exploded_probes_are_not_broadcast(spark):
     assert not sent
 
 
+def test_pairs_with_terms_are_not_broadcast(spark, monkeypatch):
+    plans, kept = {}, privacy.stored
+
+    def stored(df, name, *options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, name, *options)
+
+    monkeypatch.setattr(privacy, "stored", stored)
+    texts = [(i, f"call +49 30 1234 5678 ask word{i % 3}", "en", "a", 9) for i in range(9)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long")
+    privacy.disclosing_terms(privacy.parsed_texts(rows.select(F.struct("*").alias("row"))))
+    assert re.search(r"SortMergeJoin \[term#\d+\], \[term#\d+\], Inner, .*hits", plans["privacy-disclosing"])
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     loose = spark.createDataFrame([(1000, 1001), (1001, 1000), (7777, 7777)], "a long, b long")
