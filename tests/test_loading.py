@@ -312,6 +312,23 @@ def test_event_folders_cost_no_process_and_no_listing_task_each(spark, tmp_path,
     assert read.rdd.getNumPartitions() <= 400
 
 
+def test_a_split_of_numbers_is_read_without_a_list_of_files_on_the_driver(spark, tmp_path):
+    rows = "VALUES (1, 1.5D, 2L), (1, NULL, NULL), (NULL, double('NaN'), 3L), (-7, -0.0D, NULL) AS rows(eventId, price, sectionId)"
+    df = spark.sql(f"SELECT * FROM {rows}").unionByName(spark.range(2000).selectExpr("id + 10 AS eventId", "id / 3 AS price", "id AS sectionId"))
+    path = str(tmp_path / "split")
+    split_by_event(df, path, max_records_per_file=1)
+    read, plain = (read_split(spark, path, df.schema, every_event=every) for every in (True, False))
+    assert "FileScan" not in read._jdf.queryExecution().executedPlan().toString() and not read.inputFiles()
+    assert read.columns == ["price", "sectionId", "eventId"]
+    assert sorted(map(str, read.collect())) == sorted(map(str, plain.select(read.columns).collect()))
+    single = spark.createDataFrame([(1, None), (1, 5), (2, None)], "eventId int, seats int")
+    split_by_event(single, str(tmp_path / "single"))
+    one, other = (read_split(spark, str(tmp_path / "single"), single.schema, every_event=every) for every in (True, False))
+    assert sorted(map(str, one.collect())) == sorted(map(str, other.select(one.columns).collect()))
+    split_by_event(df.limit(0), str(tmp_path / "none"))
+    assert read_split(spark, str(tmp_path / "none"), df.schema, every_event=True).count() == 0
+
+
 def test_a_split_that_fails_leaves_nothing(spark, tmp_path):
     df = spark.range(100).selectExpr("id AS eventId", "if(id = 99, raise_error('bad row'), id) AS sectionId")
     with pytest.raises(Exception, match="bad row"):
