@@ -396,6 +396,42 @@ def test_full_job_from_files(spark, tmp_path):
     assert split.schema["cat_features"].metadata["ml_attr"]["num_attrs"] == len(rows[0].cat_features)
 
 
+def test_the_job_deletes_what_it_does_not_read_any_more(spark, tmp_path, monkeypatch):
+    """Its own tables go step by step, a caller's stage and collections stay; the split has the run's rows and columns."""
+    event = {"id": 7, "eventDateUTC": "2017-11-10T00:30:00Z", "eventDateLocal": "2017-11-09T19:30:00-0500", "originalName": "B at A",
+             "performersCollection": [{"id": 1, "name": "A", "role": "HOME_TEAM"}, {"id": 2, "name": "B", "role": "AWAY_TEAM"}]}
+    left = {}
+
+    def watched(df, base, label, ts=None):
+        path = write_parquet_run(df, base, label, ts)
+        left[label] = sorted(folder.name for folder in Path(stages[label]).iterdir())
+        return path
+
+    monkeypatch.setattr("seatgrid.plans.jobs.write_parquet_run", watched)
+    monkeypatch.setattr("seatgrid.plans.jobs.scratch_path", lambda spark, name: str(tmp_path / "own"))
+    stages = {"own": tmp_path / "own", "kept": tmp_path / "kept"}
+    tables = {}
+    for label in stages:
+        paths = [
+            write_lines(tmp_path / f"{label}-inventory", [snapshot(1510250000000, 7, [section(4), section(5)]), snapshot(1510250000001, 7, [section(4)])]),
+            write_lines(tmp_path / f"{label}-meta", [{"current_timestamp": 1, "current_date": "2017-11-09", "events": [event]}]),
+            write_lines(tmp_path / f"{label}-performance", [{"team": "A", "current_timestamp": 1510240000000, "wins": 1}]),
+        ]
+        run = run_structure_all(
+            spark, *paths, performance_schema("wins bigint"), str(tmp_path / "runs"), label, split_path=str(tmp_path / f"{label}-split"),
+            split_format="parquet", split_buckets=4, stage=None if label == "own" else str(tmp_path / label), keep_lines=label == "kept",
+        )
+        assert [Path(path).exists() for path in paths] == [label == "kept"] * 3
+        whole, split = spark.read.parquet(run.path), spark.read.parquet(run.split_path).drop("bucket")
+        assert whole.schema == split.schema and split.schema["cat_features"].metadata["ml_attr"]["num_attrs"] == 6
+        tables[label] = sorted(map(str, whole.collect()))
+        assert tables[label] == sorted(map(str, split.collect())) and len(tables[label]) == 3
+    assert tables["own"] == tables["kept"]
+    assert not {"inventory", "meta", "performance", "events", "team_days", "events_indexed", "team_days_indexed"} & set(left["own"])
+    assert {"inventory", "meta", "performance", "events", "team_days", "events_indexed", "joined"} <= set(left["kept"])
+    assert not (tmp_path / "own").exists()
+
+
 def test_watched_reports_equal_separate_ones(spark, tmp_path):
     rows = [(i, None if i % 3 else "x", None if i % 7 else 1.5) for i in range(1000)]
     df = spark.createDataFrame(rows, "current_timestamp bigint, Concatenated_perf string, b double").repartition(7)
